@@ -13,10 +13,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None, digits: int = 6):
+def query(name: str, sql: str | None = None, digits: int = 6, exact: tuple[str, ...] = ()):
     """Register a function of the views under ``name``; its doubles are rounded."""
     def deco(fn: Callable[[StarViews], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: rounded(fn(StarViews(spark, sf_dir)), digits)
+        QUERIES[name] = lambda spark, sf_dir: rounded(fn(StarViews(spark, sf_dir)), digits, exact)
         if sql is not None:
             ORACLES[name] = sql
         return fn

@@ -85,8 +85,8 @@ def trailing_calendar_join(v):
     return bars.join(spans, "trade_date").groupBy("rebal_date", "ts_code").agg(F.count(F.lit(1)).alias("n_dates"), F.avg("amount").alias("mean_amount"))
 
 
-@query("membership_daily_basic", with_views(["daily_basic", "industry_pit", "stock_basic"], r_sql(["circ_mv"], "j", [*KEYS, "l1_name", "name", "industry", "list_date"]), j="""SELECT b.ts_code, b.trade_date, l1_name, circ_mv, name, industry, list_date
-    FROM daily_basic b JOIN industry_pit i ON b.ts_code = i.ts_code LEFT JOIN stock_basic s ON b.ts_code = s.ts_code"""), digits=4)
+@query("membership_daily_basic", with_views(["daily_basic", "industry_pit", "stock_basic"], r_sql([], "j", [*KEYS, "circ_mv", "l1_name", "name", "industry", "list_date"]), j="""SELECT b.ts_code, b.trade_date, l1_name, circ_mv, name, industry, list_date
+    FROM daily_basic b JOIN industry_pit i ON b.ts_code = i.ts_code LEFT JOIN stock_basic s ON b.ts_code = s.ts_code"""), exact=("circ_mv",))
 def membership_daily_basic(v):
     """Membership x daily rows (every membership of an entity), enriched with its attributes."""
     return index_daily(v)
@@ -99,9 +99,9 @@ def index_daily(v):
 
 
 # ------------------------------------------------------------------ time-series windows
-@query("ts_lag_change_zscore", with_views(["daily_bars"], r_sql(["lag1", "roc5", "diff5", "z20", "z20_lenient"], "t", KEYS), t=f"""SELECT ts_code, trade_date,
+@query("ts_lag_change_zscore", with_views(["daily_bars"], r_sql(["roc5", "z20", "z20_lenient"], "t", [*KEYS, "lag1", "diff5"]), t=f"""SELECT ts_code, trade_date,
     lag(close, 1) {WC} AS lag1, close / nullif(lag(close, 5) {WC}, 0) - 1 AS roc5, close - lag(close, 5) {WC} AS diff5,
-    {z20_sql('close', 'z20')}, {z20_sql('close', 'z20_lenient', 20, '>= 10')} FROM daily_bars"""))
+    {z20_sql('close', 'z20')}, {z20_sql('close', 'z20_lenient', 20, '>= 10')} FROM daily_bars"""), exact=("lag1", "diff5"))
 def ts_lag_change_zscore(v):
     bars = v.daily_bars()
     return bars.select("ts_code", "trade_date", ts.lag("close", 1, W).alias("lag1"), ts.roc("close", 5, W).alias("roc5"), ts.diff("close", 5, W).alias("diff5"),
@@ -120,7 +120,7 @@ def ts_fill_with_limit(v):
 _FR = "OVER (PARTITION BY ts_code ORDER BY trade_date ROWS BETWEEN {k} PRECEDING AND CURRENT ROW)"
 
 
-@query("ts_rolling_percentile", with_views(["daily_bars"], r_sql(["pct60", "ma5", "ma20", "liq_shock"], "t", KEYS), t=f"""SELECT ts_code, trade_date, pct60, ma5, ma20, amount / nullif(ma20, 0) - 1 AS liq_shock FROM (
+@query("ts_rolling_percentile", with_views(["daily_bars"], r_sql(["pct60", "ma5", "ma20", "liq_shock"], "t", KEYS, 4), t=f"""SELECT ts_code, trade_date, pct60, ma5, ma20, amount / nullif(ma20, 0) - 1 AS liq_shock FROM (
     SELECT ts_code, trade_date, amount, len(list_filter(list(amount) {_FR.format(k=59)}, lambda x: x <= amount)) / count(amount) {_FR.format(k=59)} AS pct60,
     CASE WHEN count(amount) {_FR.format(k=4)} = 5 THEN avg(amount) {_FR.format(k=4)} END AS ma5,
     CASE WHEN count(amount) {_FR.format(k=19)} = 20 THEN avg(amount) {_FR.format(k=19)} END AS ma20 FROM daily_bars)"""), digits=4)
@@ -130,11 +130,11 @@ def ts_rolling_percentile(v):
         ts.rolling_mean("amount", 20, W).alias("ma20"), (sc.ratio("amount", ts.rolling_mean("amount", 20, W)) - 1).alias("liq_shock"))
 
 
-@query("ts_expression_templates", with_views(["daily_bars"], r_sql(["m10", "s10", "r10", "d10", "ref3", "body", "rel"], "t", KEYS), t=f"""SELECT ts_code, trade_date,
+@query("ts_expression_templates", with_views(["daily_bars"], r_sql(["m10", "s10", "r10", "rel"], "t", [*KEYS, "d10", "ref3", "body"], 4), t=f"""SELECT ts_code, trade_date,
     CASE WHEN n = 10 THEN avg(close) {_FR.format(k=9)} END AS m10, CASE WHEN n = 10 THEN stddev_samp(close) {_FR.format(k=9)} END AS s10,
     CASE WHEN n = 10 THEN len(list_filter(list(close) {_FR.format(k=9)}, lambda x: x <= close)) / 10 END AS r10,
     close - lag(close, 10) {WC} AS d10, lag(close, 3) {WC} AS ref3, close - open AS body, close / nullif(open, 0) AS rel
-    FROM (SELECT *, count(close) {_FR.format(k=9)} AS n FROM daily_bars)"""), digits=5)
+    FROM (SELECT *, count(close) {_FR.format(k=9)} AS n FROM daily_bars)"""), digits=4, exact=("d10", "ref3", "body"))
 def ts_expression_templates(v):
     return v.daily_bars().select(
         "ts_code", "trade_date", ts.ts_mean("close", 10, W).alias("m10"), ts.ts_std("close", 10, W).alias("s10"), ts.ts_rank("close", 10, W).alias("r10"),
@@ -236,7 +236,7 @@ def quantile_bucket_split(v):
     return _buckets(v, "split")
 
 
-@query("bucket_in_industry_vs_market", with_views(PIT_VIEWS, r_sql(["mean_pe"], "t", ["scope", "bucket", "n"]), pit=PIT, b=f"""SELECT pe_ttm, {bucket_sql('pb', 'trade_date, l1_name', 3, 'bi')}, {bucket_sql('pb', 'trade_date', 3, 'bm')} FROM pit""",
+@query("bucket_in_industry_vs_market", with_views(PIT_VIEWS, r_sql(["mean_pe"], "t", ["scope", "bucket", "n"], 4), pit=PIT, b=f"""SELECT pe_ttm, {bucket_sql('pb', 'trade_date, l1_name', 3, 'bi')}, {bucket_sql('pb', 'trade_date', 3, 'bm')} FROM pit""",
     t="SELECT 'industry' AS scope, CAST(bi AS INTEGER) AS bucket, count(*) AS n, avg(pe_ttm) AS mean_pe FROM b GROUP BY 2 UNION ALL SELECT 'market', CAST(bm AS INTEGER), count(*), avg(pe_ttm) FROM b GROUP BY 2"), digits=4)
 def bucket_in_industry_vs_market(v):
     df = pit_panel(v).select("ts_code", "trade_date", "l1_name", "pb", "pe_ttm")

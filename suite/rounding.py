@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded, negative zero removed, dates as compact text, small integers widened."""
+def rounded(df: DataFrame, digits: int = 6, exact: Sequence[str] = ()) -> DataFrame:
+    """Doubles rounded (unless listed in ``exact``), negative zero removed, dates as compact text, integers widened."""
     half = 0.5 * 10 ** -digits
     out = []
     for f in df.schema.fields:
         c = F.col(f.name)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        if f.name in exact:
+            pass
+        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             c = F.when(F.abs(c) < half, F.lit(0.0)).otherwise(F.round(c, digits)).alias(f.name)
         elif isinstance(f.dataType, T.DateType):
             c = F.date_format(c, "yyyyMMdd").alias(f.name)

@@ -49,10 +49,10 @@ def eligible(index_daily: DataFrame, rebal: DataFrame) -> DataFrame:
     return rows.where(F.datediff("rebal_date", "list_dt") >= MIN_LISTED_DAYS).select("rebal_date", "ts_code", "industry_label", "circ_mv")
 
 
-def covered(rows: DataFrame, features: DataFrame, rebal: DataFrame, calendar: DataFrame) -> DataFrame:
+def covered(rows: DataFrame, features: DataFrame, rebal: DataFrame, calendar: DataFrame, share: float = COVERAGE_SHARE) -> DataFrame:
     """Keep entities with feature rows on enough of the preceding dates."""
     spans = trailing_dates(rebal, calendar, COVERAGE_DATES)
-    needed = spans.groupBy("rebal_date").agg((F.count(F.lit(1)) * COVERAGE_SHARE).alias("_need"))
+    needed = spans.groupBy("rebal_date").agg((F.count(F.lit(1)) * share).alias("_need"))
     counts = features.select("ts_code", "trade_date").join(spans, "trade_date").groupBy("rebal_date", "ts_code").agg(F.count(F.lit(1)).alias("_have"))
     good = counts.join(needed, "rebal_date").where(F.col("_have") >= F.col("_need"))
     no_history = rebal.join(needed, "rebal_date", "left_anti")
@@ -122,9 +122,9 @@ def draw(rows: DataFrame, quotas: DataFrame, plan: str = "window") -> DataFrame:
     return best.withColumn("_pos", F.row_number().over(w.orderBy(seeded_order(), "ts_code"))).where("_pos <= b_seats").drop("_pos", "b_seats")
 
 
-def candidates(index_daily: DataFrame, daily: DataFrame, features: DataFrame, calendar: DataFrame, first_year: int, last_year: int, plan: str = "auto", width: int | None = None) -> DataFrame:
+def candidates(index_daily: DataFrame, daily: DataFrame, features: DataFrame, calendar: DataFrame, first_year: int, last_year: int, plan: str = "auto", width: int | None = None, coverage_share: float = COVERAGE_SHARE) -> DataFrame:
     rebal = rebalance_dates(calendar, first_year, last_year)
-    rows = covered(eligible(index_daily, rebal), features, rebal, calendar)
+    rows = covered(eligible(index_daily, rebal), features, rebal, calendar, coverage_share)
     return with_size_bucket(with_liquidity(rows, daily, rebal, calendar), plan, width)
 
 
