@@ -9,7 +9,7 @@ from suite.factor_queries import BASE, KEYS, PIT, PIT_VIEWS, WC, avg_rank_sql, n
 from suite.library_queries import bucket_sql, ymd
 from suite.view_sql import rounded as r_sql
 from suite.view_sql import with_views
-from tidepanel.functions.scalars import clip, ratio
+from tidepanel.functions.scalars import ratio
 from tidepanel.operators import cross_section as xs
 from tidepanel.operators import evaluate as ev
 from tidepanel.operators import universe as un
@@ -70,7 +70,7 @@ def quantile_group_returns(v):
     return ev.quantile_returns(rows, "bp", ["horizon", "trade_date"], width=3 * v.width)
 
 
-_CUM = {**IC, **GROUPS, "sr": "SELECT i.horizon, i.trade_date, rank_ic, least(greatest(long_short, -1), 1) / 100 AS ls FROM ic i JOIN gl g ON i.horizon = g.horizon AND i.trade_date = g.trade_date",
+_CUM = {**IC, **GROUPS, "sr": "SELECT i.horizon, i.trade_date, rank_ic, sign(long_short) * ln(1 + abs(long_short)) / 1000 AS ls FROM ic i JOIN gl g ON i.horizon = g.horizon AND i.trade_date = g.trade_date",
         "cs": """SELECT horizon, trade_date, CASE WHEN count(rank_ic) OVER w20 >= 20 THEN avg(rank_ic) OVER w20 END AS rank_ic_ma20, sum(rank_ic) OVER wc AS rank_ic_cumsum,
         exp(sum(ln(1 + ls)) OVER wc) AS ls_nav FROM sr WINDOW wc AS (PARTITION BY horizon ORDER BY trade_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
         w20 AS (PARTITION BY horizon ORDER BY trade_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"""}
@@ -78,7 +78,7 @@ _CUM = {**IC, **GROUPS, "sr": "SELECT i.horizon, i.trade_date, rank_ic, least(gr
 
 def _series(v):
     series, _ = ev.evaluate(with_returns(v), "bp", _rets(), width=3 * v.width)
-    return series.where(F.col("rank_ic").isNotNull() | F.col("n_obs").isNotNull()).withColumn("ls", clip("long_short", -1.0, 1.0) / 100)
+    return series.where(F.col("rank_ic").isNotNull() | F.col("n_obs").isNotNull()).withColumn("ls", F.signum("long_short") * F.log1p(F.abs("long_short")) / 1000)
 
 
 @query("cumulative_evaluation_series", with_views(["daily_basic"], r_sql(["rank_ic_ma20", "rank_ic_cumsum", "ls_nav"], "cs", ["horizon", ymd("trade_date")]), **_CUM))
@@ -102,10 +102,10 @@ def top_group_turnover(v):
     return ev.top_group_turnover(with_returns(v), "bp", width=v.width)
 
 
-@query("top_decile_capacity", with_views(["daily_basic"], r_sql(["top_size", "top_activity"], "t", [ymd("trade_date"), "n_top"], 3), r=RET, b=f"SELECT *, {bucket_sql('bp', 'trade_date', 10, 'b')} FROM r",
-    t="SELECT trade_date, avg(circ_mv) AS top_size, avg(turnover_rate_f) AS top_activity, count(*) AS n_top FROM b WHERE b = 10 GROUP BY 1"), digits=3)
+@query("top_decile_capacity", with_views(["daily_basic"], r_sql(["top_size", "top_activity"], "t", [ymd("trade_date"), "n_top"]), r=RET, b=f"SELECT *, {bucket_sql('bp', 'trade_date', 10, 'b')} FROM r",
+    t="SELECT trade_date, avg(circ_mv) / 1e6 AS top_size, avg(turnover_rate_f) AS top_activity, count(*) AS n_top FROM b WHERE b = 10 GROUP BY 1"))
 def top_decile_capacity(v):
-    return ev.capacity(with_returns(v), "bp", "circ_mv", "turnover_rate_f", width=v.width)
+    return ev.capacity(with_returns(v), "bp", "circ_mv", "turnover_rate_f", width=v.width).withColumn("top_size", F.col("top_size") / 1e6)
 
 
 _SEG = {"r": RET, "s": f"SELECT r.*, year(trade_date) AS yr, l1_name, {bucket_sql('circ_mv', 'trade_date', 3, 'sz')} FROM r JOIN industry_static i ON r.ts_code = i.ts_code",
@@ -237,7 +237,7 @@ def universe_eligible(v):
     return un.eligible(_index(v), un.rebalance_dates(v.calendar(), *YEARS))
 
 
-@query("universe_candidates", with_views(U_VIEWS, r_sql(["score", "mv_rank"], "bk", [ymd("rebal_date"), "ts_code", "industry_label", "bucket"], 4), **{k: s for k, s in u_steps(60, COVER).items() if k in _U}), digits=4)
+@query("universe_candidates", with_views(U_VIEWS, r_sql(["score", "mv_rank"], "bk", [ymd("rebal_date"), "ts_code", "industry_label", "bucket"], 7), **{k: s for k, s in u_steps(60, COVER).items() if k in _U}), digits=7)
 def universe_candidates(v):
     return _candidates(v).drop("circ_mv")
 
