@@ -55,7 +55,7 @@ def information_coefficients(v):
 
 _SUM = [f"{c}_{k}" for c in ("ic", "rank_ic") for k in ("mean", "std", "ir", "positive_share")]
 _SUMMARY = "SELECT {by}, " + ", ".join(
-    f"avg({c}) AS {c}_mean, stddev_samp({c}) AS {c}_std, CASE WHEN stddev_samp({c}) = 0 THEN 0 ELSE avg({c}) / stddev_samp({c}) END AS {c}_ir, avg(CASE WHEN {c} > 0 THEN 1 WHEN {c} <= 0 THEN 0 END) AS {c}_positive_share" for c in ("ic", "rank_ic")
+    f"avg({c}) AS {c}_mean, stddev_samp({c}) AS {c}_std, CASE WHEN stddev_samp({c}) = 0 THEN 0 ELSE avg({c}) / stddev_samp({c}) END AS {c}_ir, avg(CASE WHEN round({c}, 9) > 0 THEN 1 WHEN round({c}, 9) <= 0 THEN 0 END) AS {c}_positive_share" for c in ("ic", "rank_ic")
 ) + ", count(*) AS n_dates, CAST(sum(n_obs) AS BIGINT) AS n_obs FROM {src} GROUP BY {by}"
 
 

@@ -18,7 +18,7 @@ from tidepanel.operators.ordered import exact_quantiles, running_total
 from tidepanel.plans import factors as fac
 
 PAIR = ["roe", "roe_dt", "ebitda"]
-W = ts.entity_window()
+W = ts.entity_window  # called per query: windows need a running session
 
 
 def ymd(c: str) -> str:
@@ -104,8 +104,8 @@ def index_daily(v):
     {z20_sql('close', 'z20')}, {z20_sql('close', 'z20_lenient', 20, '>= 10')} FROM daily_bars"""), exact=("lag1", "diff5"))
 def ts_lag_change_zscore(v):
     bars = v.daily_bars()
-    return bars.select("ts_code", "trade_date", ts.lag("close", 1, W).alias("lag1"), ts.roc("close", 5, W).alias("roc5"), ts.diff("close", 5, W).alias("diff5"),
-                       ts.zscore("close", 20, W).alias("z20"), ts.zscore("close", 20, W, min_periods=10).alias("z20_lenient"))
+    return bars.select("ts_code", "trade_date", ts.lag("close", 1, W()).alias("lag1"), ts.roc("close", 5, W()).alias("roc5"), ts.diff("close", 5, W()).alias("diff5"),
+                       ts.zscore("close", 20, W()).alias("z20"), ts.zscore("close", 20, W(), min_periods=10).alias("z20_lenient"))
 
 
 @query("ts_fill_with_limit", with_views(["moneyflow"], r_sql(["ff2", "bf1", "ff_all"], "t", KEYS), t="""SELECT ts_code, trade_date,
@@ -114,7 +114,7 @@ def ts_lag_change_zscore(v):
     last_value(buy_elg_amount IGNORE NULLS) OVER (PARTITION BY ts_code ORDER BY trade_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ff_all FROM moneyflow"""))
 def ts_fill_with_limit(v):
     x = "buy_elg_amount"
-    return v.moneyflow().select("ts_code", "trade_date", ts.forward_fill(x, W, 2).alias("ff2"), ts.backward_fill(x, W, 1).alias("bf1"), ts.forward_fill(x, W).alias("ff_all"))
+    return v.moneyflow().select("ts_code", "trade_date", ts.forward_fill(x, W(), 2).alias("ff2"), ts.backward_fill(x, W(), 1).alias("bf1"), ts.forward_fill(x, W()).alias("ff_all"))
 
 
 _FR = "OVER (PARTITION BY ts_code ORDER BY trade_date ROWS BETWEEN {k} PRECEDING AND CURRENT ROW)"
@@ -126,8 +126,8 @@ _FR = "OVER (PARTITION BY ts_code ORDER BY trade_date ROWS BETWEEN {k} PRECEDING
     CASE WHEN count(amount) {_FR.format(k=19)} = 20 THEN avg(amount) {_FR.format(k=19)} END AS ma20 FROM daily_bars)"""), digits=4)
 def ts_rolling_percentile(v):
     return v.daily_bars().select(
-        "ts_code", "trade_date", ts.rolling_percentile("amount", 60, W).alias("pct60"), ts.rolling_mean("amount", 5, W).alias("ma5"),
-        ts.rolling_mean("amount", 20, W).alias("ma20"), (sc.ratio("amount", ts.rolling_mean("amount", 20, W)) - 1).alias("liq_shock"))
+        "ts_code", "trade_date", ts.rolling_percentile("amount", 60, W()).alias("pct60"), ts.rolling_mean("amount", 5, W()).alias("ma5"),
+        ts.rolling_mean("amount", 20, W()).alias("ma20"), (sc.ratio("amount", ts.rolling_mean("amount", 20, W())) - 1).alias("liq_shock"))
 
 
 @query("ts_expression_templates", with_views(["daily_bars"], r_sql(["m10", "s10", "r10", "rel"], "t", [*KEYS, "d10", "ref3", "body"], 4), t=f"""SELECT ts_code, trade_date,
@@ -137,8 +137,8 @@ def ts_rolling_percentile(v):
     FROM (SELECT *, count(close) {_FR.format(k=9)} AS n FROM daily_bars)"""), digits=4, exact=("d10", "ref3", "body"))
 def ts_expression_templates(v):
     return v.daily_bars().select(
-        "ts_code", "trade_date", ts.ts_mean("close", 10, W).alias("m10"), ts.ts_std("close", 10, W).alias("s10"), ts.ts_rank("close", 10, W).alias("r10"),
-        ts.ts_delta("close", 10, W).alias("d10"), ts.ref("close", 3, W).alias("ref3"), ts.sub("close", "open").alias("body"), ts.div("close", "open").alias("rel"))
+        "ts_code", "trade_date", ts.ts_mean("close", 10, W()).alias("m10"), ts.ts_std("close", 10, W()).alias("s10"), ts.ts_rank("close", 10, W()).alias("r10"),
+        ts.ts_delta("close", 10, W()).alias("d10"), ts.ref("close", 3, W()).alias("ref3"), ts.sub("close", "open").alias("body"), ts.div("close", "open").alias("rel"))
 
 
 # ------------------------------------------------------------------ ranks

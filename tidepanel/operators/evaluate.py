@@ -44,7 +44,8 @@ def ic_summary(ics: DataFrame, by: Sequence[str]) -> DataFrame:
         return [
             mean.alias(f"{c}_mean"), std.alias(f"{c}_std"),
             F.when(std == 0, 0.0).otherwise(ratio(mean, std)).alias(f"{c}_ir"),
-            F.avg((F.col(c) > 0).cast("int")).alias(f"{c}_positive_share"),
+            # a coefficient that is zero up to rounding noise is not positive
+            F.avg((F.round(c, 9) > 0).cast("int")).alias(f"{c}_positive_share"),
         ]
 
     return ics.groupBy(*by).agg(*block("ic"), *block("rank_ic"), F.count(F.lit(1)).alias("n_dates"), F.sum("n_obs").alias("n_obs"))
