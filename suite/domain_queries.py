@@ -8,7 +8,7 @@ from suite.factor_queries import KEYS, avg_rank_sql
 from suite.view_sql import rounded as r_sql
 from suite.view_sql import with_views
 from tidepanel.plans import domains as dom
-from tidepanel.plans.registry import selected_features
+from tidepanel.plans.registry import apply_policies, selected_features
 
 
 def div_sql(n: str, d: str, m: str = "1e-4") -> str:
@@ -228,3 +228,40 @@ def registry_selected_features(v):
     """Columns the registry admits to factor search, cut from the price table."""
     table = dom.price_volume(v.daily_bars(), v.daily_basic())
     return table.select("ts_code", "trade_date", *_SELECTED)
+
+
+_POL = """SELECT b.ts_code, b.trade_date, least(greatest(pb, qlo), qhi) AS gap_open, coalesce(floor(pe_ttm * 100) / 100, med) AS pe_ttm_rank_ind, least(greatest(ps_ttm, -20), 20) AS intraday_trend_eff,
+    last_value(volume_ratio IGNORE NULLS) OVER (PARTITION BY b.ts_code ORDER BY b.trade_date ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS support_5 FROM daily_basic b JOIN industry_static i ON b.ts_code = i.ts_code
+    JOIN (SELECT trade_date, quantile_cont(pb, 0.01) AS qlo, quantile_cont(pb, 0.99) AS qhi FROM daily_basic GROUP BY 1) q ON b.trade_date = q.trade_date
+    JOIN (SELECT trade_date, l1_name, median(floor(pe_ttm * 100) / 100) AS med FROM daily_basic b JOIN industry_static i ON b.ts_code = i.ts_code GROUP BY 1, 2) m ON b.trade_date = m.trade_date AND i.l1_name = m.l1_name"""
+_POL_COLS = ["gap_open", "pe_ttm_rank_ind", "intraday_trend_eff", "support_5"]
+_POL_SQL = with_views(["daily_basic", "industry_static"], r_sql(_POL_COLS, "t", KEYS), t=_POL.replace("least(greatest(ps_ttm, -20), 20)", "CASE WHEN ps_ttm IS NOT NULL THEN least(greatest(ps_ttm, -20), 20) END"))
+
+
+def _policies(v, **how):
+    """Valuation columns stand in for four registered features with different policies."""
+    df = v.daily_basic().join(v.industry_static().select("ts_code", "l1_name"), "ts_code")
+    df = df.selectExpr("ts_code", "trade_date", "l1_name", "pb AS gap_open", "floor(pe_ttm * 100) / 100 AS pe_ttm_rank_ind", "ps_ttm AS intraday_trend_eff", "volume_ratio AS support_5")
+    return apply_policies(df, {c: c for c in _POL_COLS}, **how).drop("l1_name")
+
+
+@query("registry_policies", _POL_SQL)
+def registry_policies(v):
+    return _policies(v, width=v.width)
+
+
+@query("registry_policies_split", _POL_SQL)
+def registry_policies_split(v):
+    return _policies(v, plan="split")
+
+
+_IND_RANKS = ["pe_ttm_rank_mkt", "pe_ttm_rank_ind", "pb_rank_ind", "valuation_compress_score"]
+
+
+@query("fundamental_true_industry_ranks", with_views(["daily_basic", "industry_static"], r_sql(_IND_RANKS, "s", KEYS), i="SELECT b.*, l1_name FROM daily_basic b JOIN industry_static i ON b.ts_code = i.ts_code",
+    r=f"SELECT *, {avg_rank_sql('pe_ttm', 'trade_date', 'pe_ttm_rank_mkt')}, {avg_rank_sql('pe_ttm', 'trade_date, l1_name', 'pe_ttm_rank_ind')}, {avg_rank_sql('pb', 'trade_date, l1_name', 'pb_rank_ind')}, {avg_rank_sql('ps_ttm', 'trade_date, l1_name', 'ps_ttm_rank_ind')} FROM i",
+    s="SELECT *, -0.4 * pe_ttm_rank_ind - 0.4 * pb_rank_ind - 0.2 * ps_ttm_rank_ind AS valuation_compress_score FROM r"))
+def fundamental_true_industry_ranks(v):
+    """Option of the fundamental table: ranks inside a real industry column."""
+    basic = v.daily_basic().join(v.industry_static().select("ts_code", "l1_name"), "ts_code")
+    return dom.fundamental(v.daily_bars(), basic, width=v.width, industry="l1_name").select("ts_code", "trade_date", *_IND_RANKS)

@@ -142,8 +142,8 @@ _VER = {"pit": PIT, "base": BASE.format(src="pit"),
 @query("factor_version_comparison", with_views(PIT_VIEWS, r_sql(_SUM, "sm", ["version", "n_dates", "n_obs"], 4), **_VER), digits=4)
 def factor_version_comparison(v):
     df = ev.forward_returns(fac.base_factors(pit_panel(v)), horizons=(1,)).withColumns({"raw": F.col("bp"), "winsor_z": F.col("bp")})
-    df = xs.standardize(xs.winsorize(df, ["winsor_z"], ["trade_date"], plan="window"), ["winsor_z"], ["trade_date"])
-    df = df.withColumn("industry_rank", xs.ordinal_rank_expr("bp", ["trade_date", "l2_name"], "ts_code"))
+    df = xs.standardize(xs.winsorize(df, ["winsor_z"], ["trade_date"], width=v.width), ["winsor_z"], ["trade_date"])
+    df = xs.add_ranks(df, {"industry_rank": "bp"}, ["trade_date", "l2_name"], ["ts_code"], "ts_code", width=v.width)
     df = neutralize(df, "bp", "neutral", width=v.width)
     rows = df.select("ts_code", "trade_date", F.col("ret_1").alias("ret"), "raw", "winsor_z", "industry_rank", "neutral")
     rows = rows.unpivot(["ts_code", "trade_date", "ret"], ["raw", "winsor_z", "industry_rank", "neutral"], "version", "f").withColumn("f", F.round("f", 9))
@@ -164,13 +164,11 @@ def tradability_filter(v):
     l=f"SELECT *, {avg_rank_sql('ret_5', 'trade_date', 'ret_rank')}, CASE WHEN ret_5 IS NOT NULL THEN CAST(row_number() OVER (PARTITION BY trade_date ORDER BY ret_5 DESC NULLS LAST, ts_code) <= 10 AS INTEGER) END AS top_10 FROM n"))
 def training_labels(v):
     """Forward-return labels: raw, cross-section rank, industry residual, top-10 hit."""
-    from pyspark.sql import Window
-
     df = with_returns(v).join(v.industry_static().select("ts_code", "l1_name"), "ts_code")
     df = neutralize(df, "ret_5", "ret_residual", sizes=[], width=v.width)
     df = xs.add_ranks(df, {"ret_rank": "ret_5"}, ["trade_date"], ["ts_code"], "ts_code", method="average", width=v.width)
-    place = F.row_number().over(Window.partitionBy("trade_date").orderBy(F.col("ret_5").desc_nulls_last(), "ts_code"))
-    return df.select("ts_code", "trade_date", "ret_5", "ret_rank", "ret_residual", F.when(F.col("ret_5").isNotNull(), (place <= 10).cast("int")).alias("top_10"))
+    df = xs.add_top_k(df, "ret_5", "top_10", ["trade_date"], 10, ["ts_code"], "ts_code", width=v.width)
+    return df.select("ts_code", "trade_date", "ret_5", "ret_rank", "ret_residual", "top_10")
 
 
 # ------------------------------------------------------------------ universe

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from suite.common import query
 from suite.view_sql import rounded as r_sql
 from suite.view_sql import with_views
@@ -149,5 +147,5 @@ _GUARD = "count(*) OVER (PARTITION BY trade_date, l2_name) >= 5"
     PIT_VIEWS, r_sql(["comp_value_quality", "comp_anti_crowded_val"], "alt", KEYS), **without_reports("dfac"),
     alt=_ALT.format(tz=avg_rank_sql("turn_f_z20", "trade_date, l2_name", "tz", _GUARD), vz=avg_rank_sql("vol_ratio_z20", "trade_date, l2_name", "vz", _GUARD))))
 def alternative_composites(v):
-    df = fac.alternative_composites(fac.daily_factors(pit_panel(v), plan="window"))
+    df = fac.alternative_composites(fac.daily_factors(pit_panel(v), plan="auto", width=v.width), width=v.width)
     return df.select("ts_code", "trade_date", "comp_value_quality", "comp_anti_crowded_val")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from suite.common import query
+from suite.common import ORACLES, query
 from suite.factor_queries import BASE, KEYS, PIT, PIT_VIEWS, WC, avg_rank_sql, neutral_ctes, pit_panel, rank_sql, z20_sql
 from suite.view_sql import rounded as r_sql
 from suite.view_sql import with_views
@@ -206,8 +206,8 @@ def industry_rank_split(v):
     SELECT *, {rank_sql('pb', 'l3_name', 'r3')}, {rank_sql('pb', 'l2_name', 'r2')}, {rank_sql('pb', 'l1_name', 'r1')},
     count(pb) OVER (PARTITION BY trade_date, l3_name) AS n3, count(pb) OVER (PARTITION BY trade_date, l2_name) AS n2 FROM pit)"""))
 def industry_rank_fallback(v):
-    df = pit_panel(v)
-    return df.select("ts_code", "trade_date", xs.rank_with_fallback(df, "pb", "trade_date", ["l3_name", "l2_name", "l1_name"], "ts_code").alias("r"))
+    df = xs.add_rank_with_fallback(pit_panel(v), "pb", "r", "trade_date", ["l3_name", "l2_name", "l1_name"], ["ts_code"], "ts_code", width=v.width)
+    return df.select("ts_code", "trade_date", "r")
 
 
 # ------------------------------------------------------------------ buckets, clipping, standardization
@@ -353,7 +353,7 @@ _TCOLS = ["bp_lag", "bp_roc", "bp_diff", "bp_z", "bp_pct", "bp_rank", "bp_ind_ra
     len(list_filter(list(bp) {_FR.format(k=19)}, lambda x: x <= bp)) / count(bp) {_FR.format(k=19)} AS bp_pct,
     {rank_sql('bp', '1', 'bp_rank')}, {rank_sql('bp', 'l2_name', 'bp_ind_rank')}, {bucket_sql('bp', 'trade_date', 5, 'bp_bucket')}, bp * turn_f AS inter FROM base"""))
 def operator_template(v):
-    df = fac.templated(fac.base_factors(pit_panel(v)), ["bp"])
+    df = fac.templated(fac.base_factors(pit_panel(v)), ["bp"], width=v.width)
     return df.withColumn("inter", fac.interaction("bp", "turn_f")).select("ts_code", "trade_date", *_TCOLS, "bp_bucket")
 
 
@@ -366,3 +366,16 @@ def csnorm_model_columns(v):
     df = fac.base_factors(pit_panel(v)).withColumn("bp_z", F.col("bp"))
     df = xs.standardize(xs.winsorize(df, ["bp_z"], ["trade_date"], plan="window"), ["bp_z"], ["trade_date"])
     return neutralize(df, "bp_z", "bp_csnorm", sizes=[], plan="window").select("ts_code", "trade_date", "bp_z", "bp_csnorm")
+
+
+@query("top_k_per_date_split", with_views(["daily_basic"], "SELECT ts_code, strftime(trade_date, '%Y%m%d') AS trade_date, hit FROM t",
+                                          t="SELECT ts_code, trade_date, CASE WHEN pe_ttm IS NOT NULL THEN CAST(row_number() OVER (PARTITION BY trade_date ORDER BY pe_ttm DESC NULLS LAST, ts_code) <= 10 AS INTEGER) END AS hit FROM daily_basic"))
+def top_k_per_date_split(v):
+    df = v.daily_basic().select("ts_code", "trade_date", "pe_ttm")
+    return xs.add_top_k(df, "pe_ttm", "hit", ["trade_date"], 10, ["ts_code"], "ts_code", plan="split").drop("pe_ttm")
+
+
+@query("alternative_composites_split", ORACLES["alternative_composites"])
+def alternative_composites_split(v):
+    df = fac.alternative_composites(fac.daily_factors(pit_panel(v), plan="window"), plan="split")
+    return df.select("ts_code", "trade_date", "comp_value_quality", "comp_anti_crowded_val")

@@ -343,6 +343,16 @@ def fx_symbol_dimension(v):
     return derived.fx_symbols(symbols, ["FX"], ["CL", "VI"])
 
 
+@query("contract_allow_list_fallback", "SELECT lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS ts_code FROM part WHERE p_brand = 'Brand#7' UNION ALL SELECT lpad(CAST(p_partkey AS VARCHAR), 10, '0') FROM part WHERE contains(p_name, 'bolt')")
+def contract_allow_list_fallback(v):
+    """A name filter without hits falls back to the configured brand; one with hits does not."""
+    part = v.table("part").select(F.lpad(F.col("p_partkey").cast("string"), 10, "0").alias("ts_code"), "p_name", "p_brand")
+    configured = part.where("p_brand = 'Brand#7'").select("ts_code")
+    miss = part.where(sc.contains_any("p_name", ["no such name"])).select("ts_code")
+    hit = part.where(sc.contains_any("p_name", ["bolt"])).select("ts_code")
+    return derived.or_configured(miss, configured).unionByName(derived.or_configured(hit, configured))
+
+
 # ------------------------------------------------------------------ increments
 @query("tasks_per_trade_date", with_views(["calendar"], """SELECT dataset, params, sha1(dataset || '|' || params) AS task_key, sha1(params) AS params_hash FROM (SELECT d AS dataset, '{"trade_date":"' || strftime(trade_date, '%Y%m%d') || '"}' AS params FROM calendar, (SELECT unnest(['stock_daily', 'stock_moneyflow']) AS d))"""))
 def tasks_per_trade_date(v):

@@ -101,10 +101,26 @@ def add_ranks(
     return null_safe_join(df, wide, keys)
 
 
-def rank_with_fallback(df: DataFrame, x: str, date: str, levels: Sequence[str], tie: str, min_n: int = 8) -> Column:
-    """Ordinal rank in the finest industry level with ``min_n`` values; the last level has no minimum."""
-    options = [ordinal_rank_expr(x, [date, level], tie, min_n=min_n if i < len(levels) - 1 else 0) for i, level in enumerate(levels)]
-    return F.coalesce(*options)
+def add_rank_with_fallback(
+    df: DataFrame, x: str, out: str, date: str, levels: Sequence[str], id_cols: Sequence[str], tie: str, min_n: int = 8, plan: str = "auto", width: int | None = None
+) -> DataFrame:
+    """Ordinal rank in the finest level with ``min_n`` values; the last level has no minimum."""
+    plan = choose_plan(df, [date], plan, width)
+    temp = [f"_fallback_{i}" for i in range(len(levels))]
+    for i, (name, level) in enumerate(zip(temp, levels)):
+        df = add_ranks(df, {name: x}, [date, level], id_cols, tie, min_n=min_n if i < len(levels) - 1 else 0, plan=plan)
+    return df.withColumn(out, F.coalesce(*temp)).drop(*temp)
+
+
+def add_top_k(df: DataFrame, x: str, out: str, by: Sequence[str], k: int, id_cols: Sequence[str], tie: str, plan: str = "auto", width: int | None = None) -> DataFrame:
+    """1 for the k largest values per group (ties by ``tie``), 0 for the others, NULL for NULL."""
+    if choose_plan(df, by, plan, width) == "window":
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(F.col(x).desc_nulls_last(), tie))
+        return df.withColumn(out, F.when(F.col(x).isNotNull(), (place <= k).cast("int")))
+    keys = [*dict.fromkeys([*by, *id_cols])]
+    rows = df.where(F.col(x).isNotNull()).select(*dict.fromkeys([*keys, tie, x]))
+    placed = running_total(rows, by, [F.col(x).desc(), F.col(tie)], out="_place").select(*keys, (F.col("_place") < k).cast("int").alias(out))
+    return null_safe_join(df, placed, keys)
 
 
 # ---------------------------------------------------------------- quantile edges and buckets

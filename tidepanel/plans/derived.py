@@ -92,3 +92,9 @@ def fx_on_calendar(fx: DataFrame, calendar: DataFrame, close_hour_utc: int, pair
     latest = local.groupBy("ts_code", "known_on").agg(F.max_by(F.struct("bid_close", "ask_close"), "quote_time_gmt").alias("q")).select("ts_code", "known_on", "q.*")
     grid = calendar.select(time).distinct().withColumn("ts_code", F.explode(F.array(*[F.lit(p) for p in pairs])))
     return asof_join(grid, latest, ["ts_code"], time, "known_on", ["bid_close", "ask_close", "known_on"])
+
+
+def or_configured(selected: DataFrame, configured: DataFrame) -> DataFrame:
+    """The selection, or the configured rows when it is empty."""
+    nothing = selected.agg((F.count(F.lit(1)) == 0).alias("e")).scalar()
+    return selected.unionByName(configured.where(nothing))

@@ -6,14 +6,15 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.functions import timeseries as ts
 from tidepanel.functions.scalars import OPEN_END_DATE, column_or, fill, lenient_double, parse_date, ratio
-from tidepanel.operators.cross_section import add_bucket, add_ranks, average_rank_expr, choose_plan, ordinal_rank_expr
+from tidepanel.operators.cross_section import add_bucket, add_ranks, choose_plan
 from tidepanel.operators.dedup import keep_last
 from tidepanel.operators.neutralize import neutralize
+from tidepanel.operators.ordered import null_safe_join
 from tidepanel.operators.pit import asof_join, interval_asof, interval_range
 
 INDUSTRY = ["l1_name", "l2_name", "l3_name"]
@@ -148,15 +149,15 @@ def composites(df: DataFrame, plan: str = "window", width: int | None = None) ->
     return df.withColumns({name: weighted_sum(df, w, strict=["profit_to_gr_ind_rank"]) for name, w in COMPOSITES.items()})
 
 
-def alternative_composites(df: DataFrame) -> DataFrame:
+def alternative_composites(df: DataFrame, plan: str = "auto", width: int | None = None) -> DataFrame:
     """Variant on other inputs: absent columns count as 0, NULL terms stay NULL. The two
-    crowding ranks are average-tie with a minimum of five rows per industry."""
-    made = {}
-    for x in ("turn_f_z20", "vol_ratio_z20"):
-        if f"{x}_ind_rank" not in df.columns:
-            rows = F.count(F.lit(1)).over(Window.partitionBy("trade_date", "l2_name"))
-            made[f"{x}_ind_rank"] = F.when(rows >= 5, average_rank_expr(x, ["trade_date", "l2_name"]))
-    df = df.withColumns(made) if made else df
+    crowding ranks are average-tie, in industries of at least five rows."""
+    missing = {f"{x}_ind_rank": x for x in ("turn_f_z20", "vol_ratio_z20") if f"{x}_ind_rank" not in df.columns}
+    if missing:
+        by = ["trade_date", "l2_name"]
+        df = add_ranks(df, missing, by, ["ts_code"], "ts_code", method="average", plan=choose_plan(df, by, plan, width))
+        rows = null_safe_join(df, df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows")), by)
+        df = rows.withColumns({r: F.when(F.col("_rows") >= 5, F.col(r)) for r in missing}).drop("_rows")
     return df.withColumns({name: weighted_sum(df, w, default=None) for name, w in ALTERNATIVE_COMPOSITES.items()})
 
 
@@ -175,26 +176,22 @@ def factor_panel(basic: DataFrame, members: DataFrame, reports: DataFrame, metri
     return neutralize(df, "ep_ttm", "ep_ttm_neu", industry="l1_name", sizes=["log_size"], plan=plan)
 
 
-def templated(df: DataFrame, columns: Sequence[str], level: str = "l2_name", k: int = 20, q: int = 5) -> DataFrame:
+def templated(df: DataFrame, columns: Sequence[str], level: str = "l2_name", k: int = 20, q: int = 5, plan: str = "auto", width: int | None = None) -> DataFrame:
     """The operator template (lag, change, difference, z-score, own percentile, ranks,
-    bucket, neutral residual) applied to every listed column."""
+    bucket) applied to every listed column."""
     w = ts.entity_window()
-    out = df
+    made = {}
     for c in columns:
-        out = out.withColumns(
-            {
-                f"{c}_lag": ts.lag(c, 1, w), f"{c}_roc": ts.roc(c, k, w), f"{c}_diff": ts.diff(c, k, w),
-                f"{c}_z": ts.zscore(c, k, w), f"{c}_pct": ts.rolling_percentile(c, k, w),
-            }
-        )
+        made |= {
+            f"{c}_lag": ts.lag(c, 1, w), f"{c}_roc": ts.roc(c, k, w), f"{c}_diff": ts.diff(c, k, w),
+            f"{c}_z": ts.zscore(c, k, w), f"{c}_pct": ts.rolling_percentile(c, k, w),
+        }
+    out = df.withColumns(made)
+    plan = choose_plan(out, ["trade_date"], plan, width)
+    out = _rank(out, {f"{c}_ind_rank": c for c in columns}, level, plan, None)
+    out = add_ranks(out, {f"{c}_rank": c for c in columns}, ["trade_date"], ["ts_code"], "ts_code", plan=plan)
     for c in columns:
-        out = out.withColumns(
-            {
-                f"{c}_rank": ordinal_rank_expr(c, ["trade_date"], "ts_code"),
-                f"{c}_ind_rank": ordinal_rank_expr(c, ["trade_date", level], "ts_code"),
-            }
-        )
-        out = add_bucket(out, c, ["trade_date"], q, f"{c}_bucket", plan="window")
+        out = add_bucket(out, c, ["trade_date"], q, f"{c}_bucket", plan=plan)
     return out
 
 

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidepanel.functions.scalars import clip
 from tidepanel.functions.timeseries import forward_fill
+from tidepanel.operators.cross_section import choose_plan
+from tidepanel.operators.ordered import exact_quantiles, null_safe_join
 
 FIELDS = [
     "feature_name", "domain", "source_table", "freq", "entity_key", "time_key", "source_columns", "formula_desc", "unit_type", "value_type",
@@ -72,33 +74,35 @@ def selected_features(selector: str, builders: Sequence[str]) -> list[str]:
     return [c for b in builders for name in wanted for c in _columns_of(name, FEATURES[b])]
 
 
-def apply_fill_policy(name: str, policy: str, industry: str = "l1_name") -> Column:
-    x = F.col(name)
-    if policy in ("zero", "zero_if_both_zero_else_nan"):
-        return F.coalesce(x, F.lit(0.0)) if policy == "zero" else x
-    if policy == "ffill_1d_if_single_gap":
-        return forward_fill(x, Window.partitionBy("ts_code").orderBy("trade_date"), limit=1)
-    if policy == "industry_median":
-        return F.coalesce(x, F.percentile(x, F.lit(0.5)).over(Window.partitionBy("trade_date", industry)))
-    if policy == "clip_0_1":
-        return clip(x, 0.0, 1.0)
-    return x
-
-
-def apply_clip_policy(name: str, policy: str) -> Column:
-    x = F.col(name)
-    if policy == "clip_1_99":
-        q = F.percentile(x, F.array(F.lit(0.01), F.lit(0.99))).over(Window.partitionBy("trade_date"))
-        return clip(x, q[0], q[1])
-    if policy == "clip_0_1_robust":
-        return clip(x, 0.0, 1.0)
-    if policy == "clip_20":
-        return clip(x, -20.0, 20.0)
-    return x
-
-
-def apply_policies(df: DataFrame, columns: dict[str, str], industry: str = "l1_name") -> DataFrame:
-    """Fill and clip each ``{column: registered feature}`` as its registry row says."""
+def _with_quantiles(df: DataFrame, name: str, by: Sequence[str], probs: dict[str, float], plan: str) -> DataFrame:
+    if plan == "window":
+        w = Window.partitionBy(*by)
+        return df.withColumns({k: F.percentile(name, F.lit(p)).over(w) for k, p in probs.items()})
+    return null_safe_join(df, exact_quantiles(df, by, name, probs), by)
+
+
+def apply_policies(df: DataFrame, columns: dict[str, str], industry: str = "l1_name", date: str = "trade_date", plan: str = "auto", width: int | None = None) -> DataFrame:
+    """Fill, then clip, each ``{column: registered feature}`` as its registry row says.
+
+    Policies about empty or zero denominators are already met when features are built.
+    """
     rows = {r["feature_name"]: r for r in feature_registry_rows()}
-    df = df.withColumns({c: apply_fill_policy(c, rows[f]["fill_policy"], industry) for c, f in columns.items()})
-    return df.withColumns({c: apply_clip_policy(c, rows[f]["clip_policy"]) for c, f in columns.items()})
+    plan = choose_plan(df, [date], plan, width)
+    original = df.columns
+    for c, feature in columns.items():
+        fill_policy, clip_policy = rows[feature]["fill_policy"], rows[feature]["clip_policy"]
+        if fill_policy == "zero":
+            df = df.withColumn(c, F.coalesce(c, F.lit(0.0)))
+        elif fill_policy == "ffill_1d_if_single_gap":
+            df = df.withColumn(c, forward_fill(c, Window.partitionBy("ts_code").orderBy(date), limit=1))
+        elif fill_policy == "industry_median":
+            df = _with_quantiles(df, c, [date, industry], {"_median": 0.5}, plan).withColumn(c, F.coalesce(c, "_median")).drop("_median")
+        elif fill_policy == "clip_0_1":
+            df = df.withColumn(c, clip(c, 0.0, 1.0))
+        if clip_policy == "clip_1_99":
+            df = _with_quantiles(df, c, [date], {"_lo": 0.01, "_hi": 0.99}, plan).withColumn(c, clip(c, F.col("_lo"), F.col("_hi"))).drop("_lo", "_hi")
+        elif clip_policy == "clip_0_1_robust":
+            df = df.withColumn(c, clip(c, 0.0, 1.0))
+        elif clip_policy == "clip_20":
+            df = df.withColumn(c, clip(c, -20.0, 20.0))
+    return df.select(*original)
