@@ -217,7 +217,7 @@ def all_domains(v):
 @query("model_panel", with_views(["daily_bars", "daily_basic", "moneyflow", "cost_distribution", "bars_60m"],
                                  r_sql(_PANEL_D, "panel", [*KEYS, *_PANEL_F]), **PANEL_STEPS, panel=_PANEL))
 def model_panel(v):
-    return dom.model_panel(**all_domains(v))
+    return dom.model_panel(**all_domains(v.staged("daily_bars", "daily_basic")))
 
 
 _SELECTED = selected_features("allow_in_alphaprobe", ["price_volume"])

@@ -217,6 +217,7 @@ def _index(v):
 
 
 def _candidates(v):
+    v = v.staged("calendar", "daily_bars")
     return un.candidates(_index(v), v.daily_bars(), v.moneyflow(), v.calendar(), *YEARS, width=v.width, coverage_share=COVER)
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.functions.scalars import clip, ratio
 from tidepanel.operators.ordered import exact_quantiles, group_width, null_safe_join, running_total
+from tidepanel.session import cut_lineage
 
 WINDOW_ROW_LIMIT = 2_000_000
 
@@ -86,19 +87,19 @@ def add_ranks(
     groups = ["_var", *by]
     if method == "average":
         counted = rows.groupBy(*groups, "_x").agg(F.count(F.lit(1)).alias("_ties"))
-        sizes = counted.groupBy(*groups).agg(F.sum("_ties").alias("_n"))
         placed = running_total(counted, groups, ["_x"], weight="_ties", out="_below")
-        placed = null_safe_join(placed, sizes, groups)
+        placed = null_safe_join(placed, placed.groupBy(*groups).agg(F.sum("_ties").alias("_n")), groups)
         placed = placed.withColumn("_rank", (F.col("_below") + 1 + (F.col("_ties") - 1) / 2) / F.col("_n")).drop("_below", "_ties")
         ranked = null_safe_join(rows, placed, [*groups, "_x"])
     else:
-        sizes = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
         placed = running_total(rows, groups, ["_x", tie], out="_below")
+        sizes = placed.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
         ranked = null_safe_join(placed, sizes, groups).withColumn("_rank", (F.col("_below") + 1) / F.col("_n"))
     wide = ranked.groupBy(*keys).agg(
         *[F.max(F.when((F.col("_var") == f"_in_{o}") & (F.col("_n") >= min_n), F.col("_rank"))).alias(o) for o in ranks]
     )
-    return null_safe_join(df, wide, keys)
+    # stored, so that ranking again on the result does not plan this input twice
+    return null_safe_join(df, cut_lineage(wide), keys)
 
 
 def add_rank_with_fallback(

@@ -73,8 +73,8 @@ def exact_quantiles(
     """
     by = list(by)
     counted = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    sizes = counted.groupBy(*by).agg(F.sum("_n").alias("_total"))
     placed = running_total(counted, by, ["_v"], weight="_n", out="_from", parts=parts)
+    sizes = placed.groupBy(*by).agg(F.sum("_n").alias("_total"))  # reads the stored layout, not the input again
     placed = null_safe_join(placed, sizes, by) if by else placed.withColumn("_total", sizes.select("_total").scalar())
 
     def value_at(k: Column) -> Column:

@@ -12,6 +12,7 @@ from tidepanel.functions.scalars import interval_label, parse_date
 from tidepanel.operators.cross_section import add_ranks
 from tidepanel.operators.ordered import running_total
 from tidepanel.operators.pit import trailing_dates
+from tidepanel.session import cut_lineage
 
 # The published selection rules.
 REBALANCE_MONTHS = (1, 7)
@@ -123,9 +124,11 @@ def draw(rows: DataFrame, quotas: DataFrame, plan: str = "window") -> DataFrame:
 
 
 def candidates(index_daily: DataFrame, daily: DataFrame, features: DataFrame, calendar: DataFrame, first_year: int, last_year: int, plan: str = "auto", width: int | None = None, coverage_share: float = COVERAGE_SHARE) -> DataFrame:
-    rebal = rebalance_dates(calendar, first_year, last_year)
+    """All steps up to the size bucket. The dates and the result are stored once: the
+    dates feed five joins, the candidates feed quotas and draw."""
+    rebal = cut_lineage(rebalance_dates(calendar, first_year, last_year))
     rows = covered(eligible(index_daily, rebal), features, rebal, calendar, coverage_share)
-    return with_size_bucket(with_liquidity(rows, daily, rebal, calendar), plan, width)
+    return cut_lineage(with_size_bucket(with_liquidity(rows, daily, rebal, calendar), plan, width))
 
 
 def build_pool(rows: DataFrame, target: int, plan: str = "window") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,10 +14,11 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+_LOCAL_SCRATCH: dict[str, str] = {}
+
 
 def build_session(app: str = "tidepanel", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the library defaults; ``conf`` entries use ``__`` for dots."""
@@ -28,23 +30,29 @@ def build_session(app: str = "tidepanel", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; a scratch one only in local mode."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
-        shared = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    context.setCheckpointDir(shared)
+    if shared:
+        return shared
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return _LOCAL_SCRATCH[app]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it back from there.
+    """Store ``df`` as a table in the shared checkpoint folder and read it back.
 
-    Used where a later step must see exactly the rows (and partition numbers) of
-    an earlier one even if executors are lost in between.
+    Used where a later step must see exactly the rows (and partition numbers) of an
+    earlier one even if executors are lost in between, and where several steps would
+    otherwise recompute the same input. A written table costs one pass, and readers
+    fetch only the columns they need. Tables are kept under the application's id; the
+    folder's own retention removes them.
     """
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{_shared_folder(spark)}/tidepanel/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

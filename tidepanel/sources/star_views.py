@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidepanel.functions.scalars import compact_date, ratio
+from tidepanel.session import cut_lineage
 
 # The financial columns, in the order the factor library documents them.
 FINANCIAL_COLUMNS = [
@@ -58,6 +59,14 @@ class StarViews:
         """Upper bound of rows per date: the number of entities (a footer count)."""
         return self.table("supplier").count()
 
+    def staged(self, *names: str) -> StarViews:
+        """Same views with the named ones stored once, for jobs that read them repeatedly."""
+        out = StarViews(self.spark, self.root)
+        for name in names:
+            frame = cut_lineage(getattr(out, name)())
+            object.__setattr__(out, name, lambda frame=frame: frame)
+        return out
+
     def _lines(self) -> DataFrame:
         return self.table("lineitem").withColumns(
             {"ts_code": code("l_suppkey"), "trade_date": _week("l_shipdate"), "price": F.col("l_extendedprice") / F.col("l_quantity")}
