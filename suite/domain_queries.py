@@ -220,7 +220,7 @@ def model_panel(v):
     return dom.model_panel(**all_domains(v.staged("daily_bars", "daily_basic")))
 
 
-_SELECTED = selected_features("allow_in_alphaprobe", ["price_volume"])
+_SELECTED = selected_features("allow_in_search", ["price_volume"])
 
 
 @query("registry_selected_features", with_views(["daily_bars", "daily_basic"], r_sql(_SELECTED, "a2", KEYS), **A_STEPS))

@@ -66,9 +66,9 @@ def test_model_panel_skips_missing_tables(spark):
 def test_registry_shape_and_selectors(spark):
     reg = registry.feature_registry(spark)
     assert (reg.count(), len(reg.columns)) == (40, 17)
-    assert reg.where("allow_in_alphaprobe = 0").agg(F.collect_set("domain")).first()[0] == ["D"]
+    assert reg.where("allow_in_search = 0").agg(F.collect_set("domain")).first()[0] == ["D"]
     assert registry.domain_registry(spark).where("field_name = 'intraday_trend_eff'").first().processing == "Clipped [-20, 20]"
-    assert "pe_ttm_rank_ind" not in registry.selected_features("allow_in_alphaprobe", ["fundamental"])
+    assert "pe_ttm_rank_ind" not in registry.selected_features("allow_in_search", ["fundamental"])
     assert "pe_ttm_rank_ind" in registry.selected_features("allow_in_model", ["fundamental"])
 
 

@@ -14,7 +14,7 @@ from tidepanel.operators.ordered import exact_quantiles, null_safe_join
 
 FIELDS = [
     "feature_name", "domain", "source_table", "freq", "entity_key", "time_key", "source_columns", "formula_desc", "unit_type", "value_type",
-    "allow_in_alphaprobe", "allow_in_model", "fill_policy", "clip_policy", "neutralize_policy", "start_date", "notes",
+    "allow_in_search", "allow_in_model", "fill_policy", "clip_policy", "neutralize_policy", "start_date", "notes",
 ]
 
 # Registered features per domain (letter, builder, source table, first date, names).
