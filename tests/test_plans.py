@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidepanel.operators import universe as un
+from tidepanel.operators.neutralize import apply_by_date
 from tidepanel.plans import domains, factors, registry
-from tidepanel.sources.star_views import StarViews
+from tidepanel.sources.star_views import FINANCIAL_COLUMNS, StarViews
 
 D = dt.date(2024, 1, 2)
 
@@ -98,3 +99,21 @@ def test_factor_panel_is_blind_to_input_order(spark, sf_dir):
         df = factors.daily_factors(factors.point_in_time_panel(order(v.daily_basic()), order(v.industry_pit()), None))
         return {(r.ts_code, r.trade_date): r.value_recovery for r in df.select("ts_code", "trade_date", "value_recovery").collect()}
     assert run(False) == run(True)
+
+
+def test_factor_panel_is_the_same_on_the_split_plan(spark, sf_dir):
+    v = StarViews(spark, sf_dir).staged("daily_basic", "industry_pit")
+    reports = v.fina_indicator()
+    cols = ["ts_code", "trade_date", "value_recovery", "roe_dt_ind_rank", "debt_to_assets_ind_rank", *factors.COMPOSITES, "ep_ttm_neu"]
+
+    def run(width):
+        df = factors.factor_panel(v.daily_basic(), v.industry_pit(), reports, FINANCIAL_COLUMNS, width, ["report_type"])
+        return sorted((tuple(None if x is None else round(x, 9) if isinstance(x, float) else x for x in r) for r in df.select(cols).collect()), key=lambda r: r[:2])
+
+    assert run(10) == run(10**9)
+
+
+def test_apply_by_date_runs_user_functions(spark):
+    df = spark.createDataFrame([("d", "a", 1.0), ("d", "b", 3.0), ("e", "a", 5.0)], "trade_date string, ts_code string, x double")
+    out = apply_by_date(df, lambda pdf: pdf.assign(x=pdf.x - pdf.x.mean()), "trade_date string, ts_code string, x double")
+    assert sorted(r.x for r in out.collect()) == [-1.0, 0.0, 1.0]
