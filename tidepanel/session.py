@@ -43,6 +43,11 @@ def _shared_folder(spark: SparkSession) -> str:
     return _LOCAL_SCRATCH[app]
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A path for this application in the folder that all executors share."""
+    return f"{_shared_folder(spark)}/tidepanel/{spark.sparkContext.applicationId}/{name}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Store ``df`` as a table in the shared checkpoint folder and read it back.
 
@@ -53,6 +58,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     folder's own retention removes them.
     """
     spark = df.sparkSession
-    path = f"{_shared_folder(spark)}/tidepanel/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = shared_path(spark, uuid.uuid4().hex)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
