@@ -9,11 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidepanel.llm.common import table
 from tidepanel.llm.exact_dedup import exact_duplicates
+from tidepanel.llm.licenses import license_scan
 from tidepanel.llm.sharding import shard_by_bytes
+from tidepanel.llm.simhash import simhash_components
 from tidepanel.llm.token_counts import token_counts
+from tidepanel.llm.toxicity import toxicity
 from tidepanel.session import shared_path
 
 
+def op2_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_ball_hash_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
 def op6_sampled_splitter_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"), shards=40)
 
@@ -22,6 +33,10 @@ def op7_bloom_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_license_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op10_digest_cached_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty cache, so that every distinct text is encoded."""
     cache = shared_path(spark, f"token-cache-{uuid.uuid4().hex}")
@@ -36,4 +51,4 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d
 """,
 }
 
-QUERIES = {f.__name__: f for f in (op6_sampled_splitter_shards, op7_bloom_exact_dedup, op10_digest_cached_token_counts)}
+QUERIES = {f.__name__: f for f in (op2_subword_toxicity, op4_ball_hash_simhash, op6_sampled_splitter_shards, op7_bloom_exact_dedup, op8_license_similarity_join, op10_digest_cached_token_counts)}
