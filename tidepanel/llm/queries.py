@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidepanel.llm.common import table
+from tidepanel.llm.decontaminate import contaminated
 from tidepanel.llm.exact_dedup import exact_duplicates
 from tidepanel.llm.licenses import license_scan
+from tidepanel.llm.packing import pack_documents
 from tidepanel.llm.sharding import shard_by_bytes
 from tidepanel.llm.simhash import simhash_components
 from tidepanel.llm.token_counts import token_counts
@@ -17,6 +19,10 @@ from tidepanel.llm.toxicity import toxicity
 from tidepanel.session import shared_path
 
 
+def op1_bm25_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op2_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -37,6 +43,10 @@ def op8_license_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op9_block_max_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_digest_cached_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty cache, so that every distinct text is encoded."""
     cache = shared_path(spark, f"token-cache-{uuid.uuid4().hex}")
@@ -51,4 +61,4 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d
 """,
 }
 
-QUERIES = {f.__name__: f for f in (op2_subword_toxicity, op4_ball_hash_simhash, op6_sampled_splitter_shards, op7_bloom_exact_dedup, op8_license_similarity_join, op10_digest_cached_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_bm25_retrieval_packing, op2_subword_toxicity, op4_ball_hash_simhash, op6_sampled_splitter_shards, op7_bloom_exact_dedup, op8_license_similarity_join, op9_block_max_decontamination, op10_digest_cached_token_counts)}

@@ -77,5 +77,5 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with the smallest id of their component (and those without an id), with their columns."""
-    gone = simhash_components(docs, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("_gone"), "left_anti")
+    gone = simhash_components(docs, id_col, text_col).where("doc_id <> component_id").select("doc_id")
+    return docs.alias("own").join(gone.alias("gone"), F.col(f"own.`{id_col}`") == F.col("gone.doc_id"), "left_anti")

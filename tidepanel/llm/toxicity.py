@@ -39,10 +39,14 @@ TRAIN_BYTES = 50_000
 BUCKETS = 1 << 18
 DIMENSIONS = 8
 WINDOW = 8
-STEPS = 100
-#: Largest step of a weight, at the start; and in how many sampled texts an n-gram must stand to be learned.
+STEPS = 120
+#: Largest step of a weight, at the start.
 STEP = 2.0
-LEAST_TEXTS = 5
+#: Share of the loss that the toxic texts make up, whatever their number in the sample.
+TOXIC_WEIGHT = 0.3
+#: An n-gram is learned if it stands in so many sampled texts, and its share of texts differs between the
+#: classes by so many standard deviations of chance; the embeddings of all others stay zero.
+LEAST_TEXTS, LEAST_DEVIATIONS = 5, 4.0
 GRAMS = (3, 4, 5)
 #: A worker forgets its word scores beyond this many words; it only costs time.
 MEMO_WORDS = 400_000
@@ -106,18 +110,26 @@ def train(texts: list[str], toxic: list[int], steps: int = STEPS, seed: int = 7)
     gram = np.fromiter((g for own in grams for g in own), dtype=np.int64, count=int(per_word.sum()))
     of_word = np.repeat(np.arange(len(ids)), per_word)
     word, sizes, y = np.array(words, dtype=np.int64), np.array(sizes, dtype=np.int64), np.array(toxic, dtype=np.float64)
-    in_text = np.unique(np.repeat(np.arange(len(sizes)), sizes) * len(ids) + word) % max(1, len(ids))
-    texts_with = np.bincount(gram, weights=np.bincount(in_text, minlength=len(ids))[of_word], minlength=BUCKETS)
-    live = texts_with[gram] >= LEAST_TEXTS
+    begin = np.concatenate([[0], np.cumsum(per_word)[:-1]])
+    held = np.zeros((2, BUCKETS))
+    for label, own in zip(toxic, np.split(word, np.cumsum(sizes)[:-1]), strict=True):
+        own = np.unique(own)
+        span = np.repeat(begin[own] - np.concatenate([[0], np.cumsum(per_word[own])[:-1]]), per_word[own]) + np.arange(per_word[own].sum())
+        held[label, np.unique(gram[span])] += 1
+    n = np.maximum(1, np.array([(y == 0).sum(), (y == 1).sum()]))
+    share = held.sum(axis=0) / n.sum()
+    beyond_chance = np.abs(held[1] / n[1] - held[0] / n[0]) / np.sqrt(share * (1 - share) * (1 / n[0] + 1 / n[1]) + 1e-12)
+    live = (beyond_chance[gram] >= LEAST_DEVIATIONS) & (held.sum(axis=0)[gram] >= LEAST_TEXTS)
     gram, of_word = gram[live], of_word[live]
     seen, gram = np.unique(gram, return_inverse=True)
+    calm = 1 / np.sqrt(held.sum(axis=0)[seen])  # an n-gram of many texts has more chance agreement with the labels
     starts, first = _windows(sizes)
     ends = np.concatenate([starts[1:], [len(word)]])
     own_text = np.repeat(np.arange(len(sizes)), np.diff(np.concatenate([first, [len(starts)]])))
     length = np.maximum(1, ends - starts)
     of_window = np.repeat(np.arange(len(starts)), ends - starts)
     per_word = np.maximum(1, per_word)
-    weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
+    weight = np.where(y == 1, TOXIC_WEIGHT / max(1, y.sum()), (1 - TOXIC_WEIGHT) / max(1, (1 - y).sum()))
     embeddings, softmax = draw.normal(0, 0.001, (len(seen), DIMENSIONS)), np.zeros((DIMENSIONS + 1, 2))
     softmax[:-1] = draw.normal(0, 0.5, (DIMENSIONS, 2))
     speed = [np.zeros_like(embeddings), np.zeros_like(softmax)]
@@ -131,7 +143,7 @@ def train(texts: list[str], toxic: list[int], steps: int = STEPS, seed: int = 7)
         share /= np.add.reduceat(share, first)[own_text]
         to_window = error[own_text] * share
         to_word = np.bincount(word, weights=(to_window / length)[of_window], minlength=len(ids)) / per_word
-        to_gram = np.bincount(gram, weights=to_word[of_word], minlength=len(seen))
+        to_gram = np.bincount(gram, weights=to_word[of_word], minlength=len(seen)) * calm
         grow = np.zeros_like(softmax)
         grow[:-1, 1] = embeddings.T @ to_gram
         grow[-1, 1] = to_window.sum()
@@ -158,9 +170,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = labels.where(~held_out(id_col) & F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_label"))
     order = F.xxhash64("_id", F.lit(11))
     chosen = known.where("_label = 0").orderBy(order).limit(TRAIN_PER_CLASS).union(known.where("_label = 1").orderBy(order).limit(TRAIN_PER_CLASS))
-    text = F.col(text_col).cast("string")
-    sample = docs.where(F.octet_length(text) <= TRAIN_BYTES).join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select("_id", text.alias("_text"), "_label")
-    rows = sorted({(r["_id"], r["_text"], r["_label"]) for r in sample.collect()})  # bounded by the two limits
+    own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).where(F.octet_length("_text") <= TRAIN_BYTES)
+    rows = sorted({(r["_id"], r["_text"], r["_label"]) for r in own.join(F.broadcast(chosen), "_id").collect()})  # bounded by the two limits
     return train([r[1] for r in rows], [r[2] for r in rows]) if {0, 1} <= {r[2] for r in rows} else None
 
 
