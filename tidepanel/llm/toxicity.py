@@ -43,7 +43,7 @@ STEPS = 120
 #: Largest step of a weight, at the start.
 STEP = 2.0
 #: Share of the loss that the toxic texts make up, whatever their number in the sample.
-TOXIC_WEIGHT = 0.3
+TOXIC_WEIGHT = 0.4
 #: An n-gram is learned if it stands in so many sampled texts, and its share of texts differs between the
 #: classes by so many standard deviations of chance; the embeddings of all others stay zero.
 LEAST_TEXTS, LEAST_DEVIATIONS = 5, 4.0
