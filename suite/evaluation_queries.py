@@ -133,7 +133,7 @@ _VER = {"pit": PIT, "base": BASE.format(src="pit"),
         "w": "SELECT rr.*, least(greatest(bp, lo), hi) AS bw FROM rr JOIN q ON rr.trade_date = q.trade_date",
         "z": f"SELECT *, CASE WHEN max(bw) OVER d > min(bw) OVER d THEN (bw - avg(bw) OVER d) / stddev_samp(bw) OVER d ELSE bw - avg(bw) OVER d END AS winsor_z, {rank_sql('bp', 'l2_name', 'industry_rank')} FROM w WINDOW d AS (PARTITION BY trade_date)",
         **neutral_ctes("bp", "neutral", "z", "ln(circ_mv)", "l1_name"),
-        "lg": " UNION ALL ".join(f"SELECT trade_date, '{n}' AS version, round({c}, 9) AS f, ret FROM n" for n, c in (("raw", "bp"), ("winsor_z", "winsor_z"), ("industry_rank", "industry_rank"), ("neutral", "neutral"))),
+        "lg": " UNION ALL ".join(f"SELECT trade_date, '{n}' AS version, {c} AS f, ret FROM n" for n, c in (("raw", "bp"), ("winsor_z", "winsor_z"), ("industry_rank", "industry_rank"), ("neutral", "neutral"))),
         "rk": f"SELECT *, {avg_rank_sql('f', 'version, trade_date', 'fr')}, {avg_rank_sql('ret', 'version, trade_date', 'rr')} FROM (SELECT * FROM lg WHERE f IS NOT NULL AND ret IS NOT NULL)",
         "ic": f"SELECT version, trade_date, {_CORR.format(x='f', y='ret')} AS ic, {_CORR.format(x='fr', y='rr')} AS rank_ic, count(*) AS n_obs FROM rk GROUP BY 1, 2",
         "sm": _SUMMARY.format(by="version", src="ic")}
@@ -146,7 +146,7 @@ def factor_version_comparison(v):
     df = xs.add_ranks(df, {"industry_rank": "bp"}, ["trade_date", "l2_name"], ["ts_code"], "ts_code", width=v.width)
     df = neutralize(df, "bp", "neutral", width=v.width)
     rows = df.select("ts_code", "trade_date", F.col("ret_1").alias("ret"), "raw", "winsor_z", "industry_rank", "neutral")
-    rows = rows.unpivot(["ts_code", "trade_date", "ret"], ["raw", "winsor_z", "industry_rank", "neutral"], "version", "f").withColumn("f", F.round("f", 9))
+    rows = rows.unpivot(["ts_code", "trade_date", "ret"], ["raw", "winsor_z", "industry_rank", "neutral"], "version", "f")
     return ev.ic_summary(ev.information_coefficients(rows, "f", ["version", "trade_date"], width=v.width), ["version"])
 
 

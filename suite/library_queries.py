@@ -236,12 +236,37 @@ def quantile_bucket_split(v):
     return _buckets(v, "split")
 
 
+def decile_sql(x: str, by: str, table: str) -> str:
+    """Deciles from sorted lists, with the interpolation written out."""
+    return f"""SELECT ts_code, strftime(t.trade_date, '%Y%m%d') AS trade_date, CASE WHEN {x} IS NOT NULL THEN CAST(greatest(1, len(list_filter(list_distinct(edges), lambda e: e < {x}))) AS INTEGER) END AS decile
+    FROM {table} t LEFT JOIN (SELECT {by}, list_transform([{', '.join(repr(i / 10) for i in range(11))}], lambda p: CASE WHEN xs[CAST(floor(p * (len(xs) - 1)) AS BIGINT) + 1] = xs[CAST(ceil(p * (len(xs) - 1)) AS BIGINT) + 1]
+        THEN xs[CAST(floor(p * (len(xs) - 1)) AS BIGINT) + 1] ELSE (ceil(p * (len(xs) - 1)) - p * (len(xs) - 1)) * xs[CAST(floor(p * (len(xs) - 1)) AS BIGINT) + 1] + (p * (len(xs) - 1) - floor(p * (len(xs) - 1))) * xs[CAST(ceil(p * (len(xs) - 1)) AS BIGINT) + 1] END) AS edges
+    FROM (SELECT {by}, list({x} ORDER BY {x}) FILTER (WHERE {x} IS NOT NULL) AS xs FROM {table} GROUP BY 1)) q ON t.{by} = q.{by}"""
+
+
+_DECILE = with_views(["daily_basic"], decile_sql("pb", "trade_date", "daily_basic"))
+
+
+def _deciles(v, plan):
+    return xs.add_bucket(v.daily_basic().select("ts_code", "trade_date", "pb"), "pb", ["trade_date"], 10, "decile", plan=plan).drop("pb")
+
+
+@query("quantile_bucket_decile", _DECILE)
+def quantile_bucket_decile(v):
+    return _deciles(v, "window")
+
+
+@query("quantile_bucket_decile_split", _DECILE)
+def quantile_bucket_decile_split(v):
+    return _deciles(v, "split")
+
+
 @query("bucket_in_industry_vs_market", with_views(PIT_VIEWS, r_sql(["mean_pe"], "t", ["scope", "bucket", "n"], 4), pit=PIT, b=f"""SELECT pe_ttm, {bucket_sql('pb', 'trade_date, l1_name', 3, 'bi')}, {bucket_sql('pb', 'trade_date', 3, 'bm')} FROM pit""",
     t="SELECT 'industry' AS scope, CAST(bi AS INTEGER) AS bucket, count(*) AS n, avg(pe_ttm) AS mean_pe FROM b GROUP BY 2 UNION ALL SELECT 'market', CAST(bm AS INTEGER), count(*), avg(pe_ttm) FROM b GROUP BY 2"), digits=4)
 def bucket_in_industry_vs_market(v):
     df = pit_panel(v).select("ts_code", "trade_date", "l1_name", "pb", "pe_ttm")
-    df = xs.add_bucket(df, "pb", ["trade_date", "l1_name"], 3, "industry", plan="window")
-    df = xs.add_bucket(df, "pb", ["trade_date"], 3, "market", plan="window")
+    df = xs.add_bucket(df, "pb", ["trade_date", "l1_name"], 3, "industry", width=v.width)
+    df = xs.add_bucket(df, "pb", ["trade_date"], 3, "market", width=v.width)
     return df.unpivot(["pe_ttm"], ["industry", "market"], "scope", "bucket").groupBy("scope", "bucket").agg(F.count(F.lit(1)).alias("n"), F.avg("pe_ttm").alias("mean_pe"))
 
 

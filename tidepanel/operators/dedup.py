@@ -17,7 +17,12 @@ from pyspark.sql import types as T
 def _keep(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick) -> DataFrame:
     order = [c for c in order if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
-    best = pick(F.struct(*order, *rest)).alias("_best")
+    maps = [c for c in rest if isinstance(df.schema[c].dataType, T.MapType)]
+    if maps:  # maps have no order: ties go by their sorted entries
+        by = F.struct(*order, *[F.array_sort(F.map_entries(c)).alias(c) if c in maps else F.col(c) for c in rest])
+        best = (F.max_by if pick is F.max else F.min_by)(F.struct(*order, *rest), by).alias("_best")
+    else:
+        best = pick(F.struct(*order, *rest)).alias("_best")
     return df.groupBy(*keys).agg(best).select(*keys, "_best.*").select(*df.columns)
 
 

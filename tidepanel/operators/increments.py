@@ -65,9 +65,12 @@ def pending(planned: DataFrame, done: DataFrame, key: str = "task_key") -> DataF
     return planned.join(done.select(key).distinct(), key, "left_anti")
 
 
-def ledger_state(ledger: DataFrame) -> DataFrame:
-    """Current state of an append-only ledger: the latest row per task."""
-    return keep_last(ledger, ["task_key"], ["updated_at"])
+def ledger_state(ledger: DataFrame, sequence: str | None = None) -> DataFrame:
+    """Current state of an append-only ledger: the last written row per task.
+
+    ``sequence`` numbers the writes and decides between rows of one ``updated_at``.
+    """
+    return keep_last(ledger, ["task_key"], ["updated_at", *([sequence] if sequence else [])])
 
 
 def resume_dates(history: DataFrame, entity: str, time: str) -> DataFrame:

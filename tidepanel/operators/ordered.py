@@ -87,9 +87,11 @@ def exact_quantiles(
             aggs.append(value_at(F.floor(at + 0.5)).alias(name))
             out.append(F.col(name))
         else:
-            aggs += [value_at(F.floor(at)).alias(f"_lo_{name}"), value_at(F.ceil(at)).alias(f"_hi_{name}"), F.max(at - F.floor(at)).alias(f"_fr_{name}")]
-            lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-            out.append((lo + (hi - lo) * F.col(f"_fr_{name}")).alias(name))
+            aggs += [value_at(F.floor(at)).alias(f"_lo_{name}"), value_at(F.ceil(at)).alias(f"_hi_{name}"), F.max(at).alias(f"_at_{name}")]
+            lo, hi, place = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), F.col(f"_at_{name}")
+            # the form that percentile() evaluates, so that both plans give the same bits
+            between = (F.ceil(place) - place) * lo + (place - F.floor(place)) * hi
+            out.append(F.when(lo == hi, lo.cast("double")).otherwise(between).alias(name))
     return placed.groupBy(*by).agg(*aggs).select(*by, *out)
 
 

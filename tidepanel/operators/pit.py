@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _FROM_START = (Window.unboundedPreceding, 0)
 
 
+def _has_map(dtype: T.DataType) -> bool:
+    return "map<" in dtype.simpleString()
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -22,6 +28,8 @@ def asof_join(
 ) -> DataFrame:
     """Latest right row with ``right_on <= left_on`` per key; unmatched left rows keep NULLs.
 
+    A NULL key matches nothing. Left rows with one are spread over many window partitions.
+
     Both sides are stacked and scanned once. The right row travels as one struct, so
     a NULL field of the matched row is never replaced by an older row's value.
 
@@ -34,16 +42,19 @@ def asof_join(
     by = list(by)
     chunk_of = (lambda t: F.date_trunc(chunk, t)) if chunk else (lambda t: F.lit(None).cast("timestamp"))
     kept = [c for c in left.columns if c not in by]
+    no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in by])
     left_rows = left.select(
         *by,
+        F.when(no_key, F.pmod(F.xxhash64(*[F.col(c) for c in kept if not _has_map(left.schema[c].dataType)]), F.lit(1024))).otherwise(0).alias("_spread"),
         chunk_of(F.col(left_on)).alias("_chunk"),
         F.col(left_on).alias("_t"),
         F.lit(1).alias("_side"),
         F.lit(0).alias("_rank"),
         F.struct(*kept).alias("_left"),
     )
-    right_rows = right.where(F.col(right_on).isNotNull()).select(
+    right_rows = right.where(F.col(right_on).isNotNull() & ~no_key).select(
         *by,
+        F.lit(0).cast("long").alias("_spread"),
         chunk_of(F.col(right_on)).alias("_chunk"),
         F.col(right_on).alias("_t"),
         F.lit(0).alias("_side"),
@@ -51,17 +62,17 @@ def asof_join(
         F.struct(*payload).alias("_right"),
     )
     if right_order:  # one right row per (key, time): the last in the given order
-        right_rows = right_rows.groupBy(*by, "_chunk", "_t", "_side").agg(F.max(F.struct("_tie", "_right")).alias("_m")).select(
-            *by, "_chunk", "_t", "_side", F.col("_m._right").alias("_right")
+        right_rows = right_rows.groupBy(*by, "_spread", "_chunk", "_t", "_side").agg(F.max(F.struct("_tie", "_right")).alias("_m")).select(
+            *by, "_spread", "_chunk", "_t", "_side", F.col("_m._right").alias("_right")
         )
     else:
         right_rows = right_rows.drop("_tie")
     stacked = left_rows.drop("_rank").unionByName(right_rows, allowMissingColumns=True)
-    slice_keys = [*by, "_chunk"] if chunk else by
+    slice_keys = [*by, "_spread", "_chunk"] if chunk else [*by, "_spread"]
     scan = Window.partitionBy(*slice_keys).orderBy("_t", "_side").rowsBetween(*_FROM_START)
     matched = stacked.withColumn("_match", F.last("_right", ignorenulls=True).over(scan)).where("_side = 1")
     if chunk:
-        slices = left_rows.select(*by, "_chunk").distinct()
+        slices = left_rows.where(~no_key).select(*by, "_chunk").distinct()
         newest = right_rows.groupBy(*by, "_chunk").agg(F.max_by("_right", "_t").alias("_newest"))
         before = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
         carried = (
@@ -76,12 +87,12 @@ def asof_join(
 def interval_asof(
     facts: DataFrame, intervals: DataFrame, by: str, at: str, start: str, end: str, payload: Sequence[str], how: str = "inner"
 ) -> DataFrame:
-    """Latest interval that has started, kept only while ``at < end``.
+    """Latest interval that has started, kept only while ``at < end``; of one start, the latest end.
 
     ``how="inner"`` drops rows without a valid interval, ``how="left"`` blanks them.
     """
     wanted = [*dict.fromkeys([*payload, start, end])]
-    joined = asof_join(facts, intervals, [by], at, start, wanted)
+    joined = asof_join(facts, intervals, [by], at, start, wanted, right_order=[*dict.fromkeys([end, *payload])])
     valid = F.col(at) < F.col(end)
     if how == "inner":
         return joined.where(valid)

@@ -15,22 +15,27 @@ from tidepanel.operators.ordered import exact_quantiles
 # Profile quantiles and report thresholds.
 QUANTILES = {"q01": 0.01, "q05": 0.05, "q25": 0.25, "q50": 0.50, "q75": 0.75, "q95": 0.95, "q99": 0.99}
 NULL_PCT_ISSUE, ZERO_PCT_ISSUE = 50, 90
-HIGH_ZERO_PCT, HIGH_ZERO_ROWS = 15, 10
-HIGH_NULL_PCT, HIGH_NULL_ROWS = 10, 5
-HISTOGRAM_BINS, HISTOGRAM_COLUMNS = 50, 20
+HIGH_ZERO_PCT, HIGH_NULL_PCT = 15, 10
+HISTOGRAM_BINS = 50
 INDEX_KEYS = ("ts_code", "trade_date")
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if is_numeric(f.dataType) and not isinstance(f.dataType, T.DecimalType)]
+    return [f.name for f in df.schema.fields if is_numeric(f.dataType)]
+
+
+def _number(c: str) -> Column:
+    """The column as double, NaN as missing."""
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
 
 
 def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
+    return df.select(*[_number(c).alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
 
 
 def profile(df: DataFrame, name: str) -> DataFrame:
-    """One row per column: nulls, zeros, infinities, moments and seven exact quantiles.
+    """One row per column: nulls, zeros, NaN, infinities, moments and seven exact quantiles (NaN left out).
 
     Counts and moments of all columns come from a single aggregation. Quantiles go
     through the split ordered scan, so no task holds a column's distinct values.
@@ -40,7 +45,7 @@ def profile(df: DataFrame, name: str) -> DataFrame:
     def entry(field: T.StructField) -> Column:
         c, numeric = F.col(field.name), field.name in numbers
         nothing, n = F.lit(None).cast("double"), F.count(F.lit(1))
-        x = F.when(~F.isnan(c.cast("double")), c.cast("double")) if numeric else None
+        x = _number(field.name) if numeric else None
         std = F.when(F.count(x) > 1, F.stddev_samp(x)).when(F.count(x) == 1, 0.0) if numeric else nothing
         zeros = F.count_if(c == 0) if numeric else F.lit(0).cast("long")
         return F.struct(
@@ -49,6 +54,7 @@ def profile(df: DataFrame, name: str) -> DataFrame:
             zeros.alias("zero_count"), F.round(F.try_divide(zeros * 100, n), 4).alias("zero_pct"),
             (F.min(x) if numeric else nothing).alias("min"), (F.max(x) if numeric else nothing).alias("max"),
             (F.avg(x) if numeric else nothing).alias("mean"), std.alias("std"),
+            (F.count_if(F.isnan(c.cast("double"))) if numeric else F.lit(0).cast("long")).alias("nan_count"),
             (F.count_if(F.abs(c.cast("double")) == float("inf")) if numeric else F.lit(0).cast("long")).alias("inf_count"),
         )
 
@@ -94,15 +100,20 @@ def catalog(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.array(*[entry(f) for f in df.schema.fields]).alias("e")).select(F.lit(name).alias("file_name"), F.inline("e"))
 
 
-def histogram(df: DataFrame, bins: int = HISTOGRAM_BINS, max_columns: int = HISTOGRAM_COLUMNS) -> DataFrame:
-    """Equal-width histogram of the first numeric columns; the top edge belongs to the last bin."""
-    cols = numeric_columns(df)[:max_columns]
-    edges = df.agg(*[F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(c) for c in cols])
-    rows = df.select(*cols).withColumn("_e", edges.select(F.struct("*").alias("e")).scalar())
+def histogram(df: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
+    """Equal-width histogram of every numeric column; the top edge belongs to the last bin.
+
+    NaN and infinities are in no bin; they would stretch the edges over all other values.
+    """
+    cols = numeric_columns(df)
+    finite = {c: F.when(F.abs(_number(c)) < float("inf"), _number(c)).alias(c) for c in cols}
+    df = df.select(*finite.values())
+    edges = df.agg(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in cols])
+    rows = df.withColumn("_e", edges.select(F.struct("*").alias("e")).scalar())
 
     def bin_of(c: str) -> Column:
         lo, hi = F.col("_e")[c]["lo"], F.col("_e")[c]["hi"]
-        place = F.floor(F.try_divide(F.col(c).cast("double") - lo, hi - lo) * bins)
+        place = F.floor(F.try_divide(F.col(c) - lo, hi - lo) * bins)
         return F.when(F.col(c).isNotNull(), F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("long")).alias(c)
 
     long = rows.select(*[bin_of(c) for c in cols]).unpivot([], cols, "column", "bin")
@@ -126,12 +137,13 @@ def clipping_suspects(prof: DataFrame, columns: Sequence[str] | None = None) ->
 
 
 def high_zero(prof: DataFrame) -> DataFrame:
+    """Every column above the zero threshold."""
     reason = F.when(F.col("column").contains("hour1_ret"), "one bar in the first hour").when(F.col("column").contains("imb"), "both sides empty").otherwise("unknown")
-    return prof.where(F.col("zero_pct") > HIGH_ZERO_PCT).orderBy(F.desc("zero_pct"), "file_name", "column").limit(HIGH_ZERO_ROWS).select("file_name", "column", "zero_pct", reason.alias("reason"))
+    return prof.where(F.col("zero_pct") > HIGH_ZERO_PCT).select("file_name", "column", "zero_pct", reason.alias("reason"))
 
 
 def high_null(prof: DataFrame) -> DataFrame:
-    return prof.where(F.col("null_pct") > HIGH_NULL_PCT).orderBy(F.desc("null_pct"), "file_name", "column").limit(HIGH_NULL_ROWS).select("file_name", "column", "null_pct")
+    return prof.where(F.col("null_pct") > HIGH_NULL_PCT).select("file_name", "column", "null_pct")
 
 
 def bound_shares(df: DataFrame, pairs: dict[str, str]) -> DataFrame:

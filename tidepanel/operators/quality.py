@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from tidepanel.sources.specs import DatasetSpec
 
-MISSING_SHOWN = 50
-
 
 def coverage_gaps(expected: DataFrame, got: DataFrame, key: str) -> DataFrame:
     """Every key that is on one side only, tagged ``missing`` or ``extra``."""
@@ -18,28 +16,29 @@ def coverage_gaps(expected: DataFrame, got: DataFrame, key: str) -> DataFrame:
     return e.join(g, key, "left_anti").withColumn("kind", F.lit("missing")).unionByName(g.join(e, key, "left_anti").withColumn("kind", F.lit("extra")))
 
 
-def coverage_report(expected: DataFrame, got: DataFrame, key: str, shown: int = MISSING_SHOWN) -> DataFrame:
-    """Counts of expected, present, missing and extra keys and the first missing ones."""
+def coverage_report(expected: DataFrame, got: DataFrame, key: str) -> DataFrame:
+    """Counts of expected, present, missing and extra keys; ``coverage_gaps`` lists the keys themselves."""
     tagged = (
         expected.select(key).distinct().withColumn("_e", F.lit(1))
         .join(got.select(key).distinct().withColumn("_g", F.lit(1)), key, "full")
     )
-    first = tagged.where(F.col("_g").isNull()).orderBy(key).limit(shown).agg(F.concat_ws(",", F.sort_array(F.collect_list(F.col(key).cast("string")))).alias("m"))
     return tagged.agg(
         F.count("_e").alias("expected"), F.count("_g").alias("present"),
         F.count_if(F.col("_g").isNull()).alias("missing"), F.count_if(F.col("_e").isNull()).alias("extra"),
-    ).withColumn("first_missing", first.scalar())
+        F.min(F.when(F.col("_g").isNull(), F.col(key))).alias("first_missing"), F.max(F.when(F.col("_g").isNull(), F.col(key))).alias("last_missing"),
+    )
 
 
 def contract_violations(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Violation counts of a dataset against its spec: absent columns, null keys, surplus keys."""
     absent = [c for c in spec.required_columns if c not in df.columns]
     keys = [c for c in spec.pk_cols if c in df.columns]
+    head = [F.lit(spec.name).alias("dataset"), F.lit(",".join(absent)).alias("absent_columns"), "rows", "null_keys", "surplus_keys"]
+    if not keys:  # without any key column neither count is defined
+        return df.agg(F.count(F.lit(1)).alias("rows"), F.lit(None).cast("long").alias("null_keys"), F.lit(None).cast("long").alias("surplus_keys")).select(*head)
     null_key = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.agg(F.sum("n").alias("rows"), F.sum(F.when(null_key, F.col("n")).otherwise(0)).alias("null_keys"), F.sum(F.col("n") - 1).alias("surplus_keys")).select(
-        F.lit(spec.name).alias("dataset"), F.lit(",".join(absent)).alias("absent_columns"), "rows", "null_keys", "surplus_keys"
-    )
+    return per_key.agg(F.sum("n").alias("rows"), F.sum(F.when(null_key, F.col("n")).otherwise(0)).alias("null_keys"), F.sum(F.col("n") - 1).alias("surplus_keys")).select(*head)
 
 
 def column_contract(spark: SparkSession, required: Sequence[str], available: Sequence[str], max_distance: int = 3) -> DataFrame:
@@ -95,14 +94,24 @@ def ambiguous_mappings(mapping: DataFrame) -> DataFrame:
     return mapping.groupBy("cont_code", "trade_date").agg(F.count_distinct("mapping_ts_code").alias("contracts")).where("contracts > 1")
 
 
+def period_end(period: Column) -> Column:
+    """Last day of a month ``yyyyMM`` or a quarter ``yyyyQn``; NULL for anything else."""
+    month = F.when(period.rlike(r"^\d{6}$"), F.last_day(F.try_to_date(period, "yyyyMM")))
+    first = F.make_date(F.substring(period, 1, 4).cast("int"), F.substring(period, 6, 1).cast("int") * 3, F.lit(1))
+    return F.when(period.rlike(r"^\d{4}Q[1-4]$"), F.last_day(first)).otherwise(month)
+
+
 def macro_checks(long: DataFrame, today: str, recent: str) -> DataFrame:
-    """Surplus series keys, malformed periods, future periods, missing recent values."""
+    """Surplus series keys, malformed periods, future periods, missing recent values.
+
+    ``today`` and ``recent`` are months; periods of any frequency compare by their last day.
+    """
     month, quarter = F.col("period").rlike(r"^\d{4}(0[1-9]|1[0-2])$"), F.col("period").rlike(r"^\d{4}Q[1-4]$")
     well_formed = F.when(F.col("frequency") == "M", month).otherwise(quarter)
     rules = rule_counts(
-        long, {"bad_period": ~well_formed, "future_period": F.col("period") > F.lit(today), "recent_null": (F.col("period") >= F.lit(recent)) & F.col("value").isNull()}
+        long, {"bad_period": ~well_formed, "future_period": period_end(F.col("period")) > period_end(F.lit(today)), "recent_null": (period_end(F.col("period")) >= period_end(F.lit(recent))) & F.col("value").isNull()}
     )
-    keys = long.groupBy("series_id", "frequency", "period").count().agg(F.sum(F.col("count") - 1).alias("violations"))
+    keys = long.groupBy("series_id", "value_type", "period").count().agg(F.sum(F.col("count") - 1).alias("violations"))
     return rules.unionByName(keys.select(F.lit("surplus_key").alias("rule"), "violations"))
 
 
@@ -112,16 +121,25 @@ def fx_checks(daily: DataFrame) -> DataFrame:
     return rules.unionByName(keys.select(F.lit("surplus_key").alias("rule"), "violations"))
 
 
-def fingerprint(df: DataFrame, keys: Sequence[str], time: str, columns: Sequence[str]) -> DataFrame:
-    """Rows, unique keys, last date, column count and an order-free hash of the listed columns."""
-    def text(c: str) -> Column:
+def fingerprint(df: DataFrame, keys: Sequence[str], time: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows, unique keys, last date, column count and an order-free hash of the listed columns (all by default).
+
+    A row's fields are joined so that no two rows share a text (JSON, with doubles as their bits);
+    the four 60-bit parts of its SHA-256 are summed, so equal rows count each time.
+    """
+    def field(c: str) -> Column:
         dtype = dict(df.dtypes)[c]
-        x = F.col(c).cast("decimal(38,6)") if dtype in ("double", "float") else F.col(c)
-        return F.coalesce(x.cast("string"), F.lit("~"))
+        x = F.xxhash64(F.lit(0), F.col(c).cast("double")) if dtype in ("double", "float") else F.col(c)
+        return F.when(F.col(c).isNotNull(), x.cast("string"))
 
-    head = F.conv(F.substring(F.md5(F.concat_ws("|", *[text(c) for c in columns])), 1, 15), 16, 10).cast("long")
+    columns = list(columns or df.columns)
+    digest = F.sha2(F.to_json(F.array(*[field(c) for c in columns])), 256)
+    parts = [F.conv(F.substring(digest, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)").alias(f"_h{i}") for i in range(4)]
     # keys are counted by aggregation first: the global step sees one row per task
-    per_key = df.withColumn("_h", head).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.bit_xor("_h").alias("_h"), F.max(time).alias("_t"))
+    per_key = df.withColumns({f"_h{i}": p for i, p in enumerate(parts)}).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.max(time).alias("_t"), *[F.sum(f"_h{i}").cast("decimal(38,0)").alias(f"_h{i}") for i in range(4)]
+    )
     return per_key.agg(
-        F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("unique_keys"), F.max("_t").alias("last_date"), F.bit_xor("_h").alias("content_hash")
-    ).withColumn("columns", F.lit(len(df.columns)))
+        F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("unique_keys"), F.max("_t").alias("last_date"),
+        F.concat_ws("-", *[F.sum(f"_h{i}").cast("string") for i in range(4)]).alias("content_hash"),
+    ).withColumn("columns", F.lit(len(columns)))
