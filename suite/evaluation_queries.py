@@ -16,7 +16,7 @@ from tidepanel.operators import universe as un
 from tidepanel.operators.neutralize import neutralize
 from tidepanel.plans import factors as fac
 
-HORIZONS = (1, 5, 20)
+HORIZONS = (1, 5, 10, 20)
 
 # ------------------------------------------------------------------ returns and information coefficients
 RET = f"""SELECT *, {', '.join(f'lead(close, {k}) {WC} / nullif(close, 0) - 1 AS ret_{k}' for k in HORIZONS)},
@@ -50,7 +50,7 @@ def forward_returns(v):
 @query("information_coefficients", with_views(["daily_basic"], r_sql(["ic", "rank_ic"], "ic", ["horizon", ymd("trade_date"), "n_obs"]), **IC))
 def information_coefficients(v):
     rows = ev.long_returns(with_returns(v), ["ts_code", "trade_date", "bp"], _rets())
-    return ev.information_coefficients(rows, "bp", ["horizon", "trade_date"], width=3 * v.width)
+    return ev.information_coefficients(rows, "bp", ["horizon", "trade_date"], width=len(HORIZONS) * v.width)
 
 
 _SUM = [f"{c}_{k}" for c in ("ic", "rank_ic") for k in ("mean", "std", "ir", "positive_share")]
@@ -61,13 +61,13 @@ _SUMMARY = "SELECT {by}, " + ", ".join(
 
 @query("ic_summary", with_views(["daily_basic"], r_sql(_SUM, "s", ["horizon", "n_dates", "n_obs"]), **IC, s=_SUMMARY.format(by="horizon", src="ic")))
 def ic_summary(v):
-    return ev.evaluate(with_returns(v), "bp", _rets(), width=3 * v.width)[1]
+    return ev.evaluate(with_returns(v), "bp", _rets(), width=len(HORIZONS) * v.width)[1]
 
 
 @query("quantile_group_returns", with_views(["daily_basic"], r_sql(GCOLS, "gl", ["horizon", ymd("trade_date")]), r=RET, lg=LONG, **GROUPS))
 def quantile_group_returns(v):
     rows = ev.long_returns(with_returns(v), ["ts_code", "trade_date", "bp"], _rets())
-    return ev.quantile_returns(rows, "bp", ["horizon", "trade_date"], width=3 * v.width)
+    return ev.quantile_returns(rows, "bp", ["horizon", "trade_date"], width=len(HORIZONS) * v.width)
 
 
 _CUM = {**IC, **GROUPS, "sr": "SELECT i.horizon, i.trade_date, rank_ic, sign(long_short) * ln(1 + abs(long_short)) / 1000 AS ls FROM ic i JOIN gl g ON i.horizon = g.horizon AND i.trade_date = g.trade_date",
@@ -77,7 +77,7 @@ _CUM = {**IC, **GROUPS, "sr": "SELECT i.horizon, i.trade_date, rank_ic, sign(lon
 
 
 def _series(v):
-    series, _ = ev.evaluate(with_returns(v), "bp", _rets(), width=3 * v.width)
+    series, _ = ev.evaluate(with_returns(v), "bp", _rets(), width=len(HORIZONS) * v.width)
     return series.where(F.col("rank_ic").isNotNull() | F.col("n_obs").isNotNull()).withColumn("ls", F.signum("long_short") * F.log1p(F.abs("long_short")) / 1000)
 
 
@@ -151,7 +151,7 @@ def factor_version_comparison(v):
 
 
 @query("tradability_filter", with_views(["daily_bars", "stock_basic"], r_sql([], "t", [*KEYS, "close"]), t="""SELECT d.ts_code, d.trade_date, d.close FROM daily_bars d JOIN stock_basic s ON d.ts_code = s.ts_code
-    WHERE date_diff('day', strptime(list_date, '%Y%m%d')::DATE, trade_date) >= 60 AND vol > 1 AND NOT coalesce(close >= pre_close * 3 OR close <= pre_close * 0.3, FALSE)"""), exact=("close",))
+    WHERE date_diff('day', strptime(list_date, '%Y%m%d')::DATE, trade_date) >= 60 AND coalesce(name NOT LIKE 'ST%' AND name NOT LIKE '*ST%', TRUE) AND vol > 1 AND NOT coalesce(close >= pre_close * 3 OR close <= pre_close * 0.3, FALSE)"""), exact=("close",))
 def tradability_filter(v):
     bars = v.daily_bars()
     suspended = bars.where(F.col("vol") <= 1)

@@ -393,6 +393,27 @@ def csnorm_model_columns(v):
     return neutralize(df, "bp_z", "bp_csnorm", sizes=[], plan="window").select("ts_code", "trade_date", "bp_z", "bp_csnorm")
 
 
+_ROBUST = with_views(["daily_basic"], r_sql(["pb_r"], "t", KEYS), w="""SELECT b.ts_code, b.trade_date, least(greatest(pb, lo), hi) AS x FROM daily_basic b
+    JOIN (SELECT trade_date, quantile_cont(pb, 0.02) AS lo, quantile_cont(pb, 0.98) AS hi FROM daily_basic GROUP BY 1) q ON b.trade_date = q.trade_date""",
+    m="SELECT *, quantile_cont(x, 0.5) OVER (PARTITION BY trade_date) AS med FROM w", d="SELECT *, quantile_cont(abs(x - med), 0.5) OVER (PARTITION BY trade_date) AS mad FROM m",
+    t="SELECT ts_code, trade_date, CASE WHEN mad > 0 THEN (x - med) / (mad * 1.4826) ELSE x - med END AS pb_r FROM d")
+
+
+def _robust(v, plan):
+    df = v.daily_basic().select("ts_code", "trade_date", F.col("pb").alias("pb_r"))
+    return xs.robust_standardize(xs.winsorize(df, ["pb_r"], ["trade_date"], plan=plan), ["pb_r"], ["trade_date"], plan=plan)
+
+
+@query("csnorm_robust_zscore", _ROBUST)
+def csnorm_robust_zscore(v):
+    return _robust(v, "window")
+
+
+@query("csnorm_robust_zscore_split", _ROBUST)
+def csnorm_robust_zscore_split(v):
+    return _robust(v, "split")
+
+
 @query("top_k_per_date_split", with_views(["daily_basic"], "SELECT ts_code, strftime(trade_date, '%Y%m%d') AS trade_date, hit FROM t",
                                           t="SELECT ts_code, trade_date, CASE WHEN pe_ttm IS NOT NULL THEN CAST(row_number() OVER (PARTITION BY trade_date ORDER BY pe_ttm DESC NULLS LAST, ts_code) <= 10 AS INTEGER) END AS hit FROM daily_basic"))
 def top_k_per_date_split(v):

@@ -188,6 +188,27 @@ def standardize(df: DataFrame, cols: Sequence[str], by: Sequence[str], suffix: s
     return out.withColumns({c + suffix: z(c) for c in cols}).drop(*helper)
 
 
+# Fixed value: makes the median absolute deviation of normal data its standard deviation.
+MAD_SCALE = 1.4826
+
+
+def robust_standardize(df: DataFrame, cols: Sequence[str], by: Sequence[str], plan: str = "auto", width: int | None = None, suffix: str = "") -> DataFrame:
+    """Per-group z-score from median and median absolute deviation; without deviation only centred."""
+    plan, out = choose_plan(df, by, plan, width), df
+
+    def median(source: DataFrame, c: str, name: str) -> DataFrame:
+        if plan == "window":
+            return source.withColumn(name, F.percentile(F.col(c), F.lit(0.5)).over(Window.partitionBy(*by)))
+        return null_safe_join(source, exact_quantiles(source, by, c, {name: 0.5}), by)
+
+    for c in cols:
+        out = median(out, c, "_med").withColumn("_off", F.abs(F.col(c) - F.col("_med")))
+        out = median(out, "_off", "_mad")
+        centred = F.col(c) - F.col("_med")
+        out = out.withColumn(c + suffix, F.when(F.col("_mad") > 0, centred / (F.col("_mad") * MAD_SCALE)).otherwise(centred)).drop("_med", "_off", "_mad")
+    return out
+
+
 # ---------------------------------------------------------------- whole-table clipping
 def clip_sigma(df: DataFrame, outputs: dict[str, str], n_sigma: float = 5.0) -> DataFrame:
     """``{output: input}`` clipped at mean +- n sigma of the whole column.

@@ -115,7 +115,9 @@ def capacity(df: DataFrame, factor: str, size: str, activity: str, groups: int =
 
 
 def tradable(df: DataFrame, stocks: DataFrame, suspended: DataFrame, limits: DataFrame, min_days: int = 60) -> DataFrame:
-    """Rows of entities listed long enough, not suspended that day and not closed at a price limit."""
+    """Rows of entities listed long enough, not under special treatment (name), not suspended that day and not closed at a price limit."""
+    if "name" in stocks.columns:
+        stocks = stocks.where(~F.coalesce(F.col("name").rlike(r"^\*?ST"), F.lit(False)))
     listed = stocks.select("ts_code", F.try_to_date("list_date", "yyyyMMdd").alias("_listed")).dropna()
     out = df.join(listed, "ts_code").where(F.datediff("trade_date", "_listed") >= min_days).drop("_listed")
     out = out.join(suspended.select("ts_code", "trade_date").distinct(), ["ts_code", "trade_date"], "left_anti")
