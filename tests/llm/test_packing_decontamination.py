@@ -29,6 +29,7 @@ def test_words_encode_as_the_library_does(tokenizer):
 
 def test_a_full_memo_is_emptied(tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "MEMO_WORDS", 20)
+    monkeypatch.setattr(packing, "STRETCH", 30)
     encode = packing.WordEncoder(PATH)
     for i in range(30):
         text = " ".join(f"word{chr(97 + j % 26)}{chr(97 + i % 26)}, x" for j in range(15))
@@ -140,3 +141,10 @@ def test_many_items_are_scanned_in_parts(spark, monkeypatch):
     table = spark.createDataFrame([(i, "intro words " + t) for i, t in items[:100]], "doc_id bigint, text string")
     found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(table, spark.createDataFrame(items, "item_id bigint, text string")).collect()}
     assert {(i, i) for i in range(100)} <= found
+
+
+def test_every_latin_letter_encodes_as_the_library_does(tokenizer):
+    encode = packing.WordEncoder(PATH)
+    for code in [*range(0x41, 0x5B), *range(0xAA, 0x260), 0x3A3, 0x1E9E, 0x212A]:
+        for text in (chr(code), f"ab{chr(code)}cd,", f"{chr(code)}{chr(code)}!", f"e{chr(0x301)} {chr(code)}"):
+            assert list(np.frombuffer(encode(text), dtype="<u2")) == tokenizer.encode(text, add_special_tokens=False).ids, hex(code)

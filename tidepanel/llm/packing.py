@@ -18,9 +18,12 @@ rows are separate documents; an empty table gives an empty result; further colum
 
 from __future__ import annotations
 
+import functools
+import json
 import os
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,83 +42,84 @@ VOCABULARY = 1 << 16
 SHARD_TOKENS, SHARD_ROWS = 4_000_000, 4000
 #: A seed's query: its terms of largest BM25 weight.
 QUERY_TERMS = 48
+#: Characters of a long text that are encoded at a time.
+STRETCH = 1 << 20
 K1, B = 1.2, 0.75
-MEMO_WORDS = 400_000
+#: A worker's memo is emptied beyond this many words (about 200 bytes each); it outlives a task.
+MEMO_WORDS = 1_200_000
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 STORED = f"kind int, {PIECES}, sketch bigint, uid bigint, ids binary"
 
 
-class WordEncoder:
+class WordEncoder(dict):
     """Token ids of texts (as 16-bit bytes) for a vocabulary whose tokens never cross white space.
 
-    Words are looked up in a memo; unknown ones are encoded by the library. A word of letters with
-    at most one mark behind it is encoded as its letters and the mark, which are separate
-    pre-tokens; everything else goes to the library as it stands.
+    A memo from words to ids; an unknown word is encoded by the library. A word of Latin letters
+    with at most one mark behind it is encoded as its letters and the mark, which are separate
+    pre-tokens, by the library's model; everything else goes to the whole tokenizer as it stands.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        assert size <= VOCABULARY, "ids must fit 16 bits"
-        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.memo: dict[str, bytes] = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        self.memo = {"": b""} | {m: self._library([m])[0] for m in ".,;:!?"}
-
-    def _library(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u2").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def _letters(self, words: list[str]) -> list[bytes]:
-        """Words of letters only: encoded together and parted at word ends."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u2")
-        ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) != len(words):  # lower-casing made a letter into something else
-            return self._library(words)
-        return [ids[a:b].tobytes() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-
-    def _learn(self, words: set[str]) -> None:
-        memo = self.memo
-        letters, marked, other = set(), [], []
-        for w in words:
-            if _plain(w):
-                letters.add(w)
-            elif w[-1] in ".,;:!?" and _plain(w[:-1]):
-                marked.append(w)
-                if w[:-1] not in memo:
-                    letters.add(w[:-1])
-            else:
-                other.append(w)
-        for own, encode in ((sorted(letters), self._letters), (other, self._library)):
-            for i in range(0, len(own), 2000):
-                memo.update(zip(own[i : i + 2000], encode(own[i : i + 2000]), strict=True))
-        for w in marked:
-            memo[w] = memo[w[:-1]] + memo[w[-1]]
+        assert self.tokenizer.get_vocab_size(with_added_tokens=True) <= VOCABULARY, "ids must fit 16 bits"
+        with open(path, encoding="utf-8") as f:
+            bpe = json.load(f)["model"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in bpe["merges"]]
+        self.split = BPE(vocab=bpe["vocab"], merges=merges, end_of_word_suffix=bpe["end_of_word_suffix"], cache_capacity=0).tokenize
+        # fixed values of byte-level vocabularies: a byte that is no printable Latin-1 sign is spelled by a letter from 256 on
+        odd = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
+        self.byte_letters = {b: 256 + i for i, b in enumerate(odd)}
+
+    def _letters(self, word: str) -> bytes:
+        word = word.lower() if word.isascii() else unicodedata.normalize("NFC", word).lower().encode().decode("latin-1").translate(self.byte_letters)
+        return array("H", [t.id for t in self.split(word)]).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        if not word:
+            ids = b""
+        elif _plain(word):
+            ids = self._letters(word)
+        elif word[-1] in ".,;:!?" and _plain(word[:-1]):
+            ids = self[word[:-1]] + self[word[-1]]
+        else:
+            ids = array("H", self.tokenizer.encode_batch_fast([word], add_special_tokens=False)[0].ids).tobytes()
+        self[word] = ids
+        return ids
 
     def __call__(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
         out = []
-        for i in range(0, len(words), 100_000):
-            part = words[i : i + 100_000]
-            try:
-                out.append(b"".join(map(self.memo.__getitem__, part)))
-            except KeyError:
-                if len(self.memo) > MEMO_WORDS:
-                    self._forget()
-                self._learn({w for w in part if w not in self.memo})
-                out.append(b"".join(map(self.memo.__getitem__, part)))
+        for part in _stretches(text) if len(text) > STRETCH else (text,):
+            if len(self) > MEMO_WORDS:
+                self.clear()
+            out.append(b"".join(map(self.__getitem__, part.replace("\n", " ").split(" "))))
         return b"".join(out)
 
 
+def _stretches(text: str) -> list[str]:
+    """A text cut at spaces into stretches of about STRETCH characters; words are not cut."""
+    out, start = [], 0
+    while len(text) - start > STRETCH and (cut := text.find(" ", start + STRETCH)) >= 0:
+        out.append(text[start:cut])
+        start = cut + 1
+    return [*out, text[start:]]
+
+
+@functools.lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks of a worker process."""
+    return WordEncoder(path)
+
+
 def _plain(word: str) -> bool:
-    """Letters that are still letters after the vocabulary's normalisation."""
-    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+    """Latin letters only, which stay letters when normalised and lower-cased."""
+    return word.isalpha() and (word.isascii() or (max(word) < "\u0250" and word.lower().isalpha()))
 
 
 def crc(ids: np.ndarray) -> int:
@@ -136,7 +140,7 @@ def _encode(path: str):
         encode, counts, texts, sequences = None, np.zeros(VOCABULARY, dtype="<i8"), 0, 0
         first = (1 << 62) + (TaskContext.get().partitionId() << 32)
         for batch in small_batches(batches, "text", 2 << 20, 500):
-            encode, rows = encode or WordEncoder(path), []
+            encode, rows = encode or word_encoder(path), []
             for doc, text, uid in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "uid")), strict=True):
                 ids = np.frombuffer(encode(text or "") + END_ID.to_bytes(2, "little"), dtype="<u2")
                 counts[np.unique(ids)] += 1
