@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from suite.common import query
@@ -13,7 +16,8 @@ from suite.view_sql import with_views
 from tidepanel.functions import scalars as sc
 from tidepanel.operators import dedup, increments, profile, quality
 from tidepanel.plans import derived, domains
-from tidepanel.sources import readers
+from tidepanel.session import shared_path
+from tidepanel.sources import readers, sinks
 from tidepanel.sources.specs import SPECS
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
@@ -470,3 +474,30 @@ def scalar_text_and_hashes(v):
     return v.table("part").select(
         "p_partkey", sc.starts_with_any("p_brand", ["Brand#1", "Brand#25"]).alias("pre"), sc.contains_any("p_name", ["bolt", "ring"]).alias("has"), sc.canonical_json(n="p_size", b="p_brand").alias("js"),
         sc.stable_hash("p_brand", "p_size").alias("h"), sc.shard_of("p_name", 16).alias("shard"), sc.fill(sc.lenient_double(F.replace("p_brand", F.lit("Brand#"), F.lit(""))), 0.0).alias("brand_no"))
+
+
+# ------------------------------------------------------------------ sinks, written and read back
+_SINKS = {"csv": 1, "json": 1, "zstd": 1, "append": 2, "by_year": 1, "partitioned": 1}
+
+
+@query("sinks_round_trip", " UNION ALL ".join(f"""SELECT '{n}' AS sink, {k} * count(*) AS rows, CAST({k} * sum(o_orderkey) AS BIGINT) AS keys, round({k} * sum(o_totalprice), 2) AS price, strftime(max(o_orderdate), '%Y%m%d') AS last_date,
+    count(DISTINCT o_orderstatus) AS states FROM orders""" for n, k in _SINKS.items()), digits=2)
+def sinks_round_trip(v):
+    """Every writer gets the whole table; what the readers give back is summed."""
+    spark = v.spark
+    o = v.table("orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    root = shared_path(spark, f"sinks-{uuid.uuid4().hex}")
+    sinks.write_csv_report(o, f"{root}/csv", most_rows=1000)
+    sinks.write_json(o, f"{root}/json")
+    sinks.write_table(o, f"{root}/zstd", "zstd")
+    for _ in range(2):
+        sinks.append_table(o, f"{root}/append")
+    sinks.write_by_year(o, f"{root}/by_year", "o_orderdate")
+    sinks.write_table(o, f"{root}/partitioned", partition_by=["o_orderstatus"])
+    back = {n: spark.read.parquet(f"{root}/{n}") for n in ("zstd", "append", "by_year", "partitioned")}
+    back |= {"csv": spark.read.schema(o.schema).option("header", "true").csv(f"{root}/csv"), "json": spark.read.schema(o.schema).json(f"{root}/json")}
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("keys"), F.sum("o_totalprice").alias("price"), F.max("o_orderdate").alias("last_date"), F.count_distinct("o_orderstatus").alias("states"))
+        .select(F.lit(n).alias("sink"), "*") for n, df in back.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidepanel.session import cut_lineage
 from tidepanel.sources.specs import DatasetSpec
 
 
@@ -39,9 +40,14 @@ def write_dataset(df: DataFrame, root: str, spec: DatasetSpec, codec: str = "zst
     return path
 
 
-def write_csv_report(df: DataFrame, path: str) -> None:
-    """Single CSV file, for metadata-sized tables (registries, profiles)."""
-    df.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+def write_csv_report(df: DataFrame, path: str, most_rows: int = 1_000_000) -> None:
+    """Single CSV file, for metadata-sized tables (registries, profiles); a larger one keeps its files.
+
+    The table is computed in parallel and stored before it goes to one writer.
+    """
+    stored = cut_lineage(df)
+    out = stored.repartition(1) if stored.count() <= most_rows else stored
+    out.write.mode("overwrite").option("header", "true").csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
