@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from tidepanel.llm.common import small_batches, split_words, text_or_empty
 from tidepanel.llm.repeats import GRAM_WORDS, distinct_texts, repeated_grams, signed, texts_with_repeated_grams
 from tidepanel.llm.wordhash import BASE, WordHashes, minimisers
+from tidepanel.session import cut_lineage
 
 WINDOW = 50
 #: Groups of suffixes that one task sorts at a time, about.
@@ -110,12 +111,25 @@ def passages(window: int):
             for a, b in zip(ends[:-1], ends[1:], strict=True):
                 if b - a > 2:
                     found += _by_distance(around[a:b], uid[a:b], start[a:b], before[a:b], after[a:b], window)
-        keep = [np.concatenate(x) for x in zip(*found, strict=True)]
+        keep = _union(*(np.concatenate(x) for x in zip(*found, strict=True)))
         return pa.table([pa.array(keep[0], pa.int64()), pa.array(keep[1], pa.int32()), pa.array(keep[2], pa.int32())], names=["uid", "start", "n"])
 
     return run
 
 
+def _union(uid: np.ndarray, start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of words, overlapping and touching ones of a text joined."""
+    if not len(uid):
+        return uid, start, n
+    order = np.lexsort((start, uid))
+    uid, start, n = uid[order], start[order], n[order]
+    apart = np.unique(uid, return_inverse=True)[1] * (int((start + n).max()) + 2)
+    reached = np.maximum.accumulate(apart + start + n)
+    first = np.flatnonzero(np.concatenate([[True], (apart + start)[1:] > reached[:-1]]))
+    last = np.concatenate([first[1:], [len(uid)]]) - 1
+    return uid[first], start[first], reached[last] - (apart + start)[first]
+
+
 def _by_distance(around: np.ndarray, uid: np.ndarray, start: np.ndarray, before: np.ndarray, after: np.ndarray, window: int) -> list[tuple]:
     """Passages among suffixes with one start: equal runs of ``window`` words, distance by distance to the left."""
     reach, out = window - GRAM_WORDS, []
@@ -150,7 +164,7 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches, "text"):
         sizes = [len(split_words(t)) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("text_sha256"), pa.array(sizes, pa.int64())], ["text_sha256", "whole"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_sha256"), pa.array(sizes, pa.int64())], ["doc_id", "text_sha256", "whole"])
 
 
 def repeated_passages(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -161,10 +175,9 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_
     retained = affected.agg(F.sum(F.size("grams"))).first()[0] or 0
     groups = max(1, -(-2 * retained // GROUP_SUFFIXES))
     found = suffixes.groupBy(F.pmod("gram", F.lit(groups)).alias("group")).applyInArrow(passages(window), "uid bigint, start int, n int")
-    of_text = found.distinct().groupBy("uid").agg(F.collect_list(F.struct("start", "n")).alias("spans"))  # at most a text's own places
+    of_text = found.groupBy("uid").agg(F.collect_list(F.struct("start", "n")).alias("spans"))  # at most a text's own places
     merged = affected.select("uid", "text_sha256").join(of_text, "uid").drop("uid").mapInArrow(_merge, "text_sha256 string, start_word bigint, n_words bigint")
-    sized = texts.join(copies, "text_sha256", "left_semi").mapInArrow(_sizes, "text_sha256 string, whole bigint").where(F.col("whole") >= window)
-    copied = sized.select("text_sha256", F.lit(0).cast("long").alias("start_word"), F.col("whole").alias("n_words"))
-    spans = merged.join(copied, "text_sha256", "left_anti").unionByName(copied)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.sha2(text_or_empty(text_col), 256).alias("text_sha256"))
-    return rows.join(spans, "text_sha256").select("doc_id", "start_word", "n_words")
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).withColumn("text_sha256", F.sha2("text", 256))
+    rows = cut_lineage(plain.mapInArrow(_sizes, "doc_id bigint, text_sha256 string, whole bigint"))
+    whole = rows.where(F.col("whole") >= window).join(copies, "text_sha256", "left_semi").select("doc_id", F.lit(0).cast("long").alias("start_word"), F.col("whole").alias("n_words"))
+    return rows.join(merged.join(copies, "text_sha256", "left_anti"), "text_sha256").select("doc_id", "start_word", "n_words").unionByName(whole)
