@@ -1,8 +1,8 @@
 """Shards of near-equal bytes by sampled splitters, on DataFrame functions only.
 
 Rows are ordered by (text hash, id), so equal texts stand together. A size-weighted sample of the
-keys gives quantile boundaries; ranges that turn out overfull are cut again (a range that holds a
-single text, by id). Each range is summed in its own task, the few range totals give every
+keys gives quantile boundaries; ranges that turn out overfull, in bytes or in rows, are cut again (a
+range that holds a single text, by id). Each range is summed in its own task, the few range totals give every
 row its place on the line of all bytes, and a shard is an equal stretch of that line. A row goes
 where its middle lies.
 A group of equal texts of at most 2 % of a shard moves as one; a larger one is cut where the
@@ -15,6 +15,8 @@ further columns are ignored.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,21 +42,23 @@ def _cell_of(bounds: list[tuple[int, int]]) -> Column:
     return F.reduce(F.lit(steps), F.lit(0), lambda at, step: F.when((at + step <= len(bounds)) & passed(at + step), at + step).otherwise(at))
 
 
-def _boundaries(rows: DataFrame, total: int, ranges: int) -> list[tuple[int, int]]:
+def _boundaries(rows: DataFrame, total: int, count: int, ranges: int) -> list[tuple[int, int]]:
     """Sampled splitters, with overfull ranges cut again. Sizes are bounded by ``ranges``."""
     lowest, chance = -(1 << 63), F.col("size") * (SAMPLES_PER_RANGE * ranges / total)
     drawn = rows.where(F.pmod(F.xxhash64("key", "doc_id", "uid"), F.lit(1 << 24)) < chance * (1 << 24))
     shares = [i / ranges for i in range(1, ranges)]
     quantiles = drawn.agg(F.percentile_approx("key", shares, 20 * ranges).alias("q")).first()["q"] or []
     bounds = sorted({(q, lowest) for q in quantiles} | {(q + 1, lowest) for q in quantiles if quantiles.count(q) > 1})
-    full = rows.groupBy(_cell_of(bounds).alias("cell")).agg(F.sum("size").alias("bytes")).where(F.col("bytes") * ranges > 2 * total)
-    over = {r["cell"]: r["bytes"] for r in full.collect()}  # at most ranges / 2 rows
+    # how many times an even range's bytes or rows, whichever is more
+    load = F.greatest(F.sum("size") * ranges / total, F.count("*") * ranges / count)
+    full = rows.groupBy(_cell_of(bounds).alias("cell")).agg(load.alias("load")).where("load > 2")
+    over = {r["cell"]: r["load"] for r in full.collect()}  # at most one row a range
     if over:
         cut = rows.withColumn("cell", _cell_of(bounds)).where(F.col("cell").isin(list(over))).groupBy("cell").agg(
             F.min("key").alias("low"), F.max("key").alias("high"), F.percentile_approx("key", shares, 20 * ranges).alias("keys"), F.percentile_approx("doc_id", shares, 20 * ranges).alias("ids")
         )
         for r in cut.collect():
-            pieces = min(ranges, -(-over[r["cell"]] * ranges // total))
+            pieces = min(ranges, ceil(over[r["cell"]]))
             picks = [(i * ranges) // pieces - 1 for i in range(1, pieces)]
             bounds += [(r["low"], r["ids"][i]) if r["low"] == r["high"] else (r["keys"][i], lowest) for i in picks if r["ids"] or r["low"] != r["high"]]
     return sorted(set(bounds))
@@ -70,9 +74,10 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", te
         F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + ROW_OVERHEAD).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
         F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long").alias("key"), F.monotonically_increasing_id().alias("uid"),
     ))
-    total = rows.agg(F.sum("size")).first()[0] or 1
+    total, count = rows.agg(F.sum("size"), F.count("*")).first()
+    total, count = total or 1, count or 1
     ranges = max(4 * shards, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    bounds = _boundaries(rows, total, ranges)
+    bounds = _boundaries(rows, total, count, ranges)
     placed = rows.withColumn("cell", _cell_of(bounds))
     totals = {r["cell"]: (r["bytes"], r["rows"]) for r in placed.groupBy("cell").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).collect()}  # one row a range
     bytes_before, rows_before = [0], [0]
