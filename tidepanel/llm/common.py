@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,8 +12,38 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Maps A-Z to a-z and nothing else, for bytes.
 LOWER_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
-#: A word ends at a space or at one of the characters 9 to 13, and nowhere else.
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+class WordMemo(dict):
+    """Values by word, for the life of a worker process, in bounded memory.
+
+    Holds at most ``most`` words: of every half that fills up, those met again in the next half stay.
+    """
+
+    def __init__(self, make: Callable[[str], object], most: int):
+        super().__init__()
+        self.make, self.half, self.before = make, most // 2, {}
+
+    def __missing__(self, word: str) -> object:
+        value = self.before.pop(word, None)
+        if value is None:
+            value = self.make(word)
+        if len(self) >= self.half:
+            self.before = dict(self)
+            self.clear()
+        self[word] = value
+        return value
+
+
+_WORKER: dict[str, object] = {}
+
+
+def worker_value(key: str, make: Callable[[], object]) -> object:
+    """One long-lived value a worker process: another key drops the one before, so stages do not add up."""
+    if key not in _WORKER:
+        _WORKER.clear()
+        _WORKER[key] = make()
+    return _WORKER[key]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

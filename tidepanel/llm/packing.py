@@ -18,7 +18,6 @@ rows are separate documents; an empty table gives an empty result; further colum
 
 from __future__ import annotations
 
-import functools
 import json
 import os
 import unicodedata
@@ -32,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepanel.llm.common import small_batches
+from tidepanel.llm.common import WordMemo, small_batches, worker_value
 from tidepanel.session import cut_lineage
 
 WINDOW = 4096
@@ -45,16 +44,16 @@ QUERY_TERMS = 48
 #: Characters of a long text that are encoded at a time.
 STRETCH = 1 << 20
 K1, B = 1.2, 0.75
-#: A worker's memo is emptied beyond this many words (about 200 bytes each); it outlives a task.
-MEMO_WORDS = 1_200_000
+#: Words whose ids a worker keeps (about 250 bytes each); they outlive a task.
+MEMO_WORDS = 500_000
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 STORED = f"kind int, {PIECES}, sketch bigint, uid bigint, ids binary"
 
 
-class WordEncoder(dict):
+class WordEncoder:
     """Token ids of texts (as 16-bit bytes) for a vocabulary whose tokens never cross white space.
 
-    A memo from words to ids; an unknown word is encoded by the library. A word of Latin letters
+    Words are looked up in a memo; an unknown one is encoded by the library. A word of Latin letters
     with at most one mark behind it is encoded as its letters and the mark, which are separate
     pre-tokens, by the library's model; everything else goes to the whole tokenizer as it stands.
     """
@@ -64,7 +63,7 @@ class WordEncoder(dict):
         from tokenizers import Tokenizer
         from tokenizers.models import BPE
 
-        super().__init__()
+        self.memo = WordMemo(self._encode, MEMO_WORDS)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
@@ -81,25 +80,18 @@ class WordEncoder(dict):
         word = word.lower() if word.isascii() else unicodedata.normalize("NFC", word).lower().encode().decode("latin-1").translate(self.byte_letters)
         return array("H", [t.id for t in self.split(word)]).tobytes()
 
-    def __missing__(self, word: str) -> bytes:
+    def _encode(self, word: str) -> bytes:
         if not word:
-            ids = b""
-        elif _plain(word):
-            ids = self._letters(word)
-        elif word[-1] in ".,;:!?" and _plain(word[:-1]):
-            ids = self[word[:-1]] + self[word[-1]]
-        else:
-            ids = array("H", self.tokenizer.encode_batch_fast([word], add_special_tokens=False)[0].ids).tobytes()
-        self[word] = ids
-        return ids
+            return b""
+        if _plain(word):
+            return self._letters(word)
+        if word[-1] in ".,;:!?" and _plain(word[:-1]):
+            return self.memo[word[:-1]] + self.memo[word[-1]]
+        return array("H", self.tokenizer.encode_batch_fast([word], add_special_tokens=False)[0].ids).tobytes()
 
     def __call__(self, text: str) -> bytes:
-        out = []
-        for part in _stretches(text) if len(text) > STRETCH else (text,):
-            if len(self) > MEMO_WORDS:
-                self.clear()
-            out.append(b"".join(map(self.__getitem__, part.replace("\n", " ").split(" "))))
-        return b"".join(out)
+        stretches = _stretches(text) if len(text) > STRETCH else (text,)
+        return b"".join(b"".join(map(self.memo.__getitem__, part.replace("\n", " ").split(" "))) for part in stretches)
 
 
 def _stretches(text: str) -> list[str]:
@@ -111,12 +103,6 @@ def _stretches(text: str) -> list[str]:
     return [*out, text[start:]]
 
 
-@functools.lru_cache(maxsize=1)
-def word_encoder(path: str) -> WordEncoder:
-    """One encoder for all tasks of a worker process."""
-    return WordEncoder(path)
-
-
 def _plain(word: str) -> bool:
     """Latin letters only, which stay letters when normalised and lower-cased."""
     return word.isalpha() and (word.isascii() or (max(word) < "\u0250" and word.lower().isalpha()))
@@ -140,7 +126,7 @@ def _encode(path: str):
         encode, counts, texts, sequences = None, np.zeros(VOCABULARY, dtype="<i8"), 0, 0
         first = (1 << 62) + (TaskContext.get().partitionId() << 32)
         for batch in small_batches(batches, "text", 2 << 20, 500):
-            encode, rows = encode or word_encoder(path), []
+            encode, rows = encode or worker_value(path, lambda: WordEncoder(path)), []
             for doc, text, uid in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "uid")), strict=True):
                 ids = np.frombuffer(encode(text or "") + END_ID.to_bytes(2, "little"), dtype="<u2")
                 counts[np.unique(ids)] += 1

@@ -51,16 +51,25 @@ def _boundaries(rows: DataFrame, total: int, count: int, ranges: int) -> list[tu
     bounds = sorted({(q, lowest) for q in quantiles} | {(q + 1, lowest) for q in quantiles if quantiles.count(q) > 1})
     # how many times an even range's bytes or rows, whichever is more
     load = F.greatest(F.sum("size") * ranges / total, F.count("*") * ranges / count)
-    full = rows.groupBy(_cell_of(bounds).alias("cell")).agg(load.alias("load")).where("load > 2")
-    over = {r["cell"]: r["load"] for r in full.collect()}  # at most one row a range
-    if over:
+    for _ in range(3):  # the first cut sets a frequent text apart, the next cuts it by id
+        over = {r["cell"]: r["load"] for r in rows.groupBy(_cell_of(bounds).alias("cell")).agg(load.alias("load")).where("load > 2").collect()}  # at most one row a range
+        if not over:
+            break
         cut = rows.withColumn("cell", _cell_of(bounds)).where(F.col("cell").isin(list(over))).groupBy("cell").agg(
             F.min("key").alias("low"), F.max("key").alias("high"), F.percentile_approx("key", shares, 20 * ranges).alias("keys"), F.percentile_approx("doc_id", shares, 20 * ranges).alias("ids")
         )
+        found = set(bounds)
         for r in cut.collect():
             pieces = min(ranges, ceil(over[r["cell"]]))
             picks = [(i * ranges) // pieces - 1 for i in range(1, pieces)]
-            bounds += [(r["low"], r["ids"][i]) if r["low"] == r["high"] else (r["keys"][i], lowest) for i in picks if r["ids"] or r["low"] != r["high"]]
+            if r["low"] == r["high"]:
+                found |= {(r["low"], r["ids"][i]) for i in picks if r["ids"]}
+            else:
+                keys = [r["keys"][i] for i in picks]
+                found |= {(k, lowest) for k in keys} | {(k + 1, lowest) for k in keys}
+        if found == set(bounds):
+            break
+        bounds = sorted(found)
     return sorted(set(bounds))
 
 

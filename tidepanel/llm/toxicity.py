@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import random
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepanel.llm.common import small_batches
+from tidepanel.llm.common import WordMemo, small_batches, worker_value
 
 #: Bound of the training sample: labelled rows of each class, and bytes of one sampled text.
 TRAIN_PER_CLASS = 1200
@@ -39,17 +40,19 @@ TRAIN_BYTES = 50_000
 BUCKETS = 1 << 18
 DIMENSIONS = 8
 WINDOW = 8
-STEPS = 120
+#: Models from different starts and misspellings, which are averaged.
+RESTARTS = 3
+STEPS = 100
 #: Largest step of a weight, at the start.
 STEP = 2.0
 #: Share of the loss that the toxic texts make up, whatever their number in the sample.
-TOXIC_WEIGHT = 0.4
+TOXIC_WEIGHT = 0.5
 #: An n-gram is learned if it stands in so many sampled texts, and its share of texts differs between the
 #: classes by so many standard deviations of chance; the embeddings of all others stay zero.
 LEAST_TEXTS, LEAST_DEVIATIONS = 5, 4.0
 GRAMS = (3, 4, 5)
-#: A worker forgets its word scores beyond this many words; it only costs time.
-MEMO_WORDS = 400_000
+#: Word scores that a worker keeps (about 200 bytes each).
+MEMO_WORDS = 500_000
 EDGE = re.compile(r"^[^\w$@*]+|[^\w$@*!]+$")
 
 
@@ -60,8 +63,11 @@ def word_grams(word: str) -> list[int]:
         return []
     if len(word) > 64:  # a long run without a space is read as words of 64 characters
         return [g for i in range(0, len(word), 64) for g in word_grams(word[i : i + 64])]
-    whole = f"<{word}>"
-    return [zlib.crc32(whole[i : i + n].encode("utf-8", "surrogatepass")) % BUCKETS for n in GRAMS for i in range(len(whole) - n + 1)] + [zlib.crc32(b"=" + whole.encode("utf-8", "surrogatepass")) % BUCKETS]
+    whole, crc = f"<{word}>", zlib.crc32
+    flat = whole.encode("utf-8", "surrogatepass")
+    if word.isascii():
+        return [crc(flat[i : i + n]) % BUCKETS for n in GRAMS for i in range(len(flat) - n + 1)] + [crc(b"=" + flat) % BUCKETS]
+    return [crc(whole[i : i + n].encode("utf-8", "surrogatepass")) % BUCKETS for n in GRAMS for i in range(len(whole) - n + 1)] + [crc(b"=" + flat) % BUCKETS]
 
 
 @dataclass
@@ -96,7 +102,14 @@ def _sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     return total[ends] - total[starts]
 
 
-def train(texts: list[str], toxic: list[int], steps: int = STEPS, seed: int = 7) -> Model:
+def train(texts: list[str], toxic: list[int], steps: int = STEPS, restarts: int = RESTARTS) -> Model:
+    """Fit RESTARTS models and set them side by side: the class scores are their mean."""
+    models = [_train_once(texts, toxic, steps, seed) for seed in range(7, 7 + restarts)]
+    bias = np.mean([m.softmax[-1] for m in models], axis=0, keepdims=True)
+    return Model(np.hstack([m.embeddings for m in models]) / restarts, np.vstack([*(m.softmax[:-1] for m in models), bias]))
+
+
+def _train_once(texts: list[str], toxic: list[int], steps: int, seed: int) -> Model:
     """Fit embeddings and softmax together; a fifth of the words is misspelled at random."""
     rng, draw = random.Random(seed), np.random.default_rng(seed)
     ids: dict[str, int] = {}
@@ -152,8 +165,8 @@ def train(texts: list[str], toxic: list[int], steps: int = STEPS, seed: int = 7)
         for i, (values, gradient, most) in enumerate(((embeddings, np.outer(to_gram, toward[:-1]), STEP), (softmax, grow, STEP / 10))):
             # one scale for all n-grams: what is seen often moves most, and a rare one hardly
             speed[i] = 0.8 * speed[i] + gradient
-            values -= rate * most * speed[i] / (np.abs(speed[i]).max() + 1e-12)
-    whole = np.zeros((BUCKETS, DIMENSIONS))
+            values -= rate * most * speed[i] / (np.abs(speed[i]).max(initial=0) + 1e-12)
+    whole = np.zeros((BUCKETS, DIMENSIONS), dtype=np.float32)
     whole[seen] = embeddings
     return Model(whole, softmax)
 
@@ -176,21 +189,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def _scorer(scores: np.ndarray, bias: float):
-    memo: dict[str, float] = {}
+    score_of = scores.tolist()
 
     def of_word(w: str) -> float:
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
         grams = word_grams(w)
-        memo[w] = value = float(scores[grams].mean()) if grams else 0.0
-        return value
+        return sum([score_of[g] for g in grams]) / len(grams) if grams else 0.0
+
+    of = WordMemo(of_word, MEMO_WORDS).__getitem__
 
     def score(text: str | None) -> float:
         words = text.lower().split() if text else []
         if not words:
             return 1 / (1 + np.exp(-bias))
-        get = memo.get
-        values = np.array([x if (x := get(w)) is not None else of_word(w) for w in words])
+        values = np.array(list(map(of, words)))
         starts = np.arange(0, len(values), WINDOW)
         z = np.add.reduceat(values, starts) / np.minimum(WINDOW, len(values) - starts) + bias
         return float(1 / (1 + np.exp(-np.clip(z.max(), -30, 30))))
@@ -203,9 +214,10 @@ def with_score(docs: DataFrame, model: Model | None, text_col: str = "text", nam
     if model is None:
         return docs.withColumn(name, F.lit(0.5))
     scores, bias = model.gram_scores()
+    key = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = _scorer(scores, bias)
+        score = worker_value(key, lambda: _scorer(scores, bias))
         for batch in small_batches(batches, text_col):
             found = [score(t) for t in batch.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*batch.schema.names, name])
