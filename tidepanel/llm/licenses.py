@@ -1,15 +1,16 @@
-"""License notices: phrase places, and an exact set-similarity join of text lines with notice templates.
+"""License notices: phrase places, and an exact set-similarity join of text blocks with notice templates.
 
-A line is similar to a template when it holds at least ``THRESHOLD`` of the template's distinct
-words. Words are ordered by how many documents hold them, counted over all documents. A template's
-prefix is its rarest words, so many that a line without any of them cannot reach the threshold;
-an index from prefix words to templates gives the candidates. The length filter drops lines with
+A block is any run of words twice as long as the longest template, across line breaks: wrapped
+notices are met, words scattered over a long text are not. It is similar to a template when it holds
+at least ``THRESHOLD`` of the template's distinct words. Words are ordered by how many documents hold them, counted over all documents. A template's
+prefix is its rarest words, so many that a text without any of them cannot reach the threshold;
+an index from prefix words to templates gives the candidates. The length filter drops texts with
 too few template words, the positional filter those whose words after the first common one
-are too few; the rest is compared exactly. The filters lose nothing.
+are too few; in the rest every block is compared exactly. The filters lose nothing.
 
 Defined cases: null text counts as empty (no words, score 0); null ids stay; repeated rows each
-get their result; an empty table gives an empty result; further columns are ignored; a line of
-any length is one block.
+get their result; an empty table gives an empty result; further columns are ignored; a text
+shorter than a block is one block.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ TEMPLATES = {
     "mpl-2.0": ["this source code form is subject to the terms of the mozilla public license v 2 0"],
 }
 THRESHOLD = 0.8
+#: A block has as many words as this many of the longest template.
+WINDOW_TEMPLATES = 2
 #: Everything but digits, lower-case letters and bytes of other alphabets parts words.
 SPACES = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 SCHEMA = "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, score double"
@@ -75,11 +78,13 @@ class TemplateIndex:
                 for i, w in enumerate(ordered[: len(ordered) - need + 1]):
                     self.prefix.setdefault(w, []).append((len(self.sets), i))
                 self.sets.append((label, frozenset(ordered), need))
+        self.window = WINDOW_TEMPLATES * max(len(t.split()) for ts in templates.values() for t in ts)
         self.starters = frozenset(w for w, i in self.order.items() if i in self.prefix)
 
     def similar(self, words: list[bytes]) -> list[tuple[str, float]]:
-        """Labels and containments of all templates that a block of words meets."""
-        block = sorted({i for w in words if (i := self.order.get(w)) is not None})
+        """Labels and best containments of all templates that some window of the words meets."""
+        places = [(at, i) for at, w in enumerate(words) if (i := self.order.get(w)) is not None]
+        block = sorted({i for _, i in places})
         tried, found = set(), []
         for j, w in enumerate(block):
             for template, i in self.prefix.get(w, ()):
@@ -88,14 +93,29 @@ class TemplateIndex:
                 if template in tried or len(block) < need:
                     continue
                 tried.add(template)
-                if 1 + min(len(own) - i - 1, len(block) - j - 1) < need:
+                if 1 + min(len(own) - i - 1, len(block) - j - 1) < need or len(own.intersection(block)) < need:
                     continue
-                common = len(own.intersection(block))
+                common = most_distinct([p for p in places if p[1] in own], self.window)
                 if common >= need:
                     found.append((label, common / len(own)))
         return found
 
 
+def most_distinct(places: list[tuple[int, int]], window: int) -> int:
+    """The most distinct words that stand within ``window`` consecutive words; ``places`` are (position, word) in order."""
+    held, first, most = Counter(), 0, 0
+    for at, word in places:
+        held[word] += 1
+        while places[first][0] <= at - window:
+            gone = places[first][1]
+            held[gone] -= 1
+            if not held[gone]:
+                del held[gone]
+            first += 1
+        most = max(most, len(held))
+    return most
+
+
 def phrase_places(words: list[bytes], phrases: dict[str, str]) -> list[tuple[int, str]]:
     """(start in words, label) of every place where a phrase's words stand consecutively."""
     joined, places = b" " + b" ".join(words) + b" ", []
@@ -116,7 +136,7 @@ def _scan(index: TemplateIndex, phrases: dict[str, str]):
         places = phrase_places(words, phrases)
         starts = [s for s, _ in places]
         base = {label for _, label in places}
-        near = [] if index.starters.isdisjoint(words) else [x for line in lowered.split(b"\n") for x in index.similar(words_of(line))]
+        near = [] if index.starters.isdisjoint(words) else index.similar(words)
         score = max([1.0 if base else 0.0, *(c for _, c in near)])
         join = lambda labels: ",".join(sorted(labels))
         return len(words), len(places), min(starts, default=None), max(starts, default=None), join(base), join(base | {label for label, _ in near}), score
