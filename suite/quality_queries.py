@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from suite.common import query
-from suite.domain_queries import A_STEPS
+from suite.domain_queries import A_STEPS, _da, _fa
 from suite.factor_queries import KEYS
 from suite.library_queries import ymd
 from suite.view_sql import rounded as r_sql
@@ -155,6 +155,30 @@ def profile_high_zero_and_null(v):
     return zero.unionByName(profile.high_null(prof).select(F.lit("null").alias("kind"), "column", F.col("null_pct").alias("pct")))
 
 
+_PV_ALL = [*_da, *_fa]
+
+
+def _price_profile_all(v):
+    return profile.profile(domains.price_volume(v.daily_bars(), v.daily_basic()).select(*_PV_ALL), _D)
+
+
+_PV_ALL_SQL = {**_pv_sql(), "u": " UNION ALL ".join(f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS x FROM a2" for c in _PV_ALL)}
+
+
+@query("profile_clipping_suspects_all_columns", with_views(["daily_bars", "daily_basic"], r_sql(['"min"', '"max"', "q01", "q99"], "cl", ['"column"', "file_name", "kind"]), **_PV_ALL_SQL,
+    cl="""SELECT "column", file_name, mn AS "min", mx AS "max", q01, q99, CASE WHEN mn = q01 OR mx = q99 THEN 'quantile cut' ELSE 'hard bound' END AS kind FROM pf WHERE mn = q01 OR mx = q99 OR mn = -1.0 OR mx = 1.0"""))
+def profile_clipping_suspects_all_columns(v):
+    return profile.clipping_suspects(_price_profile_all(v))
+
+
+@query("profile_high_zero_and_null_all_columns", with_views(["daily_bars", "daily_basic"], r_sql(["pct"], "h", ["kind", '"column"'], 4), **_PV_ALL_SQL,
+    h="""SELECT 'zero' AS kind, "column", zero_pct AS pct FROM pf WHERE zero_pct > 15 UNION ALL SELECT 'null', "column", null_pct FROM pf WHERE null_pct > 10"""), digits=4)
+def profile_high_zero_and_null_all_columns(v):
+    prof = _price_profile_all(v)
+    zero = profile.high_zero(prof).select(F.lit("zero").alias("kind"), "column", F.col("zero_pct").alias("pct"))
+    return zero.unionByName(profile.high_null(prof).select(F.lit("null").alias("kind"), "column", F.col("null_pct").alias("pct")))
+
+
 @query("raw_vs_processed_bounds", with_views(["daily_bars", "daily_basic"], r_sql(["bound_share", "raw_zero_share", "processed_zero_share"], "t", ["raw", "processed"]), **A_STEPS,
     t=" UNION ALL ".join(f"""SELECT '{m}_raw' AS raw, '{m}_robust' AS processed, count(*) FILTER (WHERE {m}_robust IN (lo, hi)) / count({m}_robust) AS bound_share,
     count(*) FILTER (WHERE {m}_raw = 0) / count({m}_raw) AS raw_zero_share, count(*) FILTER (WHERE {m}_robust = 0) / count({m}_robust) AS processed_zero_share
@@ -325,6 +349,17 @@ def macro_asof_panel(v):
     return derived.macro_asof(v.calendar(), _macro_long(v), ["order_value", "gdp"])
 
 
+_SERIES = ["closed_count", "gdp", "gdp_orders", "order_count", "order_value"]
+
+
+@query("macro_asof_panel_all_series", with_views(["macro_monthly", "macro_quarterly", "calendar"], r_sql(_SERIES, "t", [ymd("trade_date")], 2), **_MLONG,
+    t="SELECT c.trade_date, " + ", ".join(f"{s}.value AS {s}" for s in _SERIES) + " FROM calendar c " + " ".join(f"ASOF LEFT JOIN (SELECT * FROM ml WHERE series_id = '{s}') {s} ON c.trade_date >= {s}.release_date" for s in _SERIES)), digits=2)
+def macro_asof_panel_all_series(v):
+    """The series are those of the table: at most one a column of the wide tables."""
+    long = _macro_long(v)
+    return derived.macro_asof(v.calendar(), long, sorted(r["series_id"] for r in long.select("series_id").distinct().collect()))
+
+
 @query("macro_series_checks", with_views(["macro_monthly", "macro_quarterly"], _rules_sql("ml", {"bad_period": "0 * count(*)", "future_period": _cnt("CASE WHEN period LIKE '____Q_' THEN CAST(left(period, 4) AS INTEGER) * 12 + 3 * CAST(right(period, 1) AS INTEGER) ELSE CAST(left(period, 4) AS INTEGER) * 12 + CAST(right(period, 2) AS INTEGER) END > 2001 * 12 + 6"), "recent_null": _cnt("value IS NULL AND CASE WHEN period LIKE '____Q_' THEN CAST(left(period, 4) AS INTEGER) * 12 + 3 * CAST(right(period, 1) AS INTEGER) ELSE CAST(left(period, 4) AS INTEGER) * 12 + CAST(right(period, 2) AS INTEGER) END >= 2001 * 12 + 1"), "surplus_key": "count(*) - count(DISTINCT (series_id, value_type, period))"}), **_MLONG))
 def macro_series_checks(v):
     return quality.macro_checks(_macro_long(v), "200106", "200101")
@@ -345,6 +380,18 @@ def fx_on_local_calendar(v):
     return derived.fx_on_calendar(v.fx_daily(), cal, 22, ["CLICK.FX", "VIEW.FX"]).select("ts_code", "trade_date", "bid_close", "ask_close", "known_on")
 
 
+@query("fx_on_local_calendar_all_pairs", with_views(["fx_daily"], f"SELECT t.ts_code, {ymd('trade_date')}, bid_close, ask_close, {ymd('known_on')} FROM t",
+    k="SELECT ts_code, trade_date + CASE WHEN hour(quote_time_gmt) >= 22 THEN 1 ELSE 0 END AS known_on, quote_time_gmt, bid_close, ask_close FROM fx_daily",
+    kl="SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY ts_code, known_on ORDER BY quote_time_gmt DESC) = 1",
+    g="SELECT d.trade_date, p.ts_code FROM (SELECT DISTINCT CAST(ts AS DATE) AS trade_date FROM events) d, (SELECT DISTINCT ts_code FROM fx_daily) p",
+    t="SELECT g.ts_code, g.trade_date, bid_close, ask_close, known_on FROM g ASOF LEFT JOIN kl ON g.ts_code = kl.ts_code AND g.trade_date >= kl.known_on"), exact=("bid_close", "ask_close"))
+def fx_on_local_calendar_all_pairs(v):
+    """The pairs are those of the quotes; their number is bounded by the symbol dimension."""
+    cal = v.table("events").select(F.col("ts").cast("date").alias("trade_date"))
+    pairs = sorted(r["ts_code"] for r in v.fx_daily().select("ts_code").distinct().where("ts_code IS NOT NULL").collect())
+    return derived.fx_on_calendar(v.fx_daily(), cal, 22, pairs).select("ts_code", "trade_date", "bid_close", "ask_close", "known_on")
+
+
 @query("fx_symbol_dimension", "SELECT DISTINCT upper(event_type) || '.FX' AS ts_code, CASE WHEN event_type LIKE '%i%' THEN 'FX' ELSE 'INDEX' END AS classify FROM events WHERE event_type LIKE '%i%' AND (contains(upper(event_type), 'CL') OR contains(upper(event_type), 'VI'))")
 def fx_symbol_dimension(v):
     kind = F.when(F.col("event_type").contains("i"), "FX").otherwise("INDEX")
