@@ -7,11 +7,15 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidepanel.llm.cap_filters import vector_links
 from tidepanel.llm.common import table
 from tidepanel.llm.decontaminate import contaminated
 from tidepanel.llm.exact_dedup import exact_duplicates
 from tidepanel.llm.licenses import license_scan
+from tidepanel.llm.merkle import every_fifth_by_crc, manifest_digests, merkle_manifest
+from tidepanel.llm.oracle_sql import VECTOR_LINKS, merkle_sql
 from tidepanel.llm.packing import pack_documents
+from tidepanel.llm.periodic_runs import periodic_runs, planted, run_digests
 from tidepanel.llm.sharding import shard_by_bytes
 from tidepanel.llm.simhash import simhash_components
 from tidepanel.llm.sparse_suffixes import repeated_passages
@@ -63,6 +67,18 @@ def op10_digest_cached_token_counts(spark: SparkSession, sf_dir: str) -> DataFra
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), cache)
 
 
+def op11_sibling_shift_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_digests(merkle_manifest(table(spark, sf_dir, "documents"), tampered=every_fifth_by_crc()))
+
+
+def op12_cap_filter_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
+def op13_branching_tandem_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(periodic_runs(table(spark, sf_dir, "documents"), rewrite=planted))
+
+
 #: Words of each text, and the places covered by runs of {window} words that start more than once.
 _COVERED = r"""
 WITH w AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
@@ -86,6 +102,8 @@ WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOP
 g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY 1)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)
 """,
+    "op11_sibling_shift_merkle": merkle_sql(),
+    "op12_cap_filter_links": VECTOR_LINKS,
 }
 
-QUERIES = {f.__name__: f for f in (op1_bm25_retrieval_packing, op2_subword_toxicity, op3_suffix_tree_repeats, op4_ball_hash_simhash, op5_sparse_suffix_passages, op6_sampled_splitter_shards, op7_bloom_exact_dedup, op8_license_similarity_join, op9_block_max_decontamination, op10_digest_cached_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_bm25_retrieval_packing, op2_subword_toxicity, op3_suffix_tree_repeats, op4_ball_hash_simhash, op5_sparse_suffix_passages, op6_sampled_splitter_shards, op7_bloom_exact_dedup, op8_license_similarity_join, op9_block_max_decontamination, op10_digest_cached_token_counts, op11_sibling_shift_merkle, op12_cap_filter_links, op13_branching_tandem_runs)}
