@@ -30,10 +30,10 @@ _ASOF = with_views(["daily_basic", "fina"], r_sql(["pb", *PAIR], "j", [*KEYS, ym
                    j="SELECT b.ts_code, b.trade_date, b.pb, f.roe, f.roe_dt, f.ebitda, f.ann_date FROM daily_basic b ASOF LEFT JOIN fina f ON b.ts_code = f.ts_code AND b.trade_date >= f.ann_date")
 
 
-def _asof(v, chunk):
+def _asof(v, longest):
     reports = fac.effective_reports(v.fina_indicator(), PAIR, ["report_type"])
     basic = v.daily_basic().select("ts_code", "trade_date", "pb")
-    return pit.asof_join(basic, reports, ["ts_code"], "trade_date", "ann_date", [*PAIR, "ann_date"], chunk=chunk)
+    return pit.asof_join(basic, reports, ["ts_code"], "trade_date", "ann_date", [*PAIR, "ann_date"], longest=longest)
 
 
 @query("asof_join", _ASOF)
@@ -43,8 +43,8 @@ def asof_join(v):
 
 @query("asof_join_time_sliced", _ASOF)
 def asof_join_time_sliced(v):
-    """Same join with every key cut into quarters, for keys with unbounded history."""
-    return _asof(v, "quarter")
+    """Same join with every key of over 64 rows cut into slices, as keys longer than a partition always are."""
+    return _asof(v, 64)
 
 
 @query("asof_join_raw_rows", f"""SELECT l.l_suppkey, l.n_lines, strftime(l.t, '%Y%m%d') AS ship_date, strftime(o.t, '%Y%m%d') AS order_date, o.o_orderkey
@@ -58,7 +58,7 @@ def asof_join_raw_rows(v):
     placed = lines.select("l_suppkey", "l_orderkey").join(
         v.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("order_date")), "l_orderkey"
     ).withColumnRenamed("l_orderkey", "o_orderkey")
-    return pit.asof_join(left, placed, ["l_suppkey"], "ship_date", "order_date", ["order_date", "o_orderkey"], chunk="month", right_order=["o_orderkey"])
+    return pit.asof_join(left, placed, ["l_suppkey"], "ship_date", "order_date", ["order_date", "o_orderkey"], right_order=["o_orderkey"])
 
 
 @query("interval_asof_join", with_views(PIT_VIEWS, r_sql(["pb"], "pit", [*KEYS, "l1_name", "l2_name", "l3_name"]), pit=PIT))

@@ -28,8 +28,8 @@ def test_both_plans_give_the_same_buckets_and_bounds(spark, q):
 def test_null_keys_match_nothing(spark):
     left = spark.createDataFrame([("a", 5), (None, 5), (None, 6)], "k string, t int")
     right = spark.createDataFrame([("a", 1, "x"), (None, 1, "y")], "k string, t int, p string")
-    for chunk in (None,):
-        found = pit.asof_join(left, right, ["k"], "t", "t", ["p"], chunk)
+    for longest in (None, 1):
+        found = pit.asof_join(left, right, ["k"], "t", "t", ["p"], longest=longest)
         assert sorted((r["k"] or "", r["t"], r["p"]) for r in found.collect()) == [("", 5, None), ("", 6, None), ("a", 5, "x")]
 
 

@@ -20,11 +20,11 @@ def frame(spark, rows, schema):
     return spark.createDataFrame(rows, schema)
 
 
-@pytest.mark.parametrize("chunk", [None, "week", "month"])
-def test_asof_keeps_null_payload_of_the_matched_row(spark, chunk):
+@pytest.mark.parametrize("longest", [None, 1, 2])
+def test_asof_keeps_null_payload_of_the_matched_row(spark, longest):
     left = frame(spark, [("a", day(2)), ("a", day(5)), ("a", day(9)), ("b", day(9))], "k string, t date")
     right = frame(spark, [("a", day(3), "x", 1), ("a", day(5), None, 2)], "k string, u date, p string, q int")
-    got = {(r.k, r.t): (r.p, r.q) for r in pit.asof_join(left, right, ["k"], "t", "u", ["p", "q"], chunk=chunk).collect()}
+    got = {(r.k, r.t): (r.p, r.q) for r in pit.asof_join(left, right, ["k"], "t", "u", ["p", "q"], longest=longest).collect()}
     assert got == {("a", day(2)): (None, None), ("a", day(5)): (None, 2), ("a", day(9)): (None, 2), ("b", day(9)): (None, None)}
 
 
@@ -35,8 +35,8 @@ def test_asof_matches_brute_force(spark, left, right):
     ldf = frame(spark, [(k, day(n)) for k, n in left], "k string, t date")
     rdf = frame(spark, [(k, day(n), n) for k, n in right], "k string, u date, v int")
     want = {(k, day(n)): max((m for kk, m in right if kk == k and m <= n), default=None) for k, n in left}
-    for chunk in (None, "week"):
-        got = {(r.k, r.t): r.v for r in pit.asof_join(ldf, rdf, ["k"], "t", "u", ["v"], chunk=chunk).collect()}
+    for longest in (None, 1, 5):
+        got = {(r.k, r.t): r.v for r in pit.asof_join(ldf, rdf, ["k"], "t", "u", ["v"], longest=longest).collect()}
         assert got == want
 
 

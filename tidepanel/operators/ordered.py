@@ -99,3 +99,17 @@ def group_width(df: DataFrame, by: Sequence[str]) -> int:
     """Rows in the largest group: a keys-only aggregation used to choose a plan."""
     row = df.groupBy(*by).count().agg(F.max("count")).first()
     return int(row[0] or 0)
+
+
+def group_size(df: DataFrame, by: Sequence[str], out: str) -> DataFrame:
+    """``df``, a table that can be read again, with the number of rows of each row's group; keys must not be NULL.
+
+    A group larger than an average shuffle partition gets its size by broadcast (there are fewer
+    of them than partitions), the others by a join on the key.
+    """
+    by = list(by)
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias(out))
+    mean = df.count() // int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    large = F.broadcast(cut_lineage(sizes.where(F.col(out) > mean)))
+    rest = df.join(large.select(*by), by, "left_anti").join(sizes.where(F.col(out) <= mean), by)
+    return df.join(large, by).select(*df.columns, out).unionByName(rest.select(*df.columns, out))

@@ -3,18 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_FROM_START = (Window.unboundedPreceding, 0)
-
-
-def _has_map(dtype: T.DataType) -> bool:
-    return "map<" in dtype.simpleString()
 
+from tidepanel.operators.ordered import group_size, running_total
+from tidepanel.operators.slices import last_value, slice_keys
+from tidepanel.session import cut_lineage
 
 def asof_join(
     left: DataFrame,
@@ -23,65 +18,28 @@ def asof_join(
     left_on: str,
     right_on: str,
     payload: Sequence[str],
-    chunk: str | None = None,
     right_order: Sequence[str] = (),
+    longest: int | None = None,
 ) -> DataFrame:
     """Latest right row with ``right_on <= left_on`` per key; unmatched left rows keep NULLs.
 
-    A NULL key matches nothing. Left rows with one are spread over many window partitions.
+    A NULL key matches nothing. Of right rows at one time, the last in ``right_order`` counts.
 
-    Both sides are stacked and scanned once. The right row travels as one struct, so
-    a NULL field of the matched row is never replaced by an older row's value.
-
-    The window partition is one key's history. Where both sides hold at most one row
-    per key and date that is bounded by the calendar. Where it is not, ``chunk``
-    ("month", "day", ...) cuts every key into time slices: the scan runs per
-    (key, slice), and the last right row before each slice is carried in from a table
-    with one row per key and slice.
+    Both sides are stacked, stored once and scanned once in the order (time, side, tie), whatever
+    the length of a key (``slices.last_value``; ``longest`` rows of a key are scanned in one piece). The right row travels as one struct, so a NULL field of the
+    matched row is never replaced by an older row's value. Select the wanted columns of ``left`` first: all are stored.
     """
     by = list(by)
-    chunk_of = (lambda t: F.date_trunc(chunk, t)) if chunk else (lambda t: F.lit(None).cast("timestamp"))
     kept = [c for c in left.columns if c not in by]
-    no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in by])
-    left_rows = left.select(
-        *by,
-        F.when(no_key, F.pmod(F.xxhash64(*[F.col(c) for c in kept if not _has_map(left.schema[c].dataType)]), F.lit(1024))).otherwise(0).alias("_spread"),
-        chunk_of(F.col(left_on)).alias("_chunk"),
-        F.col(left_on).alias("_t"),
-        F.lit(1).alias("_side"),
-        F.lit(0).alias("_rank"),
-        F.struct(*kept).alias("_left"),
-    )
-    right_rows = right.where(F.col(right_on).isNotNull() & ~no_key).select(
-        *by,
-        F.lit(0).cast("long").alias("_spread"),
-        chunk_of(F.col(right_on)).alias("_chunk"),
-        F.col(right_on).alias("_t"),
-        F.lit(0).alias("_side"),
-        F.struct(*right_order).alias("_tie") if right_order else F.lit(0).alias("_tie"),
-        F.struct(*payload).alias("_right"),
+    left_rows = left.select(*by, F.col(left_on).alias("_t"), F.lit(1).alias("_side"), *[F.col(c).alias(f"_l_{c}") for c in kept])
+    right_rows = right.dropna(subset=[*by, right_on]).select(
+        *by, F.col(right_on).alias("_t"), F.lit(0).alias("_side"), F.struct(F.lit(0), *right_order).alias("_tie"), F.struct(*payload).alias("_right")
     )
-    if right_order:  # one right row per (key, time): the last in the given order
-        right_rows = right_rows.groupBy(*by, "_spread", "_chunk", "_t", "_side").agg(F.max(F.struct("_tie", "_right")).alias("_m")).select(
-            *by, "_spread", "_chunk", "_t", "_side", F.col("_m._right").alias("_right")
-        )
-    else:
-        right_rows = right_rows.drop("_tie")
-    stacked = left_rows.drop("_rank").unionByName(right_rows, allowMissingColumns=True)
-    slice_keys = [*by, "_spread", "_chunk"] if chunk else [*by, "_spread"]
-    scan = Window.partitionBy(*slice_keys).orderBy("_t", "_side").rowsBetween(*_FROM_START)
-    matched = stacked.withColumn("_match", F.last("_right", ignorenulls=True).over(scan)).where("_side = 1")
-    if chunk:
-        slices = left_rows.where(~no_key).select(*by, "_chunk").distinct()
-        newest = right_rows.groupBy(*by, "_chunk").agg(F.max_by("_right", "_t").alias("_newest"))
-        before = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-        carried = (
-            slices.join(newest, [*by, "_chunk"], "full")
-            .withColumn("_carry", F.last("_newest", ignorenulls=True).over(before))
-            .select(*by, "_chunk", "_carry")
-        )
-        matched = matched.join(carried, [*by, "_chunk"], "left").withColumn("_match", F.coalesce("_match", "_carry"))
-    return matched.select(*by, "_left.*", *[F.col("_match")[c].alias(c) for c in payload])
+    stacked = left_rows.unionByName(right_rows, allowMissingColumns=True).withColumn("_id", F.monotonically_increasing_id())
+    order = ["_t", "_side", "_tie", "_id"]
+    scanned = last_value(slice_keys(cut_lineage(stacked), by, order, longest), by, order, "_right", "_match").where("_side = 1")
+    # rows with a NULL key share slices, but right rows never have one
+    return scanned.select(*by, *[F.col(f"_l_{c}").alias(c) for c in kept], *[F.col("_match")[c].alias(c) for c in payload])
 
 
 def interval_asof(
@@ -99,18 +57,46 @@ def interval_asof(
     return joined.withColumns({c: F.when(valid, F.col(c)) for c in wanted})
 
 
+def disjoint_segments(intervals: DataFrame, by: str, start: str, end: str, payload: Sequence[str]) -> DataFrame:
+    """(by, _from, _win): from ``_from`` on, until the next row of the key, the interval ``_win`` wins; NULL in a gap.
+
+    Intervals are half open. Of those that hold a point, the latest start wins, then the latest end, then the payload.
+    The points are the intervals' ends, numbered per key. Every interval is cut into at most two blocks a level
+    of the dyadic blocks of these numbers, and the winner of each block is an aggregate; a point asks the blocks
+    above it, one a level. No task sees a key's intervals, and n of them make O(n log n) rows.
+    """
+    known = intervals.where(F.col(by).isNotNull() & (F.col(start) < F.col(end)))
+    one = known.groupBy(by, F.col(start).alias("_s"), F.col(end).alias("_e")).agg(F.max(F.struct(*payload)).alias("_p"))
+    points = one.select(by, F.explode(F.array("_s", "_e")).alias("_from")).distinct()
+    points = cut_lineage(group_size(running_total(points, [by], ["_from"], out="_n"), [by], "_size"))
+    number = lambda at, out: points.select(by, F.col("_from").alias(at), F.col("_n").alias(out))
+    placed = one.join(number("_s", "_lo"), [by, "_s"]).join(number("_e", "_hi"), [by, "_e"])
+    one_level = lambda n, k: F.floor(n / F.pow(F.lit(2), k)).cast("long")
+
+    def blocks(k: Column) -> Column:
+        lo, hi = -one_level(-F.col("_lo"), k), one_level(F.col("_hi"), k)
+        odd = lambda n: F.pmod(n, F.lit(2)) == 1
+        return F.array(F.when((lo < hi) & odd(lo), F.struct(k.alias("_level"), lo.alias("_block"))), F.when((lo < hi) & odd(hi), F.struct(k.alias("_level"), (hi - 1).alias("_block"))))
+
+    levels = F.sequence(F.lit(0), F.ceil(F.log2(F.col("_hi") - F.col("_lo"))).cast("int") + 1)
+    cut = placed.select(by, F.explode(F.array_compact(F.flatten(F.transform(levels, blocks)))).alias("_b"), F.struct("_s", "_e", "_p").alias("_win"))
+    best = cut.groupBy(by, "_b._level", "_b._block").agg(F.max("_win").alias("_win"))
+    above = F.transform(F.sequence(F.lit(0), F.ceil(F.log2("_size")).cast("int")), lambda k: F.struct(k.alias("_level"), one_level(F.col("_n"), k).alias("_block")))
+    asked = points.select(by, "_from", F.explode(above).alias("_b")).select(by, "_from", "_b._level", "_b._block")
+    return asked.join(best, [by, "_level", "_block"], "left").groupBy(by, "_from").agg(F.max("_win").alias("_win"))
+
+
 def interval_range(
     facts: DataFrame, intervals: DataFrame, by: str, at: str, start: str, end: str, payload: Sequence[str]
 ) -> DataFrame:
-    """``start <= at < end``; with overlaps the latest start wins; unmatched rows are kept."""
-    hit = (
-        facts.select(by, at)
-        .join(intervals.select(by, F.col(start).alias("_s"), F.col(end).alias("_e"), *payload), by)
-        .where((F.col("_s") <= F.col(at)) & (F.col(at) < F.col("_e")))
-        .groupBy(by, at)
-        .agg(F.max(F.struct("_s", "_e", *payload)).alias("_hit"))
-    )
-    return facts.join(hit, [by, at], "left").select(*facts.columns, *[F.col("_hit")[c].alias(c) for c in payload])
+    """``start <= at < end``; with overlaps the latest start wins; unmatched rows are kept.
+
+    Overlapping intervals are cut into disjoint segments with one winner each, and every fact looks up the
+    last segment that has begun: it never meets the other intervals of its key.
+    """
+    segments = disjoint_segments(intervals, by, start, end, payload)
+    found = asof_join(facts, segments, [by], at, "_from", ["_win"])
+    return found.select(*facts.columns, *[F.col("_win._p")[c].alias(c) for c in payload])
 
 
 def with_ordinal(calendar: DataFrame, time: str = "trade_date") -> DataFrame:
