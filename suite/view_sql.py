@@ -20,7 +20,7 @@ _LEG_SUMS = ", ".join(
     f"round(sum(l_extendedprice) FILTER (WHERE {LEG} = '{leg}' AND l_returnflag {op} 'R'), 2) / 10 AS {side}_{leg}_amount"
     for leg in LEGS for side, op in (("buy", "<>"), ("sell", "="))
 )
-_COSTS = ", ".join(f"quantile_cont(round(price), {p / 100}) AS cost_{p}pct" for p in COST_POINTS)
+_COSTS = ", ".join(f"quantile_cont(price, {p / 100}) AS cost_{p}pct" for p in COST_POINTS)
 _METRICS = ", ".join(f"{financial_metric(i, n)} AS {n}" for i, n in enumerate(FINANCIAL_COLUMNS))
 
 # name -> (needed views, body)
@@ -52,7 +52,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         min(low) OVER w AS his_low, max(high) OVER w AS his_high FROM daily_bars
         WINDOW w AS (PARTITION BY ts_code ORDER BY trade_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
     "cost_win": (("cost_bars", "li"), """SELECT b.ts_code, b.trade_date,
-        100 * count(*) FILTER (WHERE round(price) <= round(close)) / count(*) AS winner_rate
+        100 * count(*) FILTER (WHERE price <= close) / count(*) AS winner_rate
         FROM cost_bars b JOIN li l ON b.ts_code = l.ts_code AND b.month = CAST(date_trunc('month', l.l_shipdate) AS DATE) GROUP BY 1, 2"""),
     "cost_distribution": (("cost_bars", "cost_month", "cost_win"), """SELECT b.ts_code, b.trade_date, cost_5pct, cost_15pct, cost_50pct, cost_85pct,
         cost_95pct, weight_avg, winner_rate, his_low, his_high

@@ -63,19 +63,27 @@ def running_total(
     )
 
 
-def exact_quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float], interpolation: str = "linear", parts: int | None = None
-) -> DataFrame:
-    """Exact quantiles per group, one column per entry of ``probs``; NULLs are skipped.
+def running_levels(df: DataFrame, by: Sequence[str], value: str, weight: str | None = None, parts: int | None = None) -> DataFrame:
+    """(by, _v, _n, _from): the distinct values of each group, their weight and the weight below them; NULLs are skipped.
 
-    Rows collapse to (value, copies) before the ordered scan, so repeated values cost
-    nothing. ``interpolation`` is "linear" or "nearest" (half rounds away from zero).
+    Rows collapse to (value, weight) before the ordered scan, so repeated values cost nothing. ``weight`` is a
+    whole number of copies, one a row if not given.
     """
-    by = list(by)
-    counted = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    placed = running_total(counted, by, ["_v"], weight="_n", out="_from", parts=parts)
+    counted = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.sum(F.col(weight) if weight else F.lit(1)).cast("long").alias("_n"))
+    return running_total(counted.where(F.col("_n") > 0), by, ["_v"], weight="_n", out="_from", parts=parts)
+
+
+def _with_total(placed: DataFrame, by: Sequence[str]) -> DataFrame:
     sizes = placed.groupBy(*by).agg(F.sum("_n").alias("_total"))  # reads the stored layout, not the input again
-    placed = null_safe_join(placed, sizes, by) if by else placed.withColumn("_total", sizes.select("_total").scalar())
+    return null_safe_join(placed, sizes, by) if by else placed.withColumn("_total", sizes.select("_total").scalar())
+
+
+def quantiles_of(levels: DataFrame, by: Sequence[str], probs: dict[str, float], interpolation: str = "linear") -> DataFrame:
+    """Exact quantiles of ``running_levels``, one column per entry of ``probs``.
+
+    A value of weight n counts as n equal rows. ``interpolation`` is "linear" or "nearest" (half rounds away from zero).
+    """
+    placed = _with_total(levels, by)
 
     def value_at(k: Column) -> Column:
         return F.max(F.when((F.col("_from") <= k) & (k < F.col("_from") + F.col("_n")), F.col("_v")))
@@ -95,6 +103,14 @@ def exact_quantiles(
     return placed.groupBy(*by).agg(*aggs).select(*by, *out)
 
 
+def exact_quantiles(
+    df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float], interpolation: str = "linear", parts: int | None = None, weight: str | None = None
+) -> DataFrame:
+    """Exact, optionally weighted quantiles per group; see ``quantiles_of``."""
+    by = list(by)
+    return quantiles_of(running_levels(df, by, value, weight, parts), by, probs, interpolation)
+
+
 def group_width(df: DataFrame, by: Sequence[str]) -> int:
     """Rows in the largest group: a keys-only aggregation used to choose a plan."""
     row = df.groupBy(*by).count().agg(F.max("count")).first()

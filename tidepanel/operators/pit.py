@@ -42,6 +42,19 @@ def asof_join(
     return scanned.select(*by, *[F.col(f"_l_{c}").alias(c) for c in kept], *[F.col("_match")[c].alias(c) for c in payload])
 
 
+def share_at_or_below(points: DataFrame, levels: DataFrame, by: Sequence[str], at: str, out: str) -> DataFrame:
+    """``points`` with the share of its group's weight at values up to ``at``; NULL where the group has no value.
+
+    ``levels`` are the group's ``running_levels``: a point looks up the last value that is not above it, whose
+    running count is the answer, so no point meets a group's values.
+    """
+    counted = levels.select(*by, F.col("_v"), (F.col("_from") + F.col("_n")).alias("_upto"))
+    totals = levels.groupBy(*by).agg(F.sum("_n").alias("_total"))
+    found = asof_join(points, counted, by, at, "_v", ["_upto"]).join(totals, list(by), "left")
+    share = F.when(F.col(at).isNotNull(), F.coalesce("_upto", F.lit(0)) / F.col("_total"))
+    return found.select(*points.columns, share.alias(out))
+
+
 def interval_asof(
     facts: DataFrame, intervals: DataFrame, by: str, at: str, start: str, end: str, payload: Sequence[str], how: str = "inner"
 ) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidepanel.functions.scalars import compact_date, ratio
+from tidepanel.operators.ordered import quantiles_of, running_levels
+from tidepanel.operators.pit import share_at_or_below
 from tidepanel.session import cut_lineage
 
 # The financial columns, in the order the factor library documents them.
@@ -137,31 +139,23 @@ class StarViews:
         return self._lines().groupBy("ts_code", "trade_date").agg(*sums, net)
 
     def cost_distribution(self) -> DataFrame:
-        """Monthly price-level distribution per entity, joined to the weekly closes.
+        """Monthly distribution of the exact prices per entity, joined to the weekly closes.
 
-        Prices are counted per whole currency unit before percentiles are taken, so a
-        hot entity-month is a table of price levels, not of rows.
+        Equal prices of an entity's month collapse; percentiles and the share of prices up to the close are
+        both read off the running counts of what is left, which are laid out over all tasks.
         """
-        lines = self._lines().withColumns({"month": F.date_trunc("month", "l_shipdate").cast("date"), "level": F.round("price")})
-        levels = lines.groupBy("ts_code", "month", "level").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("l_extendedprice").alias("ext"), F.sum("l_quantity").alias("qty")
+        keys = ["ts_code", "month"]
+        lines = self._lines().withColumn("month", F.date_trunc("month", "l_shipdate").cast("date"))
+        levels = running_levels(lines, keys, "price")
+        month = quantiles_of(levels, keys, {f"cost_{p}pct": p / 100 for p in COST_POINTS}).join(
+            lines.groupBy(*keys).agg((_cents(F.sum("l_extendedprice")) / F.sum("l_quantity")).alias("weight_avg")), keys
         )
-        month = levels.groupBy("ts_code", "month").agg(
-            F.percentile("level", F.array(*[F.lit(p / 100) for p in COST_POINTS]), F.col("n")).alias("cost"),
-            (_cents(F.sum("ext")) / F.sum("qty")).alias("weight_avg"),
-        ).select("ts_code", "month", *[F.col("cost")[i].alias(f"cost_{p}pct") for i, p in enumerate(COST_POINTS)], "weight_avg")
         bars = self.daily_bars().select("ts_code", "trade_date", "close", "high", "low").withColumn("month", F.trunc("trade_date", "month"))
         so_far = Window.partitionBy("ts_code").orderBy("trade_date").rowsBetween(Window.unboundedPreceding, 0)
-        bars = bars.withColumns({"his_low": F.min("low").over(so_far), "his_high": F.max("high").over(so_far)})
-        winners = (
-            bars.select("ts_code", "trade_date", "month", F.round("close").alias("at"))
-            .join(levels.select("ts_code", "month", "level", "n"), ["ts_code", "month"])
-            .groupBy("ts_code", "trade_date")
-            .agg((100 * F.coalesce(F.sum(F.when(F.col("level") <= F.col("at"), F.col("n"))), F.lit(0)) / F.sum("n")).alias("winner_rate"))
-        )
+        bars = bars.withColumns({"his_low": F.min("low").over(so_far), "his_high": F.max("high").over(so_far)}).drop("high", "low")
         return (
-            bars.join(month, ["ts_code", "month"], "left").join(winners, ["ts_code", "trade_date"], "left")
-            .select("ts_code", "trade_date", *[f"cost_{p}pct" for p in COST_POINTS], "weight_avg", "winner_rate", "his_low", "his_high")
+            share_at_or_below(bars, levels, keys, "close", "share").join(month, keys, "left")
+            .select("ts_code", "trade_date", *[f"cost_{p}pct" for p in COST_POINTS], "weight_avg", (100 * F.col("share")).alias("winner_rate"), "his_low", "his_high")
         )
 
     def bars_60m(self) -> DataFrame:
