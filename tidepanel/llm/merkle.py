@@ -53,13 +53,14 @@ def _joined(parts: Column) -> Column:
 
 
 def sibling_level(nodes: DataFrame, fan: int = FAN) -> DataFrame:
-    """``nodes`` (grp, idx, digest) with the digests of the run's others: ``before`` and ``after``, in order of slots."""
+    """``nodes`` (grp, idx, digest, ...) with the digests of the run's others: ``before`` and ``after``, in order of slots."""
+    more = [c for c in nodes.columns if c not in ("grp", "idx", "digest")]
     slot, run = F.pmod("idx", F.lit(fan)), F.col("idx") - F.pmod("idx", F.lit(fan))
     to = [slot.bitwiseXOR(F.lit(1).cast("long"))] if fan == 2 else [F.pmod(slot + k, F.lit(fan)) for k in range(1, fan)]
     sent = nodes.select("grp", F.explode(F.array(*[run + t for t in to])).alias("idx"), F.struct(slot.alias("slot"), "digest").alias("sibling"))
-    met = nodes.join(sent, ["grp", "idx"], "left").groupBy("grp", "idx").agg(F.first("digest").alias("digest"), F.sort_array(F.collect_list("sibling")).alias("siblings"))
+    met = nodes.join(sent, ["grp", "idx"], "left").groupBy("grp", "idx").agg(*[F.first(c).alias(c) for c in ("digest", *more)], F.sort_array(F.collect_list("sibling")).alias("siblings"))
     return met.select(
-        "grp", "idx", "digest",
+        "grp", "idx", "digest", *more,
         _joined(F.filter("siblings", lambda s: s["slot"] < slot)).alias("before"), _joined(F.filter("siblings", lambda s: s["slot"] > slot)).alias("after"),
         # alone at the first place: the whole group has come down to this node
         ((F.col("idx") == 0) & (F.size("siblings") == 0)).alias("last"),
@@ -81,15 +82,19 @@ def build_levels(nodes: DataFrame, fan: int = FAN) -> list[DataFrame]:
 
 
 def paths(levels: list[DataFrame], tops: DataFrame, fan: int = FAN) -> DataFrame:
-    """(grp, idx, digest, top, path) of the lowest level; ``tops`` (grp, top, path) is what lies above a group."""
+    """(grp, idx, digest, ..., top, path) of the lowest level; ``tops`` (grp, top, path) is what lies above a group.
+
+    A level's rows travel with their own siblings only, to meet the paths of their parents, one in ``fan`` of them.
+    """
     above = None
     for level in reversed(levels):
-        found = level.where("last").join(tops, "grp").select("grp", "idx", "digest", F.struct(F.col("digest").alias("subroot"), F.col("top").alias("root")).alias("top"), "path")
+        own = [c for c in level.columns if c not in ("before", "after", "last")]
+        found = level.where("last").join(tops, "grp").select(*own, F.struct(F.col("digest").alias("subroot"), F.col("top").alias("root")).alias("top"), "path")
         if above is not None:
             upper = above.select("grp", F.col("idx").alias("up"), "top", F.col("path").alias("rest"))
             step = F.array(F.struct("before", "after"))
             open_rows = level.where("NOT last").withColumn("up", (F.col("idx") / fan).cast("long"))
-            found = found.unionByName(open_rows.join(upper, ["grp", "up"]).select("grp", "idx", "digest", "top", F.concat(step, "rest").alias("path")))
+            found = found.unionByName(open_rows.join(upper, ["grp", "up"]).select(*own, "top", F.concat(step, "rest").alias("path")))
         above = found
     return above
 
@@ -114,8 +119,7 @@ def merkle_manifest(docs: DataFrame, id_col: str = "doc_id", group_col: str = "s
     marks the rows whose last field's A-Z are lower-cased before verification.
     """
     tampered = F.lit(False) if tampered is None else tampered
-    rows = cut_lineage(placed_rows(docs, id_col, group_col, list(fields), tampered))
-    levels = build_levels(rows.select("grp", "idx", F.col("leaf").alias("digest")), fan)
+    levels = build_levels(placed_rows(docs, id_col, group_col, list(fields), tampered).withColumnRenamed("leaf", "digest"), fan)
     ends = cut_lineage(reduce(DataFrame.union, [x.where("last").select("grp", "digest") for x in levels]))
     order = cut_lineage(running_total(ends, [], ["grp"], out="idx").select("grp", "idx"))
     upper = build_levels(ends.join(order, "grp").select(F.lit("").alias("grp"), "idx", "digest"), fan)
@@ -123,7 +127,7 @@ def merkle_manifest(docs: DataFrame, id_col: str = "doc_id", group_col: str = "s
     whole = upper[-1].where("last").select("grp", F.lit(None).cast("binary").alias("top"), nothing.alias("path"))
     of_group = paths(upper, whole, fan).join(order.withColumnRenamed("grp", "name"), "idx")
     tops = cut_lineage(of_group.select(F.col("name").alias("grp"), F.col("top.subroot").alias("top"), "path"))
-    found = rows.join(paths(levels, tops, fan).select("grp", "idx", "top", "path"), ["grp", "idx"])
+    found = paths(levels, tops, fan).withColumnRenamed("digest", "leaf")
     folded = F.aggregate("path", F.coalesce("changed", "leaf"), lambda acc, s: digest_of(hex_of(F.concat(s["before"], acc, s["after"])).cast("binary")))
     out = found.select("doc_id", "grp", "idx", "leaf", F.col("top.subroot").alias("subroot"), F.col("top.root").alias("root"), "path", folded.alias("folded"))
     return out.withColumn("verified", F.col("folded") == F.col("root"))
