@@ -70,25 +70,27 @@ def quantile_group_returns(v):
     return ev.quantile_returns(rows, "bp", ["horizon", "trade_date"], width=len(HORIZONS) * v.width)
 
 
-_CUM = {**IC, **GROUPS, "sr": "SELECT i.horizon, i.trade_date, rank_ic, sign(long_short) * ln(1 + abs(long_short)) / 1000 AS ls FROM ic i JOIN gl g ON i.horizon = g.horizon AND i.trade_date = g.trade_date",
+_CUM = {**IC, **GROUPS, "sr": "SELECT i.horizon, i.trade_date, rank_ic, long_short AS ls FROM ic i JOIN gl g ON i.horizon = g.horizon AND i.trade_date = g.trade_date",
         "cs": """SELECT horizon, trade_date, CASE WHEN count(rank_ic) OVER w20 >= 20 THEN avg(rank_ic) OVER w20 END AS rank_ic_ma20, sum(rank_ic) OVER wc AS rank_ic_cumsum,
-        exp(sum(ln(1 + ls)) OVER wc) AS ls_nav FROM sr WINDOW wc AS (PARTITION BY horizon ORDER BY trade_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+        sign(product(1 + ls) OVER wc) AS ls_nav_sign, ln(abs(nullif(product(1 + ls) OVER wc, 0))) AS ls_nav_log FROM sr WINDOW wc AS (PARTITION BY horizon ORDER BY trade_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
         w20 AS (PARTITION BY horizon ORDER BY trade_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"""}
 
 
 def _series(v):
     series, _ = ev.evaluate(with_returns(v), "bp", _rets(), width=len(HORIZONS) * v.width)
-    return series.where(F.col("rank_ic").isNotNull() | F.col("n_obs").isNotNull()).withColumn("ls", F.signum("long_short") * F.log1p(F.abs("long_short")) / 1000)
+    return series.where(F.col("rank_ic").isNotNull() | F.col("n_obs").isNotNull()).withColumn("ls", F.col("long_short"))
 
 
-@query("cumulative_evaluation_series", with_views(["daily_basic"], r_sql(["rank_ic_ma20", "rank_ic_cumsum", "ls_nav"], "cs", ["horizon", ymd("trade_date")]), **_CUM))
+@query("cumulative_evaluation_series", with_views(["daily_basic"], r_sql(["rank_ic_ma20", "rank_ic_cumsum", "ls_nav_sign", "ls_nav_log"], "cs", ["horizon", ymd("trade_date")]), **_CUM))
 def cumulative_evaluation_series(v):
+    """The growth of a series that falls below -100 % changes sign and spans many powers of ten: told as sign and logarithm."""
     out = ev.cumulative_series(_series(v), ["horizon"], ["rank_ic"], ["ls"], {"rank_ic": 20})
-    return out.select("horizon", "trade_date", "rank_ic_ma20", "rank_ic_cumsum", "ls_nav")
+    nav = [F.signum("ls_nav").alias("ls_nav_sign"), F.ln(F.abs(F.nullif("ls_nav", F.lit(0.0)))).alias("ls_nav_log")]
+    return out.select("horizon", "trade_date", "rank_ic_ma20", "rank_ic_cumsum", *nav)
 
 
 @query("long_short_performance", with_views(["daily_basic"], r_sql(["annual_return", "annual_volatility", "sharpe", "max_drawdown"], "p", ["horizon", "n_periods"]), **_CUM,
-    nv="SELECT horizon, trade_date, ls, exp(sum(ln(1 + ls)) OVER (PARTITION BY horizon ORDER BY trade_date)) AS nav FROM sr WHERE ls IS NOT NULL",
+    nv="SELECT horizon, trade_date, ls, product(1 + ls) OVER (PARTITION BY horizon ORDER BY trade_date) AS nav FROM sr WHERE ls IS NOT NULL",
     dd="SELECT *, nav / greatest(max(nav) OVER (PARTITION BY horizon ORDER BY trade_date), 1) - 1 AS d FROM nv",
     p="SELECT horizon, avg(ls) * 52 AS annual_return, stddev_samp(ls) * sqrt(52) AS annual_volatility, avg(ls) / stddev_samp(ls) * sqrt(52) AS sharpe, min(d) AS max_drawdown, count(*) AS n_periods FROM dd GROUP BY 1"))
 def long_short_performance(v):

@@ -15,7 +15,10 @@ from tidepanel.operators import cross_section as xs
 from tidepanel.operators import pit
 from tidepanel.operators.neutralize import neutralize
 from tidepanel.operators.ordered import exact_quantiles, running_total
+from tidepanel.operators.sliding import sliding_percentile
+from tidepanel.operators.slices import last_value, over_rows, slice_keys
 from tidepanel.plans import factors as fac
+from tidepanel.session import cut_lineage
 
 PAIR = ["roe", "roe_dt", "ebitda"]
 W = ts.entity_window  # called per query: windows need a running session
@@ -117,6 +120,39 @@ def ts_fill_with_limit(v):
     return v.moneyflow().select("ts_code", "trade_date", ts.forward_fill(x, W(), 2).alias("ff2"), ts.backward_fill(x, W(), 1).alias("bf1"), ts.forward_fill(x, W()).alias("ff_all"))
 
 
+# The same rows with every key of over 100 rows cut into slices, as keys longer than a partition always are.
+
+@query("ts_lag_change_zscore_sliced", ORACLES["ts_lag_change_zscore"], exact=("lag1", "diff5"))
+def ts_lag_change_zscore_sliced(v):
+    bars = v.daily_bars().select("ts_code", "trade_date", "close")
+    columns = lambda w: {
+        "lag1": ts.lag("close", 1, w), "roc5": ts.roc("close", 5, w), "diff5": ts.diff("close", 5, w), "z20": ts.zscore("close", 20, w), "z20_lenient": ts.zscore("close", 20, w, min_periods=10)}
+    return over_rows(bars, ["ts_code"], ["trade_date"], columns, before=19, longest=100).drop("close")
+
+
+@query("ts_fill_with_limit_sliced", ORACLES["ts_fill_with_limit"])
+def ts_fill_with_limit_sliced(v):
+    x, by, order = "buy_elg_amount", ["ts_code"], ["trade_date"]
+    near = over_rows(v.moneyflow().select("ts_code", "trade_date", x), by, order, lambda w: {"ff2": ts.forward_fill(x, w, 2), "bf1": ts.backward_fill(x, w, 1)}, before=2, after=1, longest=100)
+    return last_value(slice_keys(cut_lineage(near), by, order, 100), by, order, x, "ff_all").drop(x)
+
+
+_LINE = ["l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_partkey", "l_suppkey"]
+_LINES = f"(PARTITION BY l_returnflag ORDER BY {', '.join(_LINE)})"
+
+
+@query("ts_raw_line_windows", r_sql(["change5", "mean20", "next_ret"], f"""(SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, lag(l_extendedprice, 3) OVER w AS lag3,
+    l_quantity - lag(l_quantity, 5) OVER w AS change5, CASE WHEN count(*) OVER w20 = 20 THEN avg(l_extendedprice) OVER w20 END AS mean20, lead(l_extendedprice) OVER w / l_extendedprice - 1 AS next_ret FROM lineitem
+    WINDOW w AS {_LINES}, w20 AS {_LINES[:-1]} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))""", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "lag3"]), exact=("lag3",))
+def ts_raw_line_windows(v):
+    """Windows over raw rows: three keys hold the whole table, so each is cut."""
+    lines = v.table("lineitem").select(*_LINE, "l_returnflag")
+    columns = lambda w: {
+        "lag3": ts.lag("l_extendedprice", 3, w), "change5": ts.diff("l_quantity", 5, w), "mean20": ts.rolling_mean("l_extendedprice", 20, w), "next_ret": ts.forward_return("l_extendedprice", 1, w)}
+    out = over_rows(lines, ["l_returnflag"], _LINE, columns, before=19, after=1)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "lag3", "change5", "mean20", "next_ret")
+
+
 _FR = "OVER (PARTITION BY ts_code ORDER BY trade_date ROWS BETWEEN {k} PRECEDING AND CURRENT ROW)"
 
 
@@ -125,11 +161,19 @@ _FR = "OVER (PARTITION BY ts_code ORDER BY trade_date ROWS BETWEEN {k} PRECEDING
     CASE WHEN count(amount) {_FR.format(k=4)} = 5 THEN avg(amount) {_FR.format(k=4)} END AS ma5,
     CASE WHEN count(amount) {_FR.format(k=19)} = 20 THEN avg(amount) {_FR.format(k=19)} END AS ma20 FROM daily_bars)"""), digits=4)
 def ts_rolling_percentile(v):
-    return v.daily_bars().select(
-        "ts_code", "trade_date", ts.rolling_percentile("amount", 60, W()).alias("pct60"), ts.rolling_mean("amount", 5, W()).alias("ma5"),
+    bars = sliding_percentile(v.daily_bars().select("ts_code", "trade_date", "amount"), ["ts_code"], ["trade_date"], "amount", 60, "pct60")
+    return bars.select(
+        "ts_code", "trade_date", "pct60", ts.rolling_mean("amount", 5, W()).alias("ma5"),
         ts.rolling_mean("amount", 20, W()).alias("ma20"), (sc.ratio("amount", ts.rolling_mean("amount", 20, W())) - 1).alias("liq_shock"))
 
 
+@query("ts_own_history_percentile", with_views(["daily_bars"], r_sql(["pct252"], "t", KEYS), t=f"""SELECT ts_code, trade_date,
+    CASE WHEN count(pre_close) {_FR.format(k=251)} >= 60 THEN len(list_filter(list(pre_close) {_FR.format(k=251)}, lambda x: x <= pre_close)) / count(pre_close) {_FR.format(k=251)} END AS pct252 FROM daily_bars"""))
+def ts_own_history_percentile(v):
+    """Rank in the own last 252 rows, from 60 present values on; the first row of an entity has none."""
+    return sliding_percentile(v.daily_bars().select("ts_code", "trade_date", "pre_close"), ["ts_code"], ["trade_date"], "pre_close", 252, "pct252", min_periods=60).drop("pre_close")
+
+
 @query("ts_expression_templates", with_views(["daily_bars"], r_sql(["m10", "s10", "r10", "rel"], "t", [*KEYS, "d10", "ref3", "body"], 4), t=f"""SELECT ts_code, trade_date,
     CASE WHEN n = 10 THEN avg(close) {_FR.format(k=9)} END AS m10, CASE WHEN n = 10 THEN stddev_samp(close) {_FR.format(k=9)} END AS s10,
     CASE WHEN n = 10 THEN len(list_filter(list(close) {_FR.format(k=9)}, lambda x: x <= close)) / 10 END AS r10,

@@ -82,11 +82,16 @@ def cumulative_sum(x: ColumnLike, w: WindowSpec) -> Column:
 
 
 def cumulative_growth(r: ColumnLike, w: WindowSpec) -> Column:
-    """Running product of (1 + r); zero from the first total loss onwards, missing returns skipped."""
+    """Running product of (1 + r), missing returns skipped.
+
+    A product of signed factors: its sign is the parity of the factors below zero, its size the sum of
+    their logarithms, and it stays zero from the first total loss (r = -1) on. NULL before the first return.
+    """
     r, frame = as_col(r), w.rowsBetween(Window.unboundedPreceding, 0)
-    wiped = F.max(F.coalesce(r <= -1, F.lit(False))).over(frame)
-    growth = F.exp(F.sum(F.when(r > -1, F.log1p(r))).over(frame))
-    return F.when(wiped, F.lit(0.0)).otherwise(growth)
+    factor = 1 + r
+    turns, size = F.count_if(factor < 0).over(frame), F.sum(F.when(factor != 0, F.ln(F.abs(factor)))).over(frame)
+    lost = F.coalesce(F.max(factor == 0).over(frame), F.lit(False))
+    return F.when(lost, F.lit(0.0)).otherwise(F.when(turns % 2 == 1, -F.exp(size)).otherwise(F.exp(size)))
 
 
 # ---------------------------------------------------------------- expression templates
