@@ -16,7 +16,7 @@ from suite.view_sql import with_views
 from tidepanel.functions import scalars as sc
 from tidepanel.operators import dedup, increments, profile, quality
 from tidepanel.plans import derived, domains
-from tidepanel.session import shared_path
+from tidepanel.session import cut_lineage, shared_path
 from tidepanel.sources import readers, sinks
 from tidepanel.sources.specs import SPECS
 
@@ -467,6 +467,22 @@ def compact_bar_parts(v):
     return increments.compact([a, b], ["seq"]).drop("seq")
 
 
+@query("compact_into_touched_months", """SELECT strftime(o_orderdate, '%Y%m') AS month, count(*) AS rows, round(sum(o_totalprice + CASE WHEN month(o_orderdate) = 1 THEN 1 ELSE 0 END), 2) AS price,
+    month(o_orderdate) <> 1 AS files_kept FROM orders GROUP BY month(o_orderdate), 1""", digits=2)
+def compact_into_touched_months(v):
+    """A dataset by month receives corrected rows of every January, twice; the other months' files stay the same ones."""
+    path = shared_path(v.spark, f"compact-{uuid.uuid4().hex}")
+    orders = v.table("orders").select("o_orderkey", "o_orderdate", "o_totalprice", F.date_format("o_orderdate", "yyyyMM").alias("month"), F.lit(1).alias("version"))
+    increments.compact_into(path, orders, ["month"], ["o_orderkey"], ["version"])
+    files = lambda: v.spark.read.parquet(path).groupBy(F.col("month").cast("string").alias("month")).agg(F.array_sort(F.collect_set("_metadata.file_path")).alias("f"))
+    before = cut_lineage(files())
+    late = orders.where(F.month("o_orderdate") == 1).withColumns({"o_totalprice": F.col("o_totalprice") + 1, "version": F.lit(2)})
+    increments.compact_into(path, late.unionByName(late), ["month"], ["o_orderkey"], ["version"])
+    kept = before.join(files().withColumnRenamed("f", "g"), "month").select("month", (F.col("f") == F.col("g")).alias("files_kept"))
+    rows = v.spark.read.parquet(path).groupBy(F.col("month").cast("string").alias("month")).agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("o_totalprice"), 2).alias("price"))
+    return rows.join(kept, "month")
+
+
 @query("month_code_batches", with_views(["calendar", "stock_basic"], """SELECT month, ts_code, CAST(floor((row_number() OVER (PARTITION BY month ORDER BY ts_code) - 1) / 7) AS BIGINT) AS batch
     FROM (SELECT DISTINCT strftime(trade_date, '%Y%m') AS month FROM calendar) JOIN stock_basic ON month >= substr(list_date, 1, 6)"""))
 def month_code_batches(v):

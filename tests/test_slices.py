@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tidepanel.functions import timeseries as ts
 from tidepanel.operators import pit, slices
+from tidepanel.operators.ordered import exact_quantiles, running_levels
+from tidepanel.operators.sliding import sliding_percentile
 from tidepanel.session import cut_lineage
 
 
@@ -129,3 +131,56 @@ def test_empty_sides(spark):
     assert pit.asof_join(one.select("k", "t"), none, ["k"], "t", "t", ["v"]).first().v is None
     assert pit.interval_range(one, none.withColumn("e", F.col("t")), "k", "t", "t", "e", ["v"]).count() == 1
     assert slices.over_rows(none, ["k"], ["t"], lambda w: {"x": ts.lag("v", 1, w)}, before=1).count() == 0
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.one_of(st.none(), st.just(float("nan")), st.integers(-4, 4).map(float))), max_size=40), st.sampled_from([1, 3, 50]), st.sampled_from([1, 3]), st.sampled_from([None, 1, 6]))
+def test_sliding_percentile_by_brute_force(spark, rows, k, least, longest):
+    df = spark.createDataFrame([(key, i, x) for i, (key, x) in enumerate(rows)], "k string, i int, x double")
+    got = {r.i: r.p for r in sliding_percentile(df, ["k"], ["i"], "x", k, "p", least, longest).collect()}
+    want = {}
+    for key in "ab":
+        own = [(i, x) for i, (q, x) in enumerate(rows) if q == key]
+        for at, (i, x) in enumerate(own):
+            frame = [y for _, y in own[max(0, at - k + 1) : at + 1] if y is not None and y == y]
+            want[i] = sum(y <= x for y in frame) / len(frame) if x is not None and x == x and len(frame) >= least else None
+    assert got == want
+
+
+def test_time_of_a_sliding_percentile_does_not_follow_its_width(spark):
+    """Steps of the sorted frame are counted, not timed: one insert a row and one removal from the k-th on."""
+    from tidepanel.operators import sliding
+
+    import pyarrow as pa
+
+    n, rng = 5000, random.Random(2)
+    batch = pa.RecordBatch.from_pydict({"_first": [i == 0 for i in range(n)], "_halo": [False] * n, "_x": [rng.random() for _ in range(n)]})
+    calls = Counter()
+    real = (sliding.insort, sliding.bisect_left, sliding.bisect_right)
+    try:
+        for name, fn in zip(("insort", "bisect_left", "bisect_right"), real, strict=True):
+            setattr(sliding, name, lambda *a, f=fn, m=name: (calls.update([m]), f(*a))[1])
+        for k in (10, 252, 2000):
+            calls.clear()
+            list(sliding._shares(k, 1)([batch]))
+            assert calls == {"insort": n, "bisect_right": n, "bisect_left": n - k}
+    finally:
+        sliding.insort, sliding.bisect_left, sliding.bisect_right = real
+
+
+def test_signed_growth_and_weighted_quantiles(spark):
+    returns = [None, 0.5, -3.0, None, 0.1, -1.5, -1.0, 4.0]
+    df = spark.createDataFrame([("a", i, r) for i, r in enumerate(returns)], "ts_code string, trade_date int, r double")
+    got = [r.g for r in df.select("trade_date", ts.cumulative_growth("r", ts.entity_window()).alias("g")).orderBy("trade_date").collect()]
+    want, product = [], None
+    for r in returns:
+        product = product if r is None else (1.0 if product is None else product) * (1 + r)
+        want.append(product)
+    assert got[0] is None and got[1:] == pytest.approx(want[1:], rel=1e-12)
+    levels = spark.createDataFrame([("g", 1.0, 3), ("g", 2.0, 1), ("g", 10.0, 2), ("g", None, 9), ("h", 5.0, 0)], "g string, v double, w int")
+    (row,) = exact_quantiles(levels, ["g"], "v", {"a": 0.0, "b": 0.5, "c": 0.9}, weight="w").collect()
+    plain = sorted([1.0] * 3 + [2.0] + [10.0] * 2)
+    assert (row.a, row.b, row.c) == (1.0, (plain[2] + plain[3]) / 2, 10.0)
+    points = spark.createDataFrame([("g", 0.5), ("g", 1.0), ("g", 9.0), ("g", 10.0), ("g", None), ("z", 1.0)], "g string, at double")
+    shares = {(r.g, r.at): r.s for r in pit.share_at_or_below(points, running_levels(levels, ["g"], "v", "w"), ["g"], "at", "s").collect()}
+    assert shares == {("g", 0.5): 0.0, ("g", 1.0): 0.5, ("g", 9.0): 4 / 6, ("g", 10.0): 1.0, ("g", None): None, ("z", 1.0): None}

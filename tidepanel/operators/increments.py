@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from tidepanel.functions.scalars import canonical_json, compact_date, quarter_of, shift_month, shift_quarter
 from tidepanel.operators.dedup import keep_first, keep_last, union_aligned
 from tidepanel.operators.ordered import running_total
+from tidepanel.session import cut_lineage, path_exists
+from tidepanel.sources.sinks import replace_partitions
 from tidepanel.sources.specs import DatasetSpec, SpecError
 
 # Default look-back of period datasets.
@@ -92,6 +95,30 @@ def compact(frames: Sequence[DataFrame], order: Sequence[str], downcast: bool =
     return keep_first(merged, ["ts_code", time], order)
 
 
+def compact_into(path: str, parts: DataFrame, partition_by: Sequence[str], keys: Sequence[str], order: Sequence[str], codec: str = "zstd") -> list[tuple]:
+    """Merge new rows into a partitioned dataset, touching only the partitions that they fall into.
+
+    Of the rows of one key, new and stored, the last in ``order`` stays; a stored row comes before a new one of equal
+    ``order``. Only touched partitions are read and written; the files of the others keep their
+    names. Returns the touched partitions. A dataset that does not exist yet is created.
+    """
+    spark = parts.sparkSession
+    fresh = cut_lineage(parts.withColumn("_new", F.lit(1)))
+    # partition values: as many as the calendar has periods, not as the data has rows
+    touched = [tuple(r) for r in fresh.select(*partition_by).distinct().collect()]
+    if not touched:
+        return []
+    merged = fresh
+    if path_exists(spark, path):
+        stored = spark.read.parquet(path)
+        hit = reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v).cast(stored.schema[c].dataType)) for c, v in zip(partition_by, values, strict=True)]) for values in touched])
+        kinds = [F.col(c).cast(fresh.schema[c].dataType).alias(c) if c in partition_by else F.col(c) for c in stored.columns]
+        merged = union_aligned([stored.where(hit).select(*kinds).withColumn("_new", F.lit(0)), fresh])
+    kept = keep_last(merged, list(keys), [*order, "_new"]).drop("_new")
+    replace_partitions(cut_lineage(kept), path, partition_by, codec)
+    return touched
+
+
 def month_batches(codes: DataFrame, calendar: DataFrame, size: int, time: str = "trade_date") -> DataFrame:
     """Batches of codes already listed in each traded month.
 

@@ -61,3 +61,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = shared_path(spark, uuid.uuid4().hex)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in whatever store it names, asked through Spark's own file systems."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)

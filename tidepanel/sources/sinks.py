@@ -20,6 +20,15 @@ def write_table(df: DataFrame, path: str, codec: str = "snappy", partition_by: S
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], codec: str = "zstd") -> None:
+    """Write ``df`` over those partitions of a dataset that it has rows of; files of all others stay as they are.
+
+    ``df`` must not read the dataset any more (``cut_lineage``): the new files replace the old ones on commit.
+    """
+    clustered = df.hint("rebalance", *partition_by)
+    clustered.write.mode("overwrite").option("compression", codec).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
 def append_table(df: DataFrame, path: str, codec: str = "zstd") -> bool:
     """Append unless the frame is empty; tells whether rows were written."""
     if df.isEmpty():
