@@ -82,6 +82,9 @@ def test_token_counts_and_cache(spark, docs, rows, empty, tmp_path):
     assert stored.count() == stored.select("digest").distinct().count() == len({r[1] or "" for r in rows})
     token_counts.token_counts(docs, path, cache).collect()
     assert spark.read.parquet(cache).count() == stored.count()
+    stored.write.mode("append").parquet(cache)  # as two writers or a repeated run leave it
+    again = token_counts.token_counts(docs, path, cache).collect()
+    assert Counter((r["doc_id"], r["n_bytes"], r["n_tokens"]) for r in again) == want
     other = public_tokenizers.path("piece_bpe_32k.model")
     assert token_counts.token_counts(docs.where("doc_id = 8"), other, cache).first()["n_tokens"] > 0
     assert token_counts.token_counts(empty, path, cache).count() == 0

@@ -68,3 +68,21 @@ def test_a_misspelling_shares_n_grams():
     model = toxicity.train(texts, [0, 0, 0, 0, 1, 1, 1, 1] * 8, steps=80)
     score = toxicity._scorer(*model.gram_scores())
     assert score("the idiott thing") > 0.5 > score("the niice thing")
+
+
+def test_stripping_a_word_takes_linear_time():
+    import time
+
+    word_grams = toxicity.word_grams
+
+    began = time.perf_counter()
+    assert word_grams("a" + "." * 2_000_000 + "b")[:1] and not word_grams("." * 2_000_000)
+    assert time.perf_counter() - began < 20
+    for word in ("--hello!!--", "$x$", "!a!", "''it's''", "@@", "!!", "x"):
+        assert word_grams(word) == word_grams(re.sub(r"^[^\w$@*]+|[^\w$@*!]+$", "", word))
+
+
+def test_repeated_ids_count_once_in_training(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    once, twice = toxicity.fit(docs, labels), toxicity.fit(docs.unionByName(docs), labels)
+    assert (once.scores == twice.scores).all() and once.bias == twice.bias

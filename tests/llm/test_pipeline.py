@@ -8,11 +8,12 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from tests.llm.test_dedup_shards_counts import UP, slow_components, slow_fingerprint
+from tests.llm.test_dedup_shards_counts import UP
+from tests.llm.test_near_copies import slow_near
 from tests.llm.test_packing_decontamination import check_round_trip, slow_matches
 from tidepanel.llm import decontaminate, toxicity
 
-OWN = [f"op{n}_" for n in range(1, 11)]
+OWN = [f"op{n}_" for n in range(1, 14)]
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +31,7 @@ def test_every_stage(spark, folder):
 
     from tests.llm.test_packing_decontamination import PATH
 
-    docs, columns = spark.read.parquet(f"{folder}/documents.parquet"), None
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
     labels, items = spark.read.parquet(f"{folder}/labels.parquet"), [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
     longest = max(len(decontaminate.terms(t)) for _, t in items)
     for name, stage in corpus_pipeline.STAGES:
@@ -51,13 +52,7 @@ def test_every_stage(spark, folder):
                 best[key(t)] = max(-1 if i is None else i, best.get(key(t), -1))
             assert Counter((key(t), -1 if i is None else i) for i, t in after) == Counter(best.items())
         elif name == "near dedup":
-            prints = [(i, slow_fingerprint(t)) for i, t in before]
-            roots = slow_components(sorted({p for _, p in prints}), lambda a, b: (a ^ b).bit_count() <= 2)
-            least = {}
-            for i, p in prints:
-                if i is not None:
-                    least[roots[p]] = min(i, least.get(roots[p], i))
-            assert Counter(after) == Counter((i, t) for (i, t), (_, p) in zip(before, prints, strict=True) if i is None or i == least[roots[p]])
+            assert Counter(after) == slow_near(before)
         else:
             assert Counter(after) == Counter(x for x in before if not slow_matches(x[1], items, longest))
         assert 0 < len(after) <= len(before)
@@ -77,7 +72,8 @@ def test_registered_queries(spark, folder, sf_dir):
     assert names["pipeline"](spark, folder).count() > 0
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
-    for name in ("op3_suffix_tree_repeats", "op5_sparse_suffix_passages", "op7_bloom_exact_dedup"):
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{sf_dir}/embeddings.parquet'")
+    for name in ("op3_suffix_tree_repeats", "op5_sparse_suffix_passages", "op7_bloom_exact_dedup", "op11_sibling_shift_merkle", "op12_cap_filter_links"):
         df = names[name](spark, sf_dir)
         want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({entry.oracle_sql()[name]})").fetchall()
         assert Counter(map(tuple, df.collect())) == Counter(want), name

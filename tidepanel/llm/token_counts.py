@@ -102,5 +102,6 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache_path: str, limit: i
         missing = missing.join(known, "digest", "left_anti")
     distinct = missing.groupBy("digest").agg(F.first("text").alias("text"))
     distinct.mapInArrow(_encode(tokenizer_path, version), CACHE_SCHEMA).write.mode("append").parquet(cache_path)
-    counts = spark.read.schema(CACHE_SCHEMA).parquet(cache_path).where(F.col("tokenizer") == version).select("digest", "n_tokens")
+    counts = spark.read.schema(CACHE_SCHEMA).parquet(cache_path).where(F.col("tokenizer") == version)
+    counts = counts.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))  # two writers may both have added a digest
     return narrow.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
