@@ -51,7 +51,7 @@ def _boundaries(rows: DataFrame, total: int, count: int, ranges: int) -> list[tu
     bounds = sorted({(q, lowest) for q in quantiles} | {(q + 1, lowest) for q in quantiles if quantiles.count(q) > 1})
     # how many times an even range's bytes or rows, whichever is more
     load = F.greatest(F.sum("size") * ranges / total, F.count("*") * ranges / count)
-    for _ in range(3):  # the first cut sets a frequent text apart, the next cuts it by id
+    while True:  # a cut sets a frequent text apart, the next cuts it by id, until no range is overfull or can be cut
         over = {r["cell"]: r["load"] for r in rows.groupBy(_cell_of(bounds).alias("cell")).agg(load.alias("load")).where("load > 2").collect()}  # at most one row a range
         if not over:
             break
