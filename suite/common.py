@@ -22,3 +22,10 @@ def query(name: str, sql: str | None = None, digits: int = 6, exact: tuple[str,
         return fn
 
     return deco
+
+
+def also(name: str, older: str) -> None:
+    """An older name of a query, with its result."""
+    QUERIES[older] = QUERIES[name]
+    if name in ORACLES:
+        ORACLES[older] = ORACLES[name]

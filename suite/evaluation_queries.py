@@ -111,22 +111,22 @@ def top_decile_capacity(v):
 
 
 _SEG = {"r": RET, "s": f"SELECT r.*, year(trade_date) AS yr, l1_name, {bucket_sql('circ_mv', 'trade_date', 3, 'sz')} FROM r JOIN industry_static i ON r.ts_code = i.ts_code",
-        "lg": " UNION ALL ".join(f"SELECT trade_date, bp, ret_1 AS ret, '{n}' AS dim, CAST({c} AS VARCHAR) AS seg FROM s" for n, c in (("year", "yr"), ("size", "sz"), ("industry", "l1_name"))),
-        "rk": f"SELECT *, {avg_rank_sql('bp', 'dim, seg, trade_date', 'fr')}, {avg_rank_sql('ret', 'dim, seg, trade_date', 'rr')} FROM (SELECT * FROM lg WHERE bp IS NOT NULL AND ret IS NOT NULL)",
-        "ic": f"SELECT dim, seg, trade_date, {_CORR.format(x='bp', y='ret')} AS ic, {_CORR.format(x='fr', y='rr')} AS rank_ic, count(*) AS n_obs FROM rk GROUP BY 1, 2, 3",
-        "sm": _SUMMARY.format(by="dim, seg", src="ic")}
+        "lg": " UNION ALL ".join(f"SELECT trade_date, bp, 'ret_{k}' AS horizon, ret_{k} AS ret, '{n}' AS dim, CAST({c} AS VARCHAR) AS seg FROM s" for k in HORIZONS for n, c in (("year", "yr"), ("size", "sz"), ("industry", "l1_name"))),
+        "rk": f"SELECT *, {avg_rank_sql('bp', 'horizon, dim, seg, trade_date', 'fr')}, {avg_rank_sql('ret', 'horizon, dim, seg, trade_date', 'rr')} FROM (SELECT * FROM lg WHERE bp IS NOT NULL AND ret IS NOT NULL)",
+        "ic": f"SELECT horizon, dim, seg, trade_date, {_CORR.format(x='bp', y='ret')} AS ic, {_CORR.format(x='fr', y='rr')} AS rank_ic, count(*) AS n_obs FROM rk GROUP BY 1, 2, 3, 4",
+        "sm": _SUMMARY.format(by="horizon, dim, seg", src="ic")}
 
 
-@query("ic_by_segment", with_views(["daily_basic", "industry_static"], r_sql(_SUM, "sm", ["dim", "seg", "n_dates", "n_obs"]), **_SEG))
+@query("ic_by_segment", with_views(["daily_basic", "industry_static"], r_sql(_SUM, "sm", ["horizon", "dim", "seg", "n_dates", "n_obs"]), **_SEG))
 def ic_by_segment(v):
-    """Summary by year, size bucket and industry in one job: segments are rows, not loops."""
+    """Decay over the horizons by year, size bucket and industry in one job: segments and horizons are rows, not loops."""
     df = with_returns(v).join(v.industry_static().select("ts_code", F.col("l1_name").alias("industry")), "ts_code")
     df = xs.add_bucket(df, "circ_mv", ["trade_date"], 3, "size", width=v.width, plan="auto")
     df = df.withColumns({"year": F.year("trade_date").cast("string"), "size": F.col("size").cast("string")})
-    rows = df.select("ts_code", "trade_date", "bp", F.col("ret_1").alias("ret"), "year", "size", "industry")
-    rows = rows.unpivot(["ts_code", "trade_date", "bp", "ret"], ["year", "size", "industry"], "dim", "seg")
-    ics = ev.information_coefficients(rows, "bp", ["dim", "seg", "trade_date"], width=v.width)
-    return ev.ic_summary(ics, ["dim", "seg"])
+    rows = ev.long_returns(df, ["ts_code", "trade_date", "bp", "year", "size", "industry"], _rets())
+    rows = rows.unpivot(["ts_code", "trade_date", "bp", "horizon", "ret"], ["year", "size", "industry"], "dim", "seg")
+    ics = ev.information_coefficients(rows, "bp", ["horizon", "dim", "seg", "trade_date"], width=v.width)
+    return ev.ic_summary(ics, ["horizon", "dim", "seg"])
 
 
 _VER = {"pit": PIT, "base": BASE.format(src="pit"),

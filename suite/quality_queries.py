@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from suite.common import query
+from suite.common import also, query
 from suite.domain_queries import A_STEPS, _da, _fa
 from suite.factor_queries import KEYS
 from suite.library_queries import ymd
@@ -118,11 +118,7 @@ def column_profile_all_tables(v):
 
 
 _D = "price_volume"
-_PV = ["ret_cc_1d_robust", "gap_open_robust", "upper_shadow_ratio_raw", "lower_shadow_ratio_raw", "turnover_free_raw"]
-
-
-def _price_profile(v):
-    return profile.profile(domains.price_volume(v.daily_bars(), v.daily_basic()).select(*_PV), _D)
+_PV = [*_da, *_fa]
 
 
 def _pv_sql() -> dict[str, str]:
@@ -141,28 +137,11 @@ def profile_rule_issues(v):
     return profile.issues(profile.profile(v.moneyflow().select(*_ISSUE_LEGS), "moneyflow"))
 
 
-@query("profile_clipping_suspects", with_views(["daily_bars", "daily_basic"], r_sql(['"min"', '"max"', "q01", "q99"], "cl", ['"column"', "file_name", "kind"]), **_pv_sql(),
-    cl="""SELECT "column", file_name, mn AS "min", mx AS "max", q01, q99, CASE WHEN mn = q01 OR mx = q99 THEN 'quantile cut' ELSE 'hard bound' END AS kind FROM pf WHERE mn = q01 OR mx = q99 OR mn = -1.0 OR mx = 1.0"""))
-def profile_clipping_suspects(v):
-    return profile.clipping_suspects(_price_profile(v))
-
-
-@query("profile_high_zero_and_null", with_views(["daily_bars", "daily_basic"], r_sql(["pct"], "h", ["kind", '"column"'], 4), **_pv_sql(),
-    h="""SELECT 'zero' AS kind, "column", zero_pct AS pct FROM pf WHERE zero_pct > 15 UNION ALL SELECT 'null', "column", null_pct FROM pf WHERE null_pct > 10"""), digits=4)
-def profile_high_zero_and_null(v):
-    prof = _price_profile(v)
-    zero = profile.high_zero(prof).select(F.lit("zero").alias("kind"), "column", F.col("zero_pct").alias("pct"))
-    return zero.unionByName(profile.high_null(prof).select(F.lit("null").alias("kind"), "column", F.col("null_pct").alias("pct")))
-
-
-_PV_ALL = [*_da, *_fa]
-
-
 def _price_profile_all(v):
-    return profile.profile(domains.price_volume(v.daily_bars(), v.daily_basic()).select(*_PV_ALL), _D)
+    return profile.profile(domains.price_volume(v.daily_bars(), v.daily_basic()).select(*_PV), _D)
 
 
-_PV_ALL_SQL = {**_pv_sql(), "u": " UNION ALL ".join(f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS x FROM a2" for c in _PV_ALL)}
+_PV_ALL_SQL = {**_pv_sql(), "u": " UNION ALL ".join(f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS x FROM a2" for c in _PV)}
 
 
 @query("profile_clipping_suspects_all_columns", with_views(["daily_bars", "daily_basic"], r_sql(['"min"', '"max"', "q01", "q99"], "cl", ['"column"', "file_name", "kind"]), **_PV_ALL_SQL,
@@ -171,6 +150,9 @@ def profile_clipping_suspects_all_columns(v):
     return profile.clipping_suspects(_price_profile_all(v))
 
 
+also("profile_clipping_suspects_all_columns", "profile_clipping_suspects")
+
+
 @query("profile_high_zero_and_null_all_columns", with_views(["daily_bars", "daily_basic"], r_sql(["pct"], "h", ["kind", '"column"'], 4), **_PV_ALL_SQL,
     h="""SELECT 'zero' AS kind, "column", zero_pct AS pct FROM pf WHERE zero_pct > 15 UNION ALL SELECT 'null', "column", null_pct FROM pf WHERE null_pct > 10"""), digits=4)
 def profile_high_zero_and_null_all_columns(v):
@@ -179,6 +161,9 @@ def profile_high_zero_and_null_all_columns(v):
     return zero.unionByName(profile.high_null(prof).select(F.lit("null").alias("kind"), "column", F.col("null_pct").alias("pct")))
 
 
+also("profile_high_zero_and_null_all_columns", "profile_high_zero_and_null")
+
+
 @query("raw_vs_processed_bounds", with_views(["daily_bars", "daily_basic"], r_sql(["bound_share", "raw_zero_share", "processed_zero_share"], "t", ["raw", "processed"]), **A_STEPS,
     t=" UNION ALL ".join(f"""SELECT '{m}_raw' AS raw, '{m}_robust' AS processed, count(*) FILTER (WHERE {m}_robust IN (lo, hi)) / count({m}_robust) AS bound_share,
     count(*) FILTER (WHERE {m}_raw = 0) / count({m}_raw) AS raw_zero_share, count(*) FILTER (WHERE {m}_robust = 0) / count({m}_robust) AS processed_zero_share
@@ -234,9 +219,18 @@ def date_coverage_gaps(v):
     return quality.coverage_gaps(*_dates(v), "d")
 
 
-@query("dataset_contract_check", with_views(["daily_bars", "moneyflow"], "SELECT 'stock_daily' AS dataset, '' AS absent_columns, count(*) AS rows, 0::BIGINT AS null_keys, 0::BIGINT AS surplus_keys FROM daily_bars UNION ALL SELECT 'fx_daily', 'bid_close,ask_close', count(*), 0, 0 FROM moneyflow"))
+_PLANTED_BARS = {"pb": "SELECT ts_code, trade_date, open, close FROM daily_bars UNION ALL SELECT ts_code, NULL, open, close FROM daily_bars WHERE ts_code LIKE '%1' UNION ALL SELECT ts_code, trade_date, open, close FROM daily_bars WHERE ts_code LIKE '%2'"}
+_CONTRACT = """SELECT '{d}' AS dataset, '{absent}' AS absent_columns, count(*) AS rows, count(*) FILTER (WHERE ts_code IS NULL OR trade_date IS NULL) AS null_keys,
+    count(*) - (SELECT count(*) FROM (SELECT DISTINCT ts_code, trade_date FROM pb)) AS surplus_keys FROM pb"""
+
+
+@query("dataset_contract_check", with_views(["daily_bars"], _CONTRACT.format(d="stock_daily", absent="") + " UNION ALL " + _CONTRACT.format(d="fx_daily", absent="bid_close,ask_close"), **_PLANTED_BARS))
 def dataset_contract_check(v):
-    return quality.contract_violations(v.daily_bars(), SPECS["stock_daily"]).unionByName(quality.contract_violations(v.moneyflow(), SPECS["fx_daily"]))
+    """Bars with rows that lack a date and rows that stand twice, held against two contracts."""
+    bars = v.daily_bars().select("ts_code", "trade_date", "open", "close")
+    undated = bars.where("ts_code LIKE '%1'").withColumn("trade_date", F.lit(None).cast("date"))
+    planted = bars.unionByName(undated).unionByName(bars.where("ts_code LIKE '%2'"))
+    return dedup.union_all(*[quality.contract_violations(planted, SPECS[d]) for d in ("stock_daily", "fx_daily")])
 
 
 @query("bar_extent", with_views(["bars_60m"], "SELECT count(DISTINCT ts_code) AS entities, count(DISTINCT trade_time) AS dates, count(*) AS rows FROM bars_60m"))
@@ -257,12 +251,18 @@ def critical_null_counts(v):
     return quality.null_counts(v.daily_bars(), _CRIT)
 
 
-@query("content_fingerprint", """SELECT count(*) AS rows, count(DISTINCT o_orderkey) AS unique_keys, strftime(max(o_orderdate), '%Y%m%d') AS last_date,
+@query("content_fingerprint_counts", """SELECT count(*) AS rows, count(DISTINCT o_orderkey) AS unique_keys, strftime(max(o_orderdate), '%Y%m%d') AS last_date,
     (SELECT count(*) FROM (DESCRIBE orders)) AS columns FROM orders""")
+def content_fingerprint_counts(v):
+    """The part of the fingerprint that SQL can express."""
+    return content_fingerprint(v).drop("content_hash")
+
+
+@query("content_fingerprint")
 def content_fingerprint(v):
+    """The hash has no SQL form; a test recomputes it in Python from the same rows."""
     o = v.table("orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
-    """The hash itself is engine-bound; tests hold it against row changes."""
-    return quality.fingerprint(o, ["o_orderkey"], "o_orderdate").where("length(content_hash) > 0").drop("content_hash")
+    return quality.fingerprint(o, ["o_orderkey"], "o_orderdate")
 
 
 # ------------------------------------------------------------------ options, futures, macro, fx
@@ -274,10 +274,15 @@ def _cnt(cond: str) -> str:
     return f"count(*) FILTER (WHERE {cond})"
 
 
-@query("option_lifecycle_checks", with_views(["contract_daily", "contracts"], _rules_sql("contract_daily d JOIN contracts c ON d.ts_code = c.ts_code", {
-    "before_listing": _cnt("trade_date < list_date"), "after_delisting": _cnt("trade_date > delist_date"), "negative_oi": _cnt("oi < 0"), "negative_vol": _cnt("vol < 0"), "surplus_key": "0 * count(*)"})))
+_LIFE = {"before_listing": _cnt("trade_date < list_date"), "after_delisting": _cnt("trade_date > delist_date"), "negative_oi": _cnt("oi < 0"), "negative_vol": _cnt("vol < 0")}
+
+
+@query("option_lifecycle_checks", with_views(["contract_daily", "contracts"], _rules_sql("pd d JOIN contracts c ON d.ts_code = c.ts_code", _LIFE) + " UNION ALL " + _rules_sql("pd", {"surplus_key": "count(*) - count(DISTINCT (ts_code, trade_date))"}),
+    pd="SELECT ts_code, trade_date, vol, oi FROM contract_daily UNION ALL SELECT ts_code, trade_date, -vol, oi FROM contract_daily WHERE vol >= 45"))
 def option_lifecycle_checks(v):
-    return quality.option_lifecycle(v.contract_daily(), v.contracts())
+    """Quotes of a large volume stand once more with a negative one."""
+    daily = v.contract_daily().select("ts_code", "trade_date", "vol", "oi")
+    return quality.option_lifecycle(daily.unionByName(daily.where("vol >= 45").withColumn("vol", -F.col("vol"))), v.contracts())
 
 
 @query("option_strike_gaps", with_views(["contracts"], r_sql(["max_step", "min_step"], "g", ["underlying", "call_put", "strikes"]), g="""SELECT underlying, call_put, count(*) AS strikes, max(step) AS max_step, min(step) AS min_step FROM (
@@ -342,13 +347,6 @@ def macro_long_table(v):
     return _macro_long(v)
 
 
-@query("macro_asof_panel", with_views(["macro_monthly", "macro_quarterly", "calendar"], r_sql(["order_value", "gdp"], "t", [ymd("trade_date")], 2), **_MLONG,
-    t="""SELECT c.trade_date, m.value AS order_value, q.value AS gdp FROM calendar c ASOF LEFT JOIN (SELECT * FROM ml WHERE series_id = 'order_value') m ON c.trade_date >= m.release_date
-    ASOF LEFT JOIN (SELECT * FROM ml WHERE series_id = 'gdp') q ON c.trade_date >= q.release_date"""), digits=2)
-def macro_asof_panel(v):
-    return derived.macro_asof(v.calendar(), _macro_long(v), ["order_value", "gdp"])
-
-
 _SERIES = ["closed_count", "gdp", "gdp_orders", "order_count", "order_value"]
 
 
@@ -360,24 +358,29 @@ def macro_asof_panel_all_series(v):
     return derived.macro_asof(v.calendar(), long, sorted(r["series_id"] for r in long.select("series_id").distinct().collect()))
 
 
-@query("macro_series_checks", with_views(["macro_monthly", "macro_quarterly"], _rules_sql("ml", {"bad_period": "0 * count(*)", "future_period": _cnt("CASE WHEN period LIKE '____Q_' THEN CAST(left(period, 4) AS INTEGER) * 12 + 3 * CAST(right(period, 1) AS INTEGER) ELSE CAST(left(period, 4) AS INTEGER) * 12 + CAST(right(period, 2) AS INTEGER) END > 2001 * 12 + 6"), "recent_null": _cnt("value IS NULL AND CASE WHEN period LIKE '____Q_' THEN CAST(left(period, 4) AS INTEGER) * 12 + 3 * CAST(right(period, 1) AS INTEGER) ELSE CAST(left(period, 4) AS INTEGER) * 12 + CAST(right(period, 2) AS INTEGER) END >= 2001 * 12 + 1"), "surplus_key": "count(*) - count(DISTINCT (series_id, value_type, period))"}), **_MLONG))
+also("macro_asof_panel_all_series", "macro_asof_panel")
+
+
+@query("macro_series_checks", with_views(["macro_monthly", "macro_quarterly"], _rules_sql("pm", {"bad_period": _cnt("NOT regexp_full_match(period, CASE frequency WHEN 'M' THEN '[0-9]{4}(0[1-9]|1[0-2])' ELSE '[0-9]{4}Q[1-4]' END)"), "future_period": _cnt("CASE WHEN period LIKE '____Q_' THEN CAST(left(period, 4) AS INTEGER) * 12 + 3 * CAST(right(period, 1) AS INTEGER) ELSE CAST(left(period, 4) AS INTEGER) * 12 + CAST(right(period, 2) AS INTEGER) END > 2001 * 12 + 6"), "recent_null": _cnt("value IS NULL AND CASE WHEN period LIKE '____Q_' THEN CAST(left(period, 4) AS INTEGER) * 12 + 3 * CAST(right(period, 1) AS INTEGER) ELSE CAST(left(period, 4) AS INTEGER) * 12 + CAST(right(period, 2) AS INTEGER) END >= 2001 * 12 + 1"), "surplus_key": "count(*) - count(DISTINCT (series_id, value_type, period))"}), **_MLONG,
+    pm="SELECT * FROM ml UNION ALL SELECT * REPLACE ('M' AS frequency) FROM ml WHERE frequency = 'Q'"))
 def macro_series_checks(v):
-    return quality.macro_checks(_macro_long(v), "200106", "200101")
+    """The quarterly series stand a second time, called monthly."""
+    long = _macro_long(v)
+    return quality.macro_checks(long.unionByName(long.where("frequency = 'Q'").withColumn("frequency", F.lit("M"))), "200106", "200101")
 
 
-@query("fx_quote_checks", with_views(["fx_daily"], _rules_sql("fx_daily", {"ask_below_bid": _cnt("ask_close < bid_close"), "negative_ticks": _cnt("tick_qty < 0"), "no_gmt_stamp": _cnt("quote_time_gmt IS NULL"), "surplus_key": "count(*) - count(DISTINCT (ts_code, trade_date))"})))
-def fx_quote_checks(v):
-    return quality.fx_checks(v.fx_daily())
+_PLANTED_FX = {"pf": """SELECT ts_code, trade_date, bid_close, ask_close, tick_qty, quote_time_gmt FROM fx_daily
+    UNION ALL SELECT ts_code, trade_date, ask_close + 1, bid_close, tick_qty - 1000000, NULL FROM fx_daily WHERE day(trade_date) % 3 = 0"""}
 
 
-@query("fx_on_local_calendar", with_views(["fx_daily"], f"SELECT t.ts_code, {ymd('trade_date')}, bid_close, ask_close, {ymd('known_on')} FROM t",
-    k="SELECT ts_code, trade_date + CASE WHEN hour(quote_time_gmt) >= 22 THEN 1 ELSE 0 END AS known_on, quote_time_gmt, bid_close, ask_close FROM fx_daily",
-    kl="SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY ts_code, known_on ORDER BY quote_time_gmt DESC) = 1",
-    g="SELECT DISTINCT CAST(ts AS DATE) AS trade_date, p AS ts_code FROM events, (SELECT unnest(['CLICK.FX', 'VIEW.FX']) AS p)",
-    t="SELECT g.ts_code, g.trade_date, bid_close, ask_close, known_on FROM g ASOF LEFT JOIN kl ON g.ts_code = kl.ts_code AND g.trade_date >= kl.known_on"), exact=("bid_close", "ask_close"))
-def fx_on_local_calendar(v):
-    cal = v.table("events").select(F.col("ts").cast("date").alias("trade_date"))
-    return derived.fx_on_calendar(v.fx_daily(), cal, 22, ["CLICK.FX", "VIEW.FX"]).select("ts_code", "trade_date", "bid_close", "ask_close", "known_on")
+@query("fx_quote_checks", with_views(["fx_daily"], _rules_sql("pf", {"ask_below_bid": _cnt("ask_close < bid_close"), "negative_ticks": _cnt("tick_qty < 0"), "no_gmt_stamp": _cnt("quote_time_gmt IS NULL"), "surplus_key": "count(*) - count(DISTINCT (ts_code, trade_date))"}), **_PLANTED_FX))
+def fx_quote_checks(v):
+    """Every third day's quotes once more, with swapped sides, negative ticks and no stamp."""
+    fx = v.fx_daily().select("ts_code", "trade_date", "bid_close", "ask_close", "tick_qty", "quote_time_gmt")
+    stamp = fx.schema["quote_time_gmt"].dataType
+    bad = fx.where(F.dayofmonth("trade_date") % 3 == 0).select(
+        "ts_code", "trade_date", (F.col("ask_close") + 1).alias("bid_close"), F.col("bid_close").alias("ask_close"), (F.col("tick_qty") - 1_000_000).alias("tick_qty"), F.lit(None).cast(stamp).alias("quote_time_gmt"))
+    return quality.fx_checks(fx.unionByName(bad))
 
 
 @query("fx_on_local_calendar_all_pairs", with_views(["fx_daily"], f"SELECT t.ts_code, {ymd('trade_date')}, bid_close, ask_close, {ymd('known_on')} FROM t",
@@ -392,6 +395,9 @@ def fx_on_local_calendar_all_pairs(v):
     return derived.fx_on_calendar(v.fx_daily(), cal, 22, pairs).select("ts_code", "trade_date", "bid_close", "ask_close", "known_on")
 
 
+also("fx_on_local_calendar_all_pairs", "fx_on_local_calendar")
+
+
 @query("fx_symbol_dimension", "SELECT DISTINCT upper(event_type) || '.FX' AS ts_code, CASE WHEN event_type LIKE '%i%' THEN 'FX' ELSE 'INDEX' END AS classify FROM events WHERE event_type LIKE '%i%' AND (contains(upper(event_type), 'CL') OR contains(upper(event_type), 'VI'))")
 def fx_symbol_dimension(v):
     kind = F.when(F.col("event_type").contains("i"), "FX").otherwise("INDEX")

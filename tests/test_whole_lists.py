@@ -4,7 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from suite.quality_queries import _PV_ALL
+from suite import QUERIES
+from suite.quality_queries import _PV
 from tests.test_entry import table
 
 NAMES = ["fx_on_local_calendar_all_pairs", "macro_asof_panel_all_series", "profile_clipping_suspects_all_columns", "profile_high_zero_and_null_all_columns"]
@@ -33,4 +34,27 @@ def test_all_price_columns(spark, sf_dir):
     from tidepanel.plans import domains
 
     v = StarViews(spark, sf_dir)
-    assert sorted(_PV_ALL) == sorted(set(domains.price_volume(v.daily_bars(), v.daily_basic()).columns) - {"ts_code", "trade_date", *INPUTS})
+    assert sorted(_PV) == sorted(set(domains.price_volume(v.daily_bars(), v.daily_basic()).columns) - {"ts_code", "trade_date", *INPUTS})
+
+
+def test_content_hash_by_recomputation(spark, sf_dir):
+    """Rows as JSON lists, doubles as chained 64-bit hashes of their bits; the parts of each row's SHA-256 are summed."""
+    import hashlib
+    import json
+    import struct
+
+    import xxhash
+
+    def double_hash(x):
+        seed = xxhash.xxh64_intdigest(struct.pack("<i", 0), seed=42)
+        value = xxhash.xxh64_intdigest(struct.pack("<d", x), seed=seed)
+        return str(value - (1 << 64) if value >> 63 else value)
+
+    sums, rows = [0] * 4, spark.read.parquet(f"{sf_dir}/orders.parquet").collect()
+    for r in rows:
+        fields = [None if x is None else double_hash(x) if isinstance(x, float) else str(x.date()) if hasattr(x, "date") else str(x) for x in r]
+        digest = hashlib.sha256(json.dumps(fields, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest()
+        for i in range(4):
+            sums[i] += int(digest[15 * i : 15 * i + 15], 16)
+    (got,) = QUERIES["content_fingerprint"](spark, sf_dir).collect()
+    assert got["content_hash"] == "-".join(map(str, sums)) and got["rows"] == len(rows)
