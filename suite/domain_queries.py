@@ -8,7 +8,7 @@ from suite.factor_queries import KEYS, avg_rank_sql
 from suite.view_sql import rounded as r_sql
 from suite.view_sql import with_views
 from tidepanel.plans import domains as dom
-from tidepanel.plans.registry import apply_policies, selected_features
+from tidepanel.plans.registry import apply_policies, feature_registry_rows, selected_features
 
 
 def div_sql(n: str, d: str, m: str = "1e-4") -> str:
@@ -230,19 +230,41 @@ def registry_selected_features(v):
     return table.select("ts_code", "trade_date", *_SELECTED)
 
 
-_POL = """SELECT b.ts_code, b.trade_date, least(greatest(pb, qlo), qhi) AS gap_open, coalesce(floor(pe_ttm * 100) / 100, med) AS pe_ttm_rank_ind, least(greatest(ps_ttm, -20), 20) AS intraday_trend_eff,
-    last_value(volume_ratio IGNORE NULLS) OVER (PARTITION BY b.ts_code ORDER BY b.trade_date ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS support_5 FROM daily_basic b JOIN industry_static i ON b.ts_code = i.ts_code
-    JOIN (SELECT trade_date, quantile_cont(pb, 0.01) AS qlo, quantile_cont(pb, 0.99) AS qhi FROM daily_basic GROUP BY 1) q ON b.trade_date = q.trade_date
-    JOIN (SELECT trade_date, l1_name, median(floor(pe_ttm * 100) / 100) AS med FROM daily_basic b JOIN industry_static i ON b.ts_code = i.ts_code GROUP BY 1, 2) m ON b.trade_date = m.trade_date AND i.l1_name = m.l1_name"""
-_POL_COLS = ["gap_open", "pe_ttm_rank_ind", "intraday_trend_eff", "support_5"]
-_POL_SQL = with_views(["daily_basic", "industry_static"], r_sql(_POL_COLS, "t", KEYS), t=_POL.replace("least(greatest(ps_ttm, -20), 20)", "CASE WHEN ps_ttm IS NOT NULL THEN least(greatest(ps_ttm, -20), 20) END"))
+#: Every registered feature with its policies, and the valuation column that stands in for it; rounded values make ties.
+_POL = {r["feature_name"]: (r["fill_policy"], r["clip_policy"]) for r in feature_registry_rows()}
+_STAND_IN = {f: ("pb / 7", "floor(pe_ttm * 100) / 700", "ps_ttm / 7", "volume_ratio / 7", "(dv_ttm - 1) / 7", "turnover_rate_f / 700")[i % 6] for i, f in enumerate(_POL)}
+_BETWEEN = "CASE WHEN {x} IS NOT NULL THEN least(greatest({x}, {lo}), {hi}) END"
+
+
+def _filled(f: str) -> str:
+    how, x = _POL[f][0], f"s.{f}"
+    return {
+        "zero": f"coalesce({x}, 0)", "industry_median": f"coalesce({x}, {f}_m)", "clip_0_1": _BETWEEN.format(x=x, lo=0, hi=1),
+        "ffill_1d_if_single_gap": f"last_value({x} IGNORE NULLS) OVER (PARTITION BY s.ts_code ORDER BY s.trade_date ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)",
+    }.get(how, x)
+
+
+def _clipped(f: str) -> str:
+    lo, hi = {"clip_1_99": (f"{f}_lo", f"{f}_hi"), "clip_0_1_robust": (0, 1), "clip_20": (-20, 20)}.get(_POL[f][1], (None, None))
+    return f"f.{f}" if lo is None else _BETWEEN.format(x=f"f.{f}", lo=lo, hi=hi)
+
+
+_MEDIANS, _CUTS = [f for f in _POL if _POL[f][0] == "industry_median"], [f for f in _POL if _POL[f][1] == "clip_1_99"]
+_POL_SQL = with_views(
+    ["daily_basic", "industry_static"], r_sql(list(_POL), "t", KEYS),
+    s=f"SELECT b.ts_code, b.trade_date, l1_name, {', '.join(f'{x} AS {f}' for f, x in _STAND_IN.items())} FROM daily_basic b JOIN industry_static i ON b.ts_code = i.ts_code",
+    m=f"SELECT trade_date, l1_name, {', '.join(f'median({f}) AS {f}_m' for f in _MEDIANS)} FROM s GROUP BY 1, 2",
+    f=f"SELECT s.ts_code, s.trade_date, {', '.join(f'{_filled(f)} AS {f}' for f in _POL)} FROM s JOIN m ON s.trade_date = m.trade_date AND s.l1_name = m.l1_name",
+    q=f"SELECT trade_date, {', '.join(f'quantile_cont({f}, 0.01) AS {f}_lo, quantile_cont({f}, 0.99) AS {f}_hi' for f in _CUTS)} FROM f GROUP BY 1",
+    t=f"SELECT f.ts_code, f.trade_date, {', '.join(f'{_clipped(f)} AS {f}' for f in _POL)} FROM f JOIN q ON f.trade_date = q.trade_date",
+)
 
 
 def _policies(v, **how):
-    """Valuation columns stand in for four registered features with different policies."""
+    """All registered features under their policies, on stand-in columns."""
     df = v.daily_basic().join(v.industry_static().select("ts_code", "l1_name"), "ts_code")
-    df = df.selectExpr("ts_code", "trade_date", "l1_name", "pb AS gap_open", "floor(pe_ttm * 100) / 100 AS pe_ttm_rank_ind", "ps_ttm AS intraday_trend_eff", "volume_ratio AS support_5")
-    return apply_policies(df, {c: c for c in _POL_COLS}, **how).drop("l1_name")
+    df = df.selectExpr("ts_code", "trade_date", "l1_name", *[f"{x} AS {f}" for f, x in _STAND_IN.items()])
+    return apply_policies(df, {f: f for f in _POL}, **how).drop("l1_name")
 
 
 @query("registry_policies", _POL_SQL)

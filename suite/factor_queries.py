@@ -129,12 +129,6 @@ def factor_panel(v):
     return df.select("ts_code", "trade_date", "l1_name", "l2_name", *DAILY_COLS, *REPORT_COLS, *COMPOSITE_COLS, "ep_ttm_neu")
 
 
-_ALT = """SELECT ts_code, trade_date, l2_name,
-    0.35 * ep_ttm_rank_ind_l2 + 0.25 * bp_rank_ind_l2 + 0.20 * 0 + 0.20 * 0 AS comp_value_quality,
-    0.40 * bp_rank_ind_l2 + 0.30 * div_ttm_rank_ind_l1 - 0.15 * tz - 0.15 * vz AS comp_anti_crowded_val FROM (
-    SELECT *, {tz}, {vz} FROM dfac)"""
-
-
 def avg_rank_sql(x: str, part: str, out: str, guard: str = "TRUE") -> str:
     return (f"CASE WHEN {x} IS NOT NULL AND {guard} THEN (rank() OVER (PARTITION BY {part} ORDER BY {x} ASC NULLS LAST) "
             f"+ (count({x}) OVER (PARTITION BY {part}, {x}) - 1) / 2) / count({x}) OVER (PARTITION BY {part}) END AS {out}")
@@ -143,9 +137,21 @@ def avg_rank_sql(x: str, part: str, out: str, guard: str = "TRUE") -> str:
 _GUARD = "count(*) OVER (PARTITION BY trade_date, l2_name) >= 5"
 
 
-@query("alternative_composites", with_views(
-    PIT_VIEWS, r_sql(["comp_value_quality", "comp_anti_crowded_val"], "alt", KEYS), **without_reports("dfac"),
-    alt=_ALT.format(tz=avg_rank_sql("turn_f_z20", "trade_date, l2_name", "tz", _GUARD), vz=avg_rank_sql("vol_ratio_z20", "trade_date, l2_name", "vz", _GUARD))))
+_CROWDING = {"turn_f_z20_ind_rank": "tz", "vol_ratio_z20_ind_rank": "vz"}
+_KNOWN = {*DAILY_COLS, *REPORT_COLS, *[f"{m}_ind_rank" for m in ("tr_yoy", "profit_to_gr")]}
+
+
+def _weighted(weights: dict[str, float]) -> str:
+    """A term of an absent column is zero, a NULL one leaves the sum NULL."""
+    return " + ".join(f"{w} * {_CROWDING.get(n, n if n in _KNOWN else '0')}" for n, w in weights.items())
+
+
+_ALT = f"""SELECT ts_code, trade_date, {', '.join(f'{_weighted(w)} AS {n}' for n, w in fac.ALTERNATIVE_COMPOSITES.items())} FROM (
+    SELECT *, {avg_rank_sql("turn_f_z20", "trade_date, l2_name", "tz", _GUARD)}, {avg_rank_sql("vol_ratio_z20", "trade_date, l2_name", "vz", _GUARD)} FROM qfac)"""
+
+
+@query("alternative_composites", with_views(FULL_VIEWS, r_sql(list(fac.ALTERNATIVE_COMPOSITES), "alt", KEYS), **upto("qfac"), alt=_ALT))
 def alternative_composites(v):
-    df = fac.alternative_composites(fac.daily_factors(pit_panel(v), plan="auto", width=v.width), width=v.width)
-    return df.select("ts_code", "trade_date", "comp_value_quality", "comp_anti_crowded_val")
+    """All five composites on the panel with reports."""
+    df = fac.reported_factors(fac.daily_factors(full_panel(v), plan="auto", width=v.width), plan="auto", width=v.width)
+    return fac.alternative_composites(df, width=v.width).select("ts_code", "trade_date", *fac.ALTERNATIVE_COMPOSITES)

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from suite.common import ORACLES, query
-from suite.factor_queries import BASE, KEYS, PIT, PIT_VIEWS, WC, avg_rank_sql, neutral_ctes, pit_panel, rank_sql, z20_sql
+from suite.factor_queries import BASE, KEYS, PIT, PIT_VIEWS, WC, avg_rank_sql, full_panel, neutral_ctes, pit_panel, rank_sql, z20_sql
 from suite.view_sql import rounded as r_sql
 from suite.view_sql import with_views
 from tidepanel.functions import scalars as sc
@@ -414,16 +414,20 @@ def neutralize_size_liquidity(v):
     return neutralize(fac.base_factors(pit_panel(v)), "ep_ttm", "res", sizes=["circ_mv", "turnover_rate_f"], width=v.width).select("ts_code", "trade_date", "res")
 
 
-_TCOLS = ["bp_lag", "bp_roc", "bp_diff", "bp_z", "bp_pct", "bp_rank", "bp_ind_rank", "inter"]
+# logarithms and share ratios would tie or not by the last bit, engine by engine
+_BASE_FACTORS = ["ep_ttm", "bp", "sp_ttm", "div_ttm_val", "turnover_rate_f", "volume_ratio", "pb"]
+_TCOLS = [f"{c}_{x}" for c in _BASE_FACTORS for x in ("lag", "roc", "diff", "z", "pct", "rank", "ind_rank")]
+_TEMPLATE = ", ".join(f"""lag({c}, 1) {WC} AS {c}_lag, {c} / nullif(lag({c}, 20) {WC}, 0) - 1 AS {c}_roc, {c} - lag({c}, 20) {WC} AS {c}_diff, {z20_sql(c, f'{c}_z')},
+    CASE WHEN {c} IS NOT NULL THEN len(list_filter(list({c}) {_FR.format(k=19)}, lambda x: x <= {c})) / count({c}) {_FR.format(k=19)} END AS {c}_pct,
+    {rank_sql(c, '1', f'{c}_rank')}, {rank_sql(c, 'l2_name', f'{c}_ind_rank')}, {bucket_sql(c, 'trade_date', 5, f'{c}_bucket')}""" for c in _BASE_FACTORS)
 
 
-@query("operator_template", with_views(PIT_VIEWS, r_sql(_TCOLS, "t", [*KEYS, "CAST(bp_bucket AS INTEGER) AS bp_bucket"]), pit=PIT, base=_NEU_BASE, t=f"""SELECT ts_code, trade_date, lag(bp, 1) {WC} AS bp_lag,
-    bp / nullif(lag(bp, 20) {WC}, 0) - 1 AS bp_roc, bp - lag(bp, 20) {WC} AS bp_diff, {z20_sql('bp', 'bp_z')},
-    len(list_filter(list(bp) {_FR.format(k=19)}, lambda x: x <= bp)) / count(bp) {_FR.format(k=19)} AS bp_pct,
-    {rank_sql('bp', '1', 'bp_rank')}, {rank_sql('bp', 'l2_name', 'bp_ind_rank')}, {bucket_sql('bp', 'trade_date', 5, 'bp_bucket')}, bp * turn_f AS inter FROM base"""))
+@query("operator_template", with_views(PIT_VIEWS, r_sql([*_TCOLS, "inter"], "t", [*KEYS, *[f"CAST({c}_bucket AS INTEGER) AS {c}_bucket" for c in _BASE_FACTORS]]), pit=PIT, base=_NEU_BASE,
+    t=f"SELECT ts_code, trade_date, {_TEMPLATE}, bp * turn_f AS inter FROM base"))
 def operator_template(v):
-    df = fac.templated(fac.base_factors(pit_panel(v)), ["bp"], width=v.width)
-    return df.withColumn("inter", fac.interaction("bp", "turn_f")).select("ts_code", "trade_date", *_TCOLS, "bp_bucket")
+    """The template on seven columns."""
+    df = fac.templated(fac.base_factors(pit_panel(v)), _BASE_FACTORS, width=v.width)
+    return df.withColumn("inter", fac.interaction("bp", "turn_f")).select("ts_code", "trade_date", *_TCOLS, "inter", *[f"{c}_bucket" for c in _BASE_FACTORS])
 
 
 @query("csnorm_model_columns", with_views(PIT_VIEWS, r_sql(["bp_z", "bp_csnorm"], "n", KEYS), pit=PIT, base=_NEU_BASE,
@@ -467,5 +471,5 @@ def top_k_per_date_split(v):
 
 @query("alternative_composites_split", ORACLES["alternative_composites"])
 def alternative_composites_split(v):
-    df = fac.alternative_composites(fac.daily_factors(pit_panel(v), plan="window"), plan="split")
-    return df.select("ts_code", "trade_date", "comp_value_quality", "comp_anti_crowded_val")
+    df = fac.reported_factors(fac.daily_factors(full_panel(v), plan="window"), plan="window")
+    return fac.alternative_composites(df, plan="split").select("ts_code", "trade_date", *fac.ALTERNATIVE_COMPOSITES)
