@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from suite.common import also, query
+from suite.common import ORACLES, also, query
 from suite.domain_queries import A_STEPS, _da, _fa
 from suite.factor_queries import KEYS
 from suite.library_queries import ymd
@@ -450,10 +450,24 @@ def resume_dates(v):
 
 @query("table_extents", " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS rows, strftime(max({c}), '%Y%m%d') AS last_date FROM {t}" for t, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts"))))
 def table_extents(v):
+    """From the files' footers; the timestamps are never read."""
+    parts = [readers.dataset_extent(v.spark, f"{v.root}/{t}.parquet", c).withColumn("name", F.lit(t)) for t, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts"))]
+    return dedup.union_all(*parts)
+
+
+@query("table_extents_by_scan", ORACLES["table_extents"])
+def table_extents_by_scan(v):
     parts = [readers.table_extent(v.table(t), c).withColumn("name", F.lit(t)) for t, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts"))]
     return dedup.union_all(*parts)
 
 
+@query("table_lineage")
+def table_lineage(v):
+    """Rows, columns and checksum of every file of three tables; tests hash the files outside Spark."""
+    parts = [increments.lineage(v.spark, f"{v.root}/{t}.parquet", t, t, "1").drop("fetched_at") for t in ("orders", "lineitem", "documents")]
+    return dedup.union_all(*parts).withColumn("path", F.regexp_extract("path", "[^/]+$", 0))
+
+
 @query("latest_snapshot_rows", "SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y%m') AS snapshot_date FROM orders WHERE strftime(o_orderdate, '%Y%m') = (SELECT max(strftime(o_orderdate, '%Y%m')) FROM orders)")
 def latest_snapshot_rows(v):
     return readers.latest_snapshot(v.table("orders").select("o_orderkey", "o_orderstatus", F.date_format("o_orderdate", "yyyyMM").alias("snapshot_date")))

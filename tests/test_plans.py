@@ -64,6 +64,21 @@ def test_model_panel_skips_missing_tables(spark):
         domains.model_panel(None, flow=flow)
 
 
+def test_model_panel_joins_without_a_shuffle(spark):
+    """The stored tables meet bucket by bucket."""
+    rows = spark.range(500).select(F.concat(F.lit("c"), (F.col("id") % 50).cast("string")).alias("ts_code"), F.date_add(F.lit(D), (F.col("id") / 50).cast("int")).alias("trade_date"), "id")
+    tables = {n: rows.where(F.col("id") % k != 0).withColumnRenamed("id", n) for k, n in ((3, "flow"), (5, "cost"), (7, "bars"))}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        panel = domains.model_panel(rows.withColumnRenamed("id", "price"), **tables)
+        assert "Exchange" not in panel._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    got = panel.agg(F.count("*"), F.count("flow"), F.count("cost"), F.count("bars"), F.sum((F.col("flow") == F.col("price")).cast("int"))).first()
+    assert tuple(got) == (500, 333, 400, 428, 333)
+
+
 def test_registry_shape_and_selectors(spark):
     reg = registry.feature_registry(spark)
     assert (reg.count(), len(reg.columns)) == (40, 17)

@@ -213,9 +213,10 @@ def robust_standardize(df: DataFrame, cols: Sequence[str], by: Sequence[str], pl
 def clip_sigma(df: DataFrame, outputs: dict[str, str], n_sigma: float = 5.0) -> DataFrame:
     """``{output: input}`` clipped at mean +- n sigma of the whole column.
 
-    The statistics are one aggregated row, read back as a scalar subquery.
+    The statistics are one aggregated row, read back as a scalar subquery. The table is stored before, since
+    the statistics and the clipping both read it.
     """
-    sources = [*dict.fromkeys(outputs.values())]
+    df, sources = cut_lineage(df), [*dict.fromkeys(outputs.values())]
     stats = df.agg(
         F.struct(*[F.struct(F.avg(c).alias("m"), F.stddev_samp(c).alias("s")).alias(c) for c in sources]).alias("stats")
     )

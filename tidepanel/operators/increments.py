@@ -12,6 +12,7 @@ from tidepanel.functions.scalars import canonical_json, compact_date, quarter_of
 from tidepanel.operators.dedup import keep_first, keep_last, union_aligned
 from tidepanel.operators.ordered import running_total
 from tidepanel.session import cut_lineage, path_exists
+from tidepanel.sources import files
 from tidepanel.sources.sinks import replace_partitions
 from tidepanel.sources.specs import DatasetSpec, SpecError
 
@@ -145,16 +146,22 @@ def batch_keys(batches: DataFrame) -> DataFrame:
 def lineage(spark: SparkSession, path: str, dataset: str, api_name: str, version: str) -> DataFrame:
     """One record per parquet file: rows, columns, SHA-256, time and version.
 
-    Checksums read each file in its own task (``binaryFile``); row counts come from a
-    scan that reads no columns.
+    Files are hashed block by block and their rows come from the footers, one file a row of the listing, so a
+    file may have any size. In a store that only Spark opens, contents are read as rows (up to 2 GB a file).
     """
-    digest = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path).select(
-        "path", F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("checksum"), F.col("modificationTime").alias("fetched_at")
-    )
-    table = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path)
-    rows = table.select(F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.count(F.lit(1)).alias("rows"))
-    same_name = F.regexp_replace("path", "^file:/+", "/")
-    return digest.withColumn("path", same_name).join(rows.withColumn("path", same_name), "path", "left").select(
-        F.lit(dataset).alias("dataset"), F.lit(api_name).alias("api_name"), "path", F.coalesce("rows", F.lit(0)).alias("rows"),
-        F.array(*[F.lit(c) for c in table.columns]).alias("columns"), "checksum", "fetched_at", F.lit(version).alias("code_version"),
+    found = files.listed(spark, path)
+    columns = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path).columns
+    if files.can_open(found):
+        digest = files.with_checksums(found).join(files.footers(found).select("path", "rows"), "path", "left")
+        digest = digest.select("path", "rows", "sha256", F.to_timestamp("modified").alias("fetched_at"))
+    else:
+        whole = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+        table = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path)
+        rows = table.select(F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.count(F.lit(1)).alias("rows"))
+        same_name = F.regexp_replace("path", "^file:/+", "/")
+        digest = whole.select(same_name.alias("path"), F.sha2("content", 256).alias("sha256"), F.col("modificationTime").alias("fetched_at"))
+        digest = digest.join(rows.withColumn("path", same_name), "path", "left")
+    return digest.select(
+        F.lit(dataset).alias("dataset"), F.lit(api_name).alias("api_name"), F.regexp_replace("path", "^file:/+", "/").alias("path"), F.coalesce("rows", F.lit(0)).alias("rows"),
+        F.array(*[F.lit(c) for c in columns]).alias("columns"), F.concat(F.lit("sha256:"), F.col("sha256")).alias("checksum"), "fetched_at", F.lit(version).alias("code_version"),
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepanel.functions.scalars import OPEN_END_DATE
+from tidepanel.sources.files import footer_extent, listed
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None, where: Column | None = None) -> DataFrame:
@@ -30,8 +31,7 @@ def read_parts(spark: SparkSession, root: str, pattern: str = "*.parquet", merge
 
 def part_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
     """Path, size and modification time of every part file; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-    return files.select("path", "length", "modificationTime")
+    return listed(spark, root, pattern)
 
 
 def latest_snapshot(df: DataFrame, column: str = "snapshot_date") -> DataFrame:
@@ -50,11 +50,19 @@ def listed_codes(stocks: DataFrame) -> DataFrame:
 
 
 def table_extent(df: DataFrame, time: str) -> DataFrame:
-    """Row count and last date (compact text); parquet footers answer both where the
-    DSv2 reader is on, otherwise it is a one-column scan."""
+    """Row count and last date (compact text), by a scan of one column; see ``dataset_extent``."""
     last = F.max(F.col(time).cast("date").cast("string")) if dict(df.dtypes)[time] in ("timestamp", "timestamp_ntz", "date") else F.max(F.col(time).cast("string"))
     return df.agg(F.count(F.lit(1)).alias("rows"), F.regexp_replace(last, "-", "").alias("last_date"))
 
 
+def dataset_extent(spark: SparkSession, path: str, time: str) -> DataFrame:
+    """Row count and last date of a Parquet dataset from its files' footers, one small read a file.
+
+    Where the footers cannot tell (no statistics, or a store that only Spark opens) one column is scanned.
+    """
+    found = footer_extent(spark, path, time)
+    return found if found is not None else table_extent(spark.read.parquet(path), time)
+
+
 def read_profile_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema)
