@@ -9,7 +9,8 @@ together by gradient descent with momentum; the gradient reaches a text's window
 With two classes only the difference of the class weights matters, so a model is scored through
 one number an n-gram, ``embedding . (w_toxic - w_clean)``.
 
-The labelled sample is bounded (``TRAIN_PER_CLASS``, ``TRAIN_BYTES``); every text is scored whole.
+The labelled sample is bounded (``TRAIN_PER_CLASS``, ``TRAIN_BYTES``) and trained on in one task of an executor;
+every text is scored whole.
 
 Defined cases: null and empty texts get the score of an empty window; null ids are scored and
 count as held out of training; null labels and labels without a document are ignored, of several
@@ -53,12 +54,14 @@ LEAST_TEXTS, LEAST_DEVIATIONS = 5, 4.0
 GRAMS = (3, 4, 5)
 #: Word scores that a worker keeps (about 200 bytes each).
 MEMO_WORDS = 500_000
-EDGE = re.compile(r"^[^\w$@*]+|[^\w$@*!]+$")
+#: Signs before and behind a word; the second is matched on the reversed word, so both take linear time.
+BEFORE, BEHIND = re.compile(r"[^\w$@*]*"), re.compile(r"[^\w$@*!]*")
 
 
 def word_grams(word: str) -> list[int]:
     """Bucket numbers of a word's character n-grams and of the word itself; none for bare punctuation."""
-    word = EDGE.sub("", word)
+    word = word[BEFORE.match(word).end() :]
+    word = word[: len(word) - BEHIND.match(word[::-1]).end()]
     if not word:
         return []
     if len(word) > 64:  # a long run without a space is read as words of 64 characters
@@ -175,17 +178,38 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(True))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model | None:
-    """Train on a bounded sample of the labelled rows that are not held out.
+@dataclass
+class Fitted:
+    """What scoring needs of a model: one number an n-gram, and the bias."""
+
+    scores: np.ndarray
+    bias: float
+
+    def gram_scores(self) -> tuple[np.ndarray, float]:
+        return self.scores, self.bias
+
+
+def _fit_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Train on the rows of the one task that holds the sample; one row out, none if a class is missing."""
+    rows = sorted(zip(*(c.to_pylist() for c in pa.Table.from_batches(batches).columns), strict=True)) if (batches := list(batches)) else []
+    if {0, 1} <= {label for _, _, label in rows}:
+        scores, bias = train([text for _, text, _ in rows], [label for _, _, label in rows]).gram_scores()
+        yield pa.RecordBatch.from_arrays([pa.array([scores.astype("<f4").tobytes()], pa.binary()), pa.array([bias], pa.float64())], ["scores", "bias"])
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Fitted | None:
+    """Train on a bounded sample of the labelled rows that are not held out, in one task of an executor.
 
-    The sample is chosen by a hash of the id, so it is the same whatever the partitioning.
+    The sample is chosen by a hash of the id, so it is the same whatever the partitioning; of several texts
+    of a sampled id the least counts. The driver gets the fitted numbers only.
     """
-    known = labels.where(~held_out(id_col) & F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_label"))
+    known = labels.where(~held_out(id_col) & F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("_label"))
     order = F.xxhash64("_id", F.lit(11))
     chosen = known.where("_label = 0").orderBy(order).limit(TRAIN_PER_CLASS).union(known.where("_label = 1").orderBy(order).limit(TRAIN_PER_CLASS))
     own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).where(F.octet_length("_text") <= TRAIN_BYTES)
-    rows = sorted({(r["_id"], r["_text"], r["_label"]) for r in own.join(F.broadcast(chosen), "_id").collect()})  # bounded by the two limits
-    return train([r[1] for r in rows], [r[2] for r in rows]) if {0, 1} <= {r[2] for r in rows} else None
+    sample = own.join(F.broadcast(chosen), "_id").groupBy("_id").agg(F.min("_text").alias("_text"), F.max("_label").alias("_label"))  # one row an id
+    row = sample.repartition(1).mapInArrow(_fit_sample, "scores binary, bias double").first()
+    return None if row is None else Fitted(np.frombuffer(row["scores"], dtype="<f4"), row["bias"])
 
 
 def _scorer(scores: np.ndarray, bias: float):
