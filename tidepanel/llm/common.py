@@ -17,14 +17,17 @@ LOWER_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
 class WordMemo(dict):
     """Values by word, for the life of a worker process, in bounded memory.
 
-    Holds at most ``most`` words: of every half that fills up, those met again in the next half stay.
+    Holds at most ``most`` words of up to ``letters`` letters: of every half that fills up, those met again in
+    the next half stay. Longer words (addresses, encoded data) are made anew each time.
     """
 
-    def __init__(self, make: Callable[[str], object], most: int):
+    def __init__(self, make: Callable[[str], object], most: int, letters: int = 64):
         super().__init__()
-        self.make, self.half, self.before = make, most // 2, {}
+        self.make, self.half, self.letters, self.before = make, most // 2, letters, {}
 
     def __missing__(self, word: str) -> object:
+        if len(word) > self.letters:
+            return self.make(word)
         value = self.before.pop(word, None)
         if value is None:
             value = self.make(word)
