@@ -18,7 +18,7 @@ from tidepanel.operators import dedup, increments, profile, quality
 from tidepanel.plans import derived, domains
 from tidepanel.session import cut_lineage, shared_path
 from tidepanel.sources import readers, sinks
-from tidepanel.sources.specs import SPECS
+from tidepanel.sources.specs import SPECS, DatasetSpec
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
@@ -560,7 +560,7 @@ def scalar_text_and_hashes(v):
 
 
 # ------------------------------------------------------------------ sinks, written and read back
-_SINKS = {"csv": 1, "json": 1, "zstd": 1, "append": 2, "by_year": 1, "partitioned": 1}
+_SINKS = {"csv": 1, "json": 1, "zstd": 1, "append": 2, "by_year": 1, "partitioned": 1, "dataset": 1, "parts": 1}
 
 
 @query("sinks_round_trip", " UNION ALL ".join(f"""SELECT '{n}' AS sink, {k} * count(*) AS rows, CAST({k} * sum(o_orderkey) AS BIGINT) AS keys, round({k} * sum(o_totalprice), 2) AS price, strftime(max(o_orderdate), '%Y%m%d') AS last_date,
@@ -577,7 +577,9 @@ def sinks_round_trip(v):
         sinks.append_table(o, f"{root}/append")
     sinks.write_by_year(o, f"{root}/by_year", "o_orderdate")
     sinks.write_table(o, f"{root}/partitioned", partition_by=["o_orderstatus"])
+    layout = DatasetSpec("orders", "orders", "star", "snapshot", ("o_orderkey",), ("o_orderstatus",), None)
     back = {n: spark.read.parquet(f"{root}/{n}") for n in ("zstd", "append", "by_year", "partitioned")}
+    back |= {"dataset": spark.read.parquet(sinks.write_dataset(o, f"{root}/sets", layout)), "parts": readers.read_parts(spark, f"{root}/by_year")}
     back |= {"csv": spark.read.schema(o.schema).option("header", "true").csv(f"{root}/csv"), "json": spark.read.schema(o.schema).json(f"{root}/json")}
     parts = [
         df.agg(F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("keys"), F.sum("o_totalprice").alias("price"), F.max("o_orderdate").alias("last_date"), F.count_distinct("o_orderstatus").alias("states"))
