@@ -45,7 +45,9 @@ QUERY_TERMS = 48
 STRETCH = 1 << 20
 K1, B = 1.2, 0.75
 #: Words whose ids a worker keeps (about 250 bytes each); they outlive a task.
-MEMO_WORDS = 1_500_000
+MEMO_WORDS = 1_000_000
+#: ASCII marks that form one pre-token in a run; not the apostrophe, nor the signs of special tokens.
+MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 STORED = f"kind int, {PIECES}, sketch bigint, uid bigint, ids binary"
 
@@ -54,7 +56,7 @@ class WordEncoder:
     """Token ids of texts (as 16-bit bytes) for a vocabulary whose tokens never cross white space.
 
     Words are looked up in a memo; an unknown one is encoded by the library. A word of Latin letters
-    with at most one mark behind it is encoded as its letters and the mark, which are separate
+    with a run of marks behind it is encoded as its letters and the run, which are separate
     pre-tokens, by the library's model; everything else goes to the whole tokenizer as it stands.
     """
 
@@ -85,8 +87,9 @@ class WordEncoder:
             return b""
         if _plain(word):
             return self._letters(word)
-        if word[-1] in ".,;:!?" and _plain(word[:-1]):
-            return self.memo[word[:-1]] + self.memo[word[-1]]
+        stem = word.rstrip(MARKS)
+        if len(stem) < len(word) and _plain(stem):
+            return self.memo[stem] + self.memo[word[len(stem) :]]
         return array("H", self.tokenizer.encode_batch_fast([word], add_special_tokens=False)[0].ids).tobytes()
 
     def __call__(self, text: str) -> bytes:
