@@ -5,7 +5,7 @@ blocks, each with ``WORDS`` random unit words, so a code has WORDS**2 directions
 vector are decoded from the best words of its blocks, without a look at the others. Every vector
 is decoded to all directions that exceed its own level, the inner product with its ``FILTERS``-th best one
 (a fixed level for all would leave out vectors with a weak block). Two vectors at cosine 0.93 share
-one of their filters in all but about one in ten thousand cases (measured: see the tests and README); the
+one of their filters in all but about two in ten thousand cases (measured: see the tests and README); the
 codes depend on the dimension and a seed only.
 
 Vectors meet on (label, dimension, filter). A pair that shares several filters counts at the smallest one,

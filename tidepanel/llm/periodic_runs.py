@@ -14,7 +14,7 @@ Only squares that could reach the wanted length are rotated: the words before th
 Words are compared by numbers that a batch gives to its distinct words, never by hashes. Depths
 above a text's length divided by ``least_exponent`` cannot belong to a run, so sorting stops there.
 
-Cost: n log n for a text of n words, in one task, some 150 bytes a word at a time; batches are cut by
+Cost: n log n for a text of n words, in one task, some 210 bytes a word beside the words themselves; batches are cut by
 ``BATCH_BYTES`` and only a longer text exceeds it.
 
 Defined cases: a null text has no words and no run; texts shorter than the least length have no run; a long
