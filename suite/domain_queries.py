@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from suite.common import query
+from suite.common import ORACLES, query
 from suite.factor_queries import KEYS, avg_rank_sql
 from suite.view_sql import rounded as r_sql
 from suite.view_sql import with_views
@@ -220,6 +220,12 @@ def model_panel(v):
     return dom.model_panel(**all_domains(v.staged("daily_bars", "daily_basic")))
 
 
+@query("model_panel_colocated", ORACLES["model_panel"])
+def model_panel_colocated(v):
+    """The same panel from bucketed tables, joined without a shuffle."""
+    return dom.model_panel(colocate=True, **all_domains(v.staged("daily_bars", "daily_basic")))
+
+
 _SELECTED = selected_features("allow_in_search", ["price_volume"])
 
 

@@ -71,7 +71,7 @@ def test_model_panel_joins_without_a_shuffle(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        panel = domains.model_panel(rows.withColumnRenamed("id", "price"), **tables)
+        panel = domains.model_panel(rows.withColumnRenamed("id", "price"), colocate=True, **tables)
         assert "Exchange" not in panel._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
