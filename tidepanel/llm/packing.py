@@ -45,7 +45,7 @@ QUERY_TERMS = 48
 STRETCH = 1 << 20
 K1, B = 1.2, 0.75
 #: Words whose ids a worker keeps (about 250 bytes each); they outlive a task.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 800_000
 #: ASCII marks that form one pre-token in a run; not the apostrophe, nor the signs of special tokens.
 MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
