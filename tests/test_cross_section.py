@@ -1,10 +1,12 @@
 """Both plans of every cross-section operator against pandas and NumPy."""
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from suite.rounding import rounded
 from tidepanel.functions import timeseries as ts
 from tidepanel.operators import cross_section as xs
 from tidepanel.operators import evaluate as ev
@@ -166,3 +168,20 @@ def test_time_series_expressions(spark):
     np.testing.assert_allclose(got["z"].astype(float), z.replace([np.inf, -np.inf], np.nan))
     np.testing.assert_allclose(got["g"], (1 + s.fillna(0) / 10).cumprod())
     assert list(got["ruin"].round(6)) == [1.5, 2.25, 0, 0, 0, 0, 0, 0]
+
+
+@pytest.mark.parametrize("plan", ["window", "split"])
+def test_bucket_edges_between_neighbouring_doubles(spark, plan):
+    """The edge at place 2.4 lies between two neighbouring doubles: it is the lower one, as in SQL."""
+    values = [0.1, 0.2, 1.097560975609756, 1.0975609756097562, 3.0]
+    rows = spark.createDataFrame([("d", str(i), v) for i, v in enumerate(values)], "trade_date string, ts_code string, x double")
+    got = {r.ts_code: r.b for r in xs.add_bucket(rows, "x", ["trade_date"], 5, "b", plan=plan).collect()}
+    sql = "SELECT list_distinct(quantile_cont(x, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0])) FROM (SELECT unnest(?) AS x)"
+    edges = duckdb.execute(sql, [values]).fetchone()[0]
+    assert got == {str(i): max(1, sum(e < v for e in edges)) for i, v in enumerate(values)} and got["3"] == 4
+
+
+def test_results_are_rounded_as_sql_rounds(spark):
+    values = [s * k / n for n in (640, 128, 3000) for k in range(1, 641) for s in (1, -1)]
+    got = [r.x for r in rounded(spark.createDataFrame([(v,) for v in values], "x double").coalesce(1)).collect()]
+    assert got == [r[0] for r in duckdb.execute("SELECT round(unnest(?::DOUBLE[]), 6)", [values]).fetchall()]
