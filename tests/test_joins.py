@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from tidepanel.operators import dedup, pit
 from tidepanel.plans import factors
+from tidepanel.session import cut_lineage
+from tidepanel.sources.star_views import StarViews
 
 
 def day(n):
@@ -28,6 +30,27 @@ def test_asof_keeps_null_payload_of_the_matched_row(spark, longest):
     assert got == {("a", day(2)): (None, None), ("a", day(5)): (None, 2), ("a", day(9)): (None, 2), ("b", day(9)): (None, None)}
 
 
+def test_a_panel_is_scanned_without_storing_it(spark, sf_dir, monkeypatch):
+    """Keys bounded by the calendar: nothing is stored or counted, and the rows are those of the general scan."""
+    v = StarViews(spark, sf_dir)
+    basic, members, reports = v.daily_basic().select("ts_code", "trade_date", "pb"), v.industry_pit(), v.fina_indicator()
+    stored = []
+    monkeypatch.setattr(pit, "cut_lineage", lambda df: stored.append(1) or cut_lineage(df))
+    panel = sorted(factors.point_in_time_panel(basic, members, reports, ["roe_dt"], report_tie=["report_type"]).collect())
+    assert stored == []
+    intervals = factors.membership_intervals(members)
+    general = pit.interval_asof(basic, intervals, "ts_code", "trade_date", "in_date", "out_date", factors.INDUSTRY).drop("in_date", "out_date")
+    known = factors.effective_reports(reports, ["roe_dt"], ["report_type"])
+    assert panel == sorted(pit.asof_join(general, known, ["ts_code"], "trade_date", "ann_date", ["roe_dt", "ann_date"]).collect()) and stored
+
+
+def test_bounded_asof_has_the_same_rules(spark):
+    left = frame(spark, [("a", day(2)), ("a", day(5)), ("a", day(9)), (None, day(9)), ("b", None)], "k string, t date")
+    right = frame(spark, [("a", day(3), "x", 1), ("a", day(5), "y", 1), ("a", day(5), None, 2), (None, day(1), "z", 3), ("b", None, "w", 4)], "k string, u date, p string, q int")
+    one, two = (sorted(map(str, pit.asof_join(left, right, ["k"], "t", "u", ["p", "q"], right_order=["q"], bounded=b).collect())) for b in (False, True))
+    assert one == two and len(one) == 5
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 60)), min_size=1, max_size=12, unique=True),
        st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 60)), max_size=12, unique=True))
