@@ -1,5 +1,7 @@
 """Both plans of every cross-section operator against pandas and NumPy."""
 
+import re
+
 import duckdb
 import numpy as np
 import pandas as pd
@@ -12,6 +14,7 @@ from tidepanel.operators import cross_section as xs
 from tidepanel.operators import evaluate as ev
 from tidepanel.operators.neutralize import neutralize
 from tidepanel.operators.ordered import exact_quantiles, running_total
+from tidepanel.plans import factors
 
 
 @pytest.fixture(scope="module")
@@ -185,3 +188,14 @@ def test_results_are_rounded_as_sql_rounds(spark):
     values = [s * k / n for n in (640, 128, 3000) for k in range(1, 641) for s in (1, -1)]
     got = [r.x for r in rounded(spark.createDataFrame([(v,) for v in values], "x double").coalesce(1)).collect()]
     assert got == [r[0] for r in duckdb.execute("SELECT round(unnest(?::DOUBLE[]), 6)", [values]).fetchall()]
+
+
+def test_average_rank_sorts_a_column_once(df):
+    plan = xs.add_ranks(df, {"r": "x"}, ["trade_date"], ["ts_code"], "ts_code", method="average", plan="window")
+    assert len(re.findall(r"Sort \[.*x#", plan._jdf.queryExecution().sparkPlan().toString() + plan._jdf.queryExecution().executedPlan().toString())) == 1
+
+
+def test_alternative_composites_read_their_input_once(df):
+    rows = df.withColumnsRenamed({"ind": "l2_name", "x": "turn_f_z20", "y": "vol_ratio_z20"})
+    plan = factors.alternative_composites(rows, plan="window")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1 and "Join" not in plan
