@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tidepanel.llm import decontaminate, packing
+from tidepanel.llm import common, decontaminate, packing
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -148,3 +148,23 @@ def test_every_latin_letter_encodes_as_the_library_does(tokenizer):
     for code in [*range(0x41, 0x5B), *range(0xAA, 0x260), 0x3A3, 0x1E9E, 0x212A]:
         for text in (chr(code), f"ab{chr(code)}cd,", f"{chr(code)}{chr(code)}!", f"e{chr(0x301)} {chr(code)}"):
             assert list(np.frombuffer(encode(text), dtype="<u2")) == tokenizer.encode(text, add_special_tokens=False).ids, hex(code)
+
+
+def test_a_word_is_held_once_whatever_mark_ends_it(tokenizer):
+    encode = packing.WordEncoder(PATH)
+    text = "Élan, élan. Élan 3, 3. a.b, x., İ. İ, end."
+    assert list(np.frombuffer(encode(text + " " + text), dtype="<u2")) == tokenizer.encode(text + " " + text, add_special_tokens=False).ids
+    assert "Élan" in encode.memo and not {"Élan,", "élan."} & set(encode.memo)
+
+
+def test_terms_are_counted_once_a_text():
+    counts, last = np.zeros(packing.VOCABULARY, dtype=np.int64), np.zeros(packing.VOCABULARY, dtype=np.int64)
+    for ids in ([5, 7, 5, 2], [7, 2], [2]):
+        packing._count_terms(counts, last, np.array(ids, dtype="<u2"))
+    assert {t: int(counts[t]) for t in np.flatnonzero(counts)} == {5: 1, 7: 2, 2: 3}
+
+
+def test_packing_frees_the_memo_of_the_encoder():
+    common.worker_value("a stage before", object)
+    assert not list(packing._pack(np.zeros(packing.VOCABULARY), 1.0)(iter([])))
+    assert not common._WORKER

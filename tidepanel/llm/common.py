@@ -49,6 +49,11 @@ def worker_value(key: str, make: Callable[[], object]) -> object:
     return _WORKER[key]
 
 
+def drop_worker_value() -> None:
+    """Free the value that an earlier stage left in this worker process; for stages that keep none."""
+    _WORKER.clear()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

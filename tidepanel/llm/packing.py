@@ -18,8 +18,10 @@ rows are separate documents; an empty table gives an empty result; further colum
 
 from __future__ import annotations
 
+import codecs
 import json
 import os
+import re
 import unicodedata
 import zlib
 from array import array
@@ -31,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepanel.llm.common import WordMemo, small_batches, worker_value
+from tidepanel.llm.common import WordMemo, drop_worker_value, small_batches, worker_value
 from tidepanel.session import cut_lineage
 
 WINDOW = 4096
@@ -44,10 +46,13 @@ QUERY_TERMS = 48
 #: Characters of a long text that are encoded at a time.
 STRETCH = 1 << 20
 K1, B = 1.2, 0.75
-#: Words whose ids a worker keeps (about 250 bytes each); they outlive a task.
-MEMO_WORDS = 800_000
+#: Words whose ids a worker keeps (about 300 bytes each); they outlive a task, but not the stage that encodes.
+MEMO_WORDS = 500_000
 #: ASCII marks that form one pre-token in a run; not the apostrophe, nor the signs of special tokens.
 MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+#: A lone comma or full stop behind a Latin letter or digit, at a word's end: a pre-token of its own. (Not behind
+#: the dotted capital I, whose lower case ends in a mark.)
+LONE_MARK = re.compile("[,.](?<=[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f][,.])(?=[ \\n])")
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 STORED = f"kind int, {PIECES}, sketch bigint, uid bigint, ids binary"
 
@@ -55,7 +60,8 @@ STORED = f"kind int, {PIECES}, sketch bigint, uid bigint, ids binary"
 class WordEncoder:
     """Token ids of texts (as 16-bit bytes) for a vocabulary whose tokens never cross white space.
 
-    Words are looked up in a memo; an unknown one is encoded by the library. A word of Latin letters
+    Words are looked up in a memo; an unknown one is encoded by the library. A comma or full stop at a word's
+    end is cut off first, so that the memo holds the word once. A word of Latin letters
     with a run of marks behind it is encoded as its letters and the run, which are separate
     pre-tokens, by the library's model; everything else goes to the whole tokenizer as it stands.
     """
@@ -76,10 +82,11 @@ class WordEncoder:
         self.split = BPE(vocab=bpe["vocab"], merges=merges, end_of_word_suffix=bpe["end_of_word_suffix"], cache_capacity=0).tokenize
         # fixed values of byte-level vocabularies: a byte that is no printable Latin-1 sign is spelled by a letter from 256 on
         odd = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
-        self.byte_letters = {b: 256 + i for i, b in enumerate(odd)}
+        spelled = {b: 256 + i for i, b in enumerate(odd)}
+        self.byte_letters = "".join(chr(spelled.get(b, b)) for b in range(256))
 
     def _letters(self, word: str) -> bytes:
-        word = word.lower() if word.isascii() else unicodedata.normalize("NFC", word).lower().encode().decode("latin-1").translate(self.byte_letters)
+        word = word.lower() if word.isascii() else codecs.charmap_decode(unicodedata.normalize("NFC", word).lower().encode(), "strict", self.byte_letters)[0]
         return array("H", [t.id for t in self.split(word)]).tobytes()
 
     def _encode(self, word: str) -> bytes:
@@ -94,7 +101,7 @@ class WordEncoder:
 
     def __call__(self, text: str) -> bytes:
         stretches = _stretches(text) if len(text) > STRETCH else (text,)
-        return b"".join(b"".join(map(self.memo.__getitem__, part.replace("\n", " ").split(" "))) for part in stretches)
+        return b"".join(b"".join(map(self.memo.__getitem__, LONE_MARK.sub(r" \g<0>", part).replace("\n", " ").split(" "))) for part in stretches)
 
 
 def _stretches(text: str) -> list[str]:
@@ -115,6 +122,13 @@ def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+def _count_terms(counts: np.ndarray, last: np.ndarray, ids: np.ndarray) -> None:
+    """Add one to the count of every token that a text holds; ``last`` is scratch space of the vocabulary's size."""
+    places = np.arange(len(ids))
+    last[ids] = places
+    counts[ids[last[ids] == places]] += 1  # a token's last place only
+
+
 def _sketch(ids: np.ndarray) -> int:
     pairs = ids[:-1].astype(np.uint64) << np.uint64(16) | ids[1:] if len(ids) > 1 else ids.astype(np.uint64)
     mixed = (pairs + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
@@ -127,12 +141,13 @@ def _encode(path: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, counts, texts, sequences = None, np.zeros(VOCABULARY, dtype="<i8"), 0, 0
+        last = np.zeros(VOCABULARY, dtype=np.int64)
         first = (1 << 62) + (TaskContext.get().partitionId() << 32)
         for batch in small_batches(batches, "text", 2 << 20, 500):
             encode, rows = encode or worker_value(path, lambda: WordEncoder(path)), []
             for doc, text, uid in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "uid")), strict=True):
                 ids = np.frombuffer(encode(text or "") + END_ID.to_bytes(2, "little"), dtype="<u2")
-                counts[np.unique(ids)] += 1
+                _count_terms(counts, last, ids)
                 texts += 1
                 full = len(ids) // WINDOW * WINDOW
                 for at in range(0, full, WINDOW):
@@ -227,6 +242,7 @@ def pack_shard(texts: list[np.ndarray], idf: np.ndarray, mean: float) -> Iterato
 
 def _pack(idf: np.ndarray, mean: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_value()
         table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
         if table is None or not table.num_rows:
             return
