@@ -6,6 +6,7 @@ from collections import Counter
 import corpus_pipeline
 from tests.llm.conftest import KINDS, prose
 from tests.llm.test_dedup_shards_counts import UP
+from tidepanel.llm import near_copies, simhash
 
 
 def slow_set(text):
@@ -67,3 +68,24 @@ def test_stage_on_given_documents(spark, sf_dir):
     given = [(r["doc_id"], r["text"]) for r in docs.collect()]
     out = dict(corpus_pipeline.STAGES)["near dedup"](spark, docs, "")
     assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == slow_near(given)
+
+
+def test_the_stage_takes_its_first_pairs_from_ball_hashing(spark, rows, monkeypatch):
+    prints = sorted({simhash.fingerprint(t) for _, t, *_ in rows} | {5, 6, 1 << 40, 3 << 40, 7 << 40})
+    nodes = [(100 * k + copy, fp - (1 << 64) if fp >> 63 else fp) for k, fp in enumerate(prints) for copy in range(1 + k % 2)]
+    found = near_copies.ball_pairs(spark.createDataFrame(nodes, "node bigint, fp bigint")).collect()
+    of = dict(nodes)
+    root = {n: n for n in of}
+
+    def find(n):
+        return n if root[n] == n else find(root[n])
+
+    for a, b in found:
+        assert ((of[a] ^ of[b]) & (1 << 64) - 1).bit_count() <= simhash.RADIUS
+        root[find(a)] = find(b)
+    assert all(find(a) == find(b) for a in of for b in of if ((of[a] ^ of[b]) & (1 << 64) - 1).bit_count() <= simhash.RADIUS)
+    asked, ball_hashing = [], simhash.links
+    monkeypatch.setattr(simhash, "links", lambda nodes: asked.append(nodes) or ball_hashing(nodes))
+    docs = spark.createDataFrame([(r[0], r[1]) for r in rows], "doc_id bigint, text string")
+    assert dict(corpus_pipeline.STAGES)["near dedup"](spark, docs, "").count() == sum(slow_near([(r[0], r[1]) for r in rows]).values())
+    assert len(asked) == 1

@@ -5,8 +5,9 @@ Shingles have one global order: those frequent in a sample come last, the others
 of that similarity share one of their first ``n - ceil(0.8 n) + 1`` shingles, so texts meet on these.
 The sample changes only how many meet, never the result. Equal sets collapse first. Pairs are dropped
 by length, by position and by profiles of the sets (counts of their hashes' first bytes), and the rest compared
-set by set; the sets are stored by node, so that only pairs travel. The first rounds compare each text that
-meets on a shingle with one centre; texts that are joined already need no comparison, and a last
+set by set; the sets are stored by node, so that only pairs travel. The first round compares what operator 4's
+ball hashing links: fingerprints of at most two differing bits (``simhash``). The next rounds compare each text that
+meets on a shingle with that shingle's centre; texts that are joined already need no comparison, and a last
 round compares all the others, so components are those of all pairs.
 
 Defined cases: A-Z are lower-cased; texts of one to four words have one shingle, themselves; texts
@@ -26,14 +27,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepanel.llm.common import LOWER_BYTES, small_batches, text_or_empty
+from tidepanel.llm import simhash
+from tidepanel.llm.common import LOWER_BYTES, drop_worker_value, small_batches, text_or_empty
 from tidepanel.llm.components import components
 from tidepanel.session import cut_lineage, store_bucketed
 
 SHINGLE_WORDS = 5
 SEED = 42
-#: Rounds with one centre a shingle, before all others are compared.
-STARS = 3
+#: Rounds with one centre a shingle, drawn anew for each shingle, before all others are compared.
+STARS = 2
 #: Texts of the sample, and shingles kept from it; both bound what reaches the driver and the tasks.
 SAMPLE, MOST_FREQUENT = 16_384, 65_536
 
@@ -73,11 +75,13 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
 
 def _places(frequent: np.ndarray, counts: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_value()
         for batch in small_batches(batches, "text"):
-            sets = [shingles(t) for t in batch.column("text").to_pylist()]
+            texts = batch.column("text").to_pylist()
+            sets, prints = [shingles(t) for t in texts], np.array([simhash.fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("key"), pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), _lists([prefix_of(s, frequent, counts) for s in sets])],
-                ["doc_id", "key", "node", "n", "prefix"],
+                [batch.column("doc_id"), batch.column("key"), pa.array([node_of(s) for s in sets], pa.int64()), pa.array(prints), pa.array([len(s) for s in sets], pa.int64()), _lists([prefix_of(s, frequent, counts) for s in sets])],
+                ["doc_id", "key", "node", "fp", "n", "prefix"],
             )
 
     return run
@@ -90,6 +94,7 @@ def profile_of(hashes: np.ndarray) -> bytes:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    drop_worker_value()
     for batch in small_batches(batches, "text"):
         sets = [shingles(t) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), _lists(sets), pa.array([profile_of(s) for s in sets], pa.binary())], ["node", "n", "hashes", "profile"])
@@ -131,29 +136,42 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return cut_lineage(both.where(9 * common >= 4 * (F.col("n_a") + F.col("n_b"))).select("a", "b"))
 
 
+def ball_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` (``node, fp``) that ball hashing links; the nodes of one fingerprint pair with its least node."""
+    heads = cut_lineage(nodes.groupBy("fp").agg(F.min("node").alias("head")))
+    equal = nodes.join(heads, "fp").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    head = lambda fp, name: heads.select(F.col("fp").alias(fp), F.col("head").alias(name))
+    close = simhash.links(heads.select("fp")).toDF("fp_a", "fp_b").join(head("fp_a", "a"), "fp_a").join(head("fp_b", "b"), "fp_b")
+    return equal.union(close.select("a", "b"))
+
+
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, key, component_id`` of every document: ``key`` hashes the text, the component's id is its smallest known doc_id."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).withColumn("key", F.xxhash64("text"))
-    rows = cut_lineage(own.mapInArrow(_places(*frequent_shingles(own)), "doc_id bigint, key bigint, node bigint, n bigint, prefix array<int>"))
-    nodes = cut_lineage(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("key").alias("key")))
+    rows = cut_lineage(own.mapInArrow(_places(*frequent_shingles(own)), "doc_id bigint, key bigint, node bigint, fp bigint, n bigint, prefix array<int>"))
+    nodes = cut_lineage(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("key").alias("key"), F.min("fp").alias("fp")))
     by_shingle = Window.partitionBy("shingle")
     several = F.min("root").over(by_shingle) != F.max("root").over(by_shingle)
     once = rows.groupBy("node").agg(F.any_value(F.struct("n", "prefix")).alias("p"))
     placed = once.select("node", F.col("p.n").alias("n"), F.posexplode("p.prefix").alias("at", "shingle"))
     met = cut_lineage(placed.withColumn("root", F.col("node")).withColumn("several", several).where("several").drop("several"))
-    wanted = nodes.join(met.select("node").distinct(), "node", "left_semi").select("key")
-    sets = store_bucketed(own.join(wanted, "key", "left_semi").select("text").mapInArrow(_sets, "node bigint, n bigint, hashes array<int>, profile binary").dropDuplicates(["node"]), ["node"], spread=False)
+    wanted = cut_lineage(nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", "fp", "key"))
+    sets = store_bucketed(own.join(wanted.select("key"), "key", "left_semi").select("text").mapInArrow(_sets, "node bigint, n bigint, hashes array<int>, profile binary").dropDuplicates(["node"]), ["node"], spread=False)
     links, roots = [], None
-    for star in range(STARS + 1):
+    for star in range(-1, STARS + 1):
         if met.isEmpty():
             break
-        if star < STARS:
-            centre = F.min(F.struct(F.xxhash64("node", F.lit(star)).alias("h"), "node", "n", "at", "root")).over(by_shingle)
-            pairs = met.select(F.struct("node", "n", "at", "root").alias("x"), centre.alias("y"))
+        if star < 0:
+            pairs = ball_pairs(wanted.select("node", "fp"))
         else:
-            side = lambda name: met.select("shingle", F.struct("node", "n", "at", "root").alias(name))
-            pairs = side("x").join(side("y"), "shingle").where("x.node < y.node")
-        links.append(_links(pairs.where("x.root <> y.root").where(_could_be_near("x", "y")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), sets))
+            if star < STARS:
+                centre = F.min(F.struct(F.xxhash64("node", "shingle", F.lit(star)).alias("h"), "node", "n", "at", "root")).over(by_shingle)
+                pairs = met.select(F.struct("node", "n", "at", "root").alias("x"), centre.alias("y"))
+            else:
+                side = lambda name: met.select("shingle", F.struct("node", "n", "at", "root").alias(name))
+                pairs = side("x").join(side("y"), "shingle").where("x.node < y.node")
+            pairs = pairs.where("x.root <> y.root").where(_could_be_near("x", "y")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        links.append(_links(pairs, sets))
         roots = cut_lineage(components(reduce(DataFrame.union, links)))
         met = cut_lineage(met.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).withColumn("several", several).where("several").drop("several"))
     rooted = nodes.withColumn("root", F.col("node"))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepanel.llm.common import WordMemo, small_batches, worker_value
+from tidepanel.llm.common import WordMemo, drop_worker_value, small_batches, worker_value
 
 #: Bound of the training sample: labelled rows of each class, and bytes of one sampled text.
 TRAIN_PER_CLASS = 1200
@@ -191,6 +191,7 @@ class Fitted:
 
 def _fit_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Train on the rows of the one task that holds the sample; one row out, none if a class is missing."""
+    drop_worker_value()
     rows = sorted(zip(*(c.to_pylist() for c in pa.Table.from_batches(batches).columns), strict=True)) if (batches := list(batches)) else []
     if {0, 1} <= {label for _, _, label in rows}:
         scores, bias = train([text for _, text, _ in rows], [label for _, _, label in rows]).gram_scores()
