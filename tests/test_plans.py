@@ -132,3 +132,13 @@ def test_apply_by_date_runs_user_functions(spark):
     df = spark.createDataFrame([("d", "a", 1.0), ("d", "b", 3.0), ("e", "a", 5.0)], "trade_date string, ts_code string, x double")
     out = apply_by_date(df, lambda pdf: pdf.assign(x=pdf.x - pdf.x.mean()), "trade_date string, ts_code string, x double")
     assert sorted(r.x for r in out.collect()) == [-1.0, 0.0, 1.0]
+
+
+def test_split_policies_scan_all_columns_together(spark, monkeypatch):
+    scans, quantiles = [], registry.exact_quantiles
+    monkeypatch.setattr(registry, "exact_quantiles", lambda *a, **k: scans.append(a) or quantiles(*a, **k))
+    rows = [(f"s{i}", D + dt.timedelta(j), None if (i, j) == (0, 0) else "x" if i % 2 else "y", None if (i + j) % 5 == 0 else float(i * 7 % 11), float(i * i % 13), float(-i)) for i in range(12) for j in range(3)]
+    df = spark.createDataFrame(rows, "ts_code string, trade_date date, l1_name string, p double, q double, r double")
+    columns = {"p": "pe_ttm_rank_ind", "q": "ret_cc_1d", "r": "gap_open"}
+    got = [sorted(map(str, registry.apply_policies(df, columns, plan=plan).collect())) for plan in ("window", "split")]
+    assert got[0] == got[1] and len(got[0]) == len(rows) and len(scans) == 2
