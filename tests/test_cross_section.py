@@ -199,3 +199,20 @@ def test_alternative_composites_read_their_input_once(df):
     rows = df.withColumnsRenamed({"ind": "l2_name", "x": "turn_f_z20", "y": "vol_ratio_z20"})
     plan = factors.alternative_composites(rows, plan="window")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LogicalRDD") == 1 and "Join" not in plan
+
+
+def test_split_ranks_plan_a_narrow_table_once(spark):
+    read = spark.sparkContext.accumulator(0)
+    df = spark.createDataFrame([(f"s{i}", i % 3, float(i * 7 % 5)) for i in range(30)], "ts_code string, trade_date int, x double")
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    for method in ("average", "ordinal"):
+        before = read.value
+        ranked = xs.add_ranks(df.mapInArrow(counted, df.schema), {"r": "x"}, ["trade_date"], ["ts_code"], "ts_code", method=method, plan="split")
+        want = xs.add_ranks(df, {"r": "x"}, ["trade_date"], ["ts_code"], "ts_code", method=method, plan="window")
+        assert sorted(map(tuple, ranked.collect())) == sorted(map(tuple, want.collect()))
+        assert read.value - before == 30
