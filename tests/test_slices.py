@@ -184,3 +184,18 @@ def test_signed_growth_and_weighted_quantiles(spark):
     points = spark.createDataFrame([("g", 0.5), ("g", 1.0), ("g", 9.0), ("g", 10.0), ("g", None), ("z", 1.0)], "g string, at double")
     shares = {(r.g, r.at): r.s for r in pit.share_at_or_below(points, running_levels(levels, ["g"], "v", "w"), ["g"], "at", "s").collect()}
     assert shares == {("g", 0.5): 0.0, ("g", 1.0): 0.5, ("g", 9.0): 4 / 6, ("g", 10.0): 1.0, ("g", None): None, ("z", 1.0): None}
+
+
+def test_shares_and_quantiles_store_one_layout_or_nothing(spark, monkeypatch):
+    from tidepanel.operators import ordered
+
+    stored, cut = [], ordered.cut_lineage
+    for module in (pit, ordered):
+        monkeypatch.setattr(module, "cut_lineage", lambda df: stored.append(df) or cut(df))
+    values = spark.createDataFrame([("g", 1.0), ("g", 1.0), ("g", 1.0), ("g", 2.0), ("g", 10.0), ("g", 10.0), ("g", None)], "g string, v double")
+    points = spark.createDataFrame([(1, "g", 0.5), (2, "g", 1.0), (3, "g", 1.0), (4, "g", 9.0), (5, "g", 10.0), (6, "g", None), (7, "z", 1.0), (8, None, 1.0)], "i int, g string, at double")
+    for plan, layouts in (("window", 0), ("split", 1), ("auto", 0)):  # the cost distribution stored values, then values and points, then looked up
+        stored.clear()
+        got = {r.i: (r.s, r.m) for r in pit.shares_and_quantiles(points, values, ["g"], "v", "at", "s", {"m": 0.5}, plan=plan).collect()}
+        assert got == {1: (0.0, 1.5), 2: (0.5, 1.5), 3: (0.5, 1.5), 4: (4 / 6, 1.5), 5: (1.0, 1.5), 6: (None, 1.5), 7: (None, None), 8: (None, None)}
+        assert len(stored) == layouts
