@@ -109,12 +109,12 @@ _P_DBL = ["null_pct", "zero_pct", '"min"', '"max"', "mean", '"std"', *_PCTS]
 
 @query("column_profile", r_sql(_P_DBL, f"({_profile_sql('lineitem')})", _P_KEEP, 4), digits=4)
 def column_profile(v):
-    return profile.profile(v.table("lineitem"), "lineitem").drop("dtype")
+    return profile.profile(v.table("lineitem"), "lineitem", stored=True).drop("dtype")
 
 
 @query("column_profile_all_tables", r_sql(_P_DBL, "(" + " UNION ALL ".join(_profile_sql(t) for t in _NUM) + ")", _P_KEEP, 4), digits=4)
 def column_profile_all_tables(v):
-    return profile.profile_all({t: v.table(t) for t in _NUM}).drop("dtype")
+    return profile.profile_all({t: v.table(t) for t in _NUM}, stored=True).drop("dtype")
 
 
 _D = "price_volume"
@@ -138,7 +138,7 @@ def profile_rule_issues(v):
 
 
 def _price_profile_all(v):
-    return profile.profile(domains.price_volume(v.daily_bars(), v.daily_basic()).select(*_PV), _D)
+    return profile.profile(domains.price_volume(v.daily_bars(), v.daily_basic(), only=_PV), _D, stored=True)
 
 
 _PV_ALL_SQL = {**_pv_sql(), "u": " UNION ALL ".join(f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS x FROM a2" for c in _PV)}

@@ -216,3 +216,27 @@ def test_split_ranks_plan_a_narrow_table_once(spark):
         want = xs.add_ranks(df, {"r": "x"}, ["trade_date"], ["ts_code"], "ts_code", method=method, plan="window")
         assert sorted(map(tuple, ranked.collect())) == sorted(map(tuple, want.collect()))
         assert read.value - before == 30
+
+
+def test_column_quantiles_order_few_values_and_are_exact(spark, monkeypatch):
+    from tidepanel.operators import ordered
+
+    rng = np.random.default_rng(3)
+    n = 20_000
+    frame = pd.DataFrame({"x": rng.normal(size=n), "flag": (rng.random(n) < 0.3).astype(float), "one": np.ones(n)})
+    frame.loc[::7, "x"] = np.nan
+    df = spark.createDataFrame(frame).select(*[F.nanvl(c, F.lit(None).cast("double")).alias(c) for c in frame], F.lit(None).cast("double").alias("none"))
+    probs, ordered_rows, total = {"a": 0.01, "b": 0.5, "c": 0.99}, [], ordered.running_total
+    monkeypatch.setattr(ordered, "running_total", lambda rows, *a, **k: ordered_rows.append(rows.count()) or total(rows, *a, **k))
+    for how in ("linear", "nearest"):
+        got = {r["_var"]: (r.a, r.b, r.c) for r in ordered.column_quantiles(df, ["x", "flag", "one", "none"], probs, how).collect()}
+        assert set(got) == {"x", "flag", "one"}
+        for c, values in got.items():
+            known = np.sort(frame[c].dropna())
+            want = [known[int(np.floor(p * (len(known) - 1) + 0.5))] if how == "nearest" else np.quantile(known, p) for p in probs.values()]
+            assert np.allclose(values, want, rtol=1e-14, atol=0)
+    assert max(ordered_rows) < n / 20  # every distinct value was ordered before
+    # brackets that miss their quantile cost time, not exactness
+    monkeypatch.setattr(ordered.F, "percentile_approx", lambda x, ps, k: F.transform(ps, lambda p: F.lit(100.0)))
+    (row,) = ordered.column_quantiles(df, ["x"], {"b": 0.5}).collect()
+    assert row.b == np.quantile(frame["x"].dropna(), 0.5)
