@@ -168,3 +168,15 @@ def test_packing_frees_the_memo_of_the_encoder():
     common.worker_value("a stage before", object)
     assert not list(packing._pack(np.zeros(packing.VOCABULARY), 1.0)(iter([])))
     assert not common._WORKER
+
+
+def test_sketches_and_counts_work_on_narrow_numbers():
+    """Token pairs are hashed in 32 bits; a text's order of equal pairs does not matter, its least pair does."""
+    rng = np.random.default_rng(1)
+    ids = rng.integers(0, packing.VOCABULARY, 500).astype("<u2")
+    assert 0 <= packing._sketch(ids) < 1 << 32
+    assert packing._sketch(ids) == min(packing._sketch(ids[i : i + 2]) for i in range(len(ids) - 1))
+    assert len({packing._sketch(rng.integers(0, packing.VOCABULARY, 2).astype("<u2")) for _ in range(2000)}) > 1990
+    counts, last = np.zeros(packing.VOCABULARY, dtype="<i8"), np.zeros(packing.VOCABULARY, dtype=np.int32)
+    packing._count_terms(counts, last, ids)
+    assert np.array_equal(np.flatnonzero(counts), np.unique(ids)) and counts.max() == 1

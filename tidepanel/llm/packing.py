@@ -46,13 +46,17 @@ QUERY_TERMS = 48
 #: Characters of a long text that are encoded at a time.
 STRETCH = 1 << 20
 K1, B = 1.2, 0.75
+#: Constants of the hash of token pairs, odd 32-bit multipliers.
+SHIFT, HALF, ONE, MIX = np.uint32(16), np.uint32(15), np.uint32(1), (np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B))
 #: Words whose ids a worker keeps (about 300 bytes each); they outlive a task, but not the stage that encodes.
 MEMO_WORDS = 500_000
 #: ASCII marks that form one pre-token in a run; not the apostrophe, nor the signs of special tokens.
 MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 #: A lone comma or full stop behind a Latin letter or digit, at a word's end: a pre-token of its own. (Not behind
-#: the dotted capital I, whose lower case ends in a mark.)
-LONE_MARK = re.compile("[,.](?<=[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f][,.])(?=[ \\n])")
+#: the dotted capital I, whose lower case ends in a mark.) One pattern a mark, so that both are found and set by plain text.
+BEFORE_MARK = "A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+LONE_COMMA = re.compile(f",(?=[ \\n])(?<=[{BEFORE_MARK}],)")
+LONE_STOP = re.compile(f"\\.(?=[ \\n])(?<=[{BEFORE_MARK}]\\.)")
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 STORED = f"kind int, {PIECES}, sketch bigint, uid bigint, ids binary"
 
@@ -101,7 +105,7 @@ class WordEncoder:
 
     def __call__(self, text: str) -> bytes:
         stretches = _stretches(text) if len(text) > STRETCH else (text,)
-        return b"".join(b"".join(map(self.memo.__getitem__, LONE_MARK.sub(r" \g<0>", part).replace("\n", " ").split(" "))) for part in stretches)
+        return b"".join(b"".join(map(self.memo.__getitem__, LONE_STOP.sub(" .", LONE_COMMA.sub(" ,", part)).replace("\n", " ").split(" "))) for part in stretches)
 
 
 def _stretches(text: str) -> list[str]:
@@ -124,16 +128,17 @@ def crc(ids: np.ndarray) -> int:
 
 def _count_terms(counts: np.ndarray, last: np.ndarray, ids: np.ndarray) -> None:
     """Add one to the count of every token that a text holds; ``last`` is scratch space of the vocabulary's size."""
-    places = np.arange(len(ids))
+    ids, places = ids.astype(np.intp), np.arange(len(ids), dtype=last.dtype)
     last[ids] = places
     counts[ids[last[ids] == places]] += 1  # a token's last place only
 
 
 def _sketch(ids: np.ndarray) -> int:
-    pairs = ids[:-1].astype(np.uint64) << np.uint64(16) | ids[1:] if len(ids) > 1 else ids.astype(np.uint64)
-    mixed = (pairs + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    mixed ^= mixed >> np.uint64(29)
-    return int((mixed * np.uint64(0xBF58476D1CE4E5B9)).min() >> np.uint64(1))
+    wide = ids.astype(np.uint32)
+    pairs = wide[:-1] << SHIFT | wide[1:] if len(ids) > 1 else wide
+    mixed = (pairs + ONE) * MIX[0]
+    mixed ^= mixed >> HALF
+    return int((mixed * MIX[1]).min())
 
 
 def _encode(path: str):
@@ -141,7 +146,7 @@ def _encode(path: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, counts, texts, sequences = None, np.zeros(VOCABULARY, dtype="<i8"), 0, 0
-        last = np.zeros(VOCABULARY, dtype=np.int64)
+        last = np.zeros(VOCABULARY, dtype=np.int32)
         first = (1 << 62) + (TaskContext.get().partitionId() << 32)
         for batch in small_batches(batches, "text", 2 << 20, 500):
             encode, rows = encode or worker_value(path, lambda: WordEncoder(path)), []
