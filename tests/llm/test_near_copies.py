@@ -89,3 +89,24 @@ def test_the_stage_takes_its_first_pairs_from_ball_hashing(spark, rows, monkeypa
     docs = spark.createDataFrame([(r[0], r[1]) for r in rows], "doc_id bigint, text string")
     assert dict(corpus_pipeline.STAGES)["near dedup"](spark, docs, "").count() == sum(slow_near([(r[0], r[1]) for r in rows]).values())
     assert len(asked) == 1
+
+
+def test_altered_copies_meet_the_least_altered_one_and_not_each_other(spark, monkeypatch):
+    rng = random.Random(5)
+    base, compared, links = prose(rng, 150, 4000), [], near_copies._links
+    given = [(i, changed(rng, base, i % 4)) for i in range(240)]
+    monkeypatch.setattr(near_copies, "_links", lambda pairs, sets: compared.append(pairs.distinct().count()) or links(pairs, sets))
+    out = near_copies.drop_near_copies(spark.createDataFrame(given, "doc_id bigint, text string"))
+    assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == slow_near(given)
+    assert sum(compared) < 4 * len(given)
+
+
+def test_shingles_meet_on_64_bits(spark, monkeypatch):
+    low, met, links = {}, [], near_copies._links
+    for i in range(200_000):
+        low.setdefault(int(near_copies.shingles(t := f"w{i} a b c d")[0]) & 0xFFFFFFFF, []).append(t)
+    given = [(i, t) for i, t in enumerate(t for group in low.values() if len(group) > 1 for t in group)]
+    assert given  # texts whose only shingles agree on 32 bits
+    monkeypatch.setattr(near_copies, "_links", lambda pairs, sets: met.append(pairs.count()) or links(pairs, sets))
+    assert near_copies.drop_near_copies(spark.createDataFrame(given, "doc_id bigint, text string")).count() == len(given)
+    assert sum(met) == 0

@@ -3,12 +3,14 @@
 Texts are near copies when the Jaccard similarity of their sets of five-word shingles is 0.8 or more.
 Shingles have one global order: those frequent in a sample come last, the others go by hash. Two sets
 of that similarity share one of their first ``n - ceil(0.8 n) + 1`` shingles, so texts meet on these.
-The sample changes only how many meet, never the result. Equal sets collapse first. Pairs are dropped
+The sample changes only how many meet, never the result. Equal sets collapse first, and shingles of the
+same holders count as one, at each holder's first place. Pairs are dropped
 by length, by position and by profiles of the sets (counts of their hashes' first bytes), and the rest compared
 set by set; the sets are stored by node, so that only pairs travel. The first round compares what operator 4's
 ball hashing links: fingerprints of at most two differing bits (``simhash``). The next rounds compare each text that
-meets on a shingle with that shingle's centre; texts that are joined already need no comparison, and a last
-round compares all the others, so components are those of all pairs.
+meets on a shingle with that shingle's centre, first the text in which the shingle stands foremost (of altered
+copies the least altered one, which most others resemble), then one drawn anew for each shingle; texts that are
+joined already need no comparison, and a last round compares all the others, so components are those of all pairs.
 
 Defined cases: A-Z are lower-cased; texts of one to four words have one shingle, themselves; texts
 without words are equal; sets are equal up to 64-bit hashes, and what two of them share is counted on
@@ -34,10 +36,10 @@ from tidepanel.session import cut_lineage, store_bucketed
 
 SHINGLE_WORDS = 5
 SEED = 42
-#: Rounds with one centre a shingle, drawn anew for each shingle, before all others are compared.
+#: Rounds with one centre a shingle, before all others are compared.
 STARS = 2
 #: Texts of the sample, and shingles kept from it; both bound what reaches the driver and the tasks.
-SAMPLE, MOST_FREQUENT = 16_384, 65_536
+SAMPLE, MOST_FREQUENT = 32_768, 262_144
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -67,10 +69,10 @@ def prefix_of(hashes: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> n
     return hashes[np.lexsort((hashes, rank))][: n - (4 * n + 4) // 5 + 1 if n else 0]
 
 
-def _lists(parts: list[np.ndarray]) -> pa.Array:
-    """Lists of the hashes' lower 32 bits, half the bytes to move."""
+def _lists(parts: list[np.ndarray], bits: int = 32) -> pa.Array:
+    """Lists of the hashes' lower bits; 32 are half the bytes to move, but meet by chance in a large corpus."""
     ends = np.cumsum([0, *map(len, parts)], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, "<u8"), *parts]).astype("<u4").view("<i4")))
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, "<u8"), *parts]).astype(f"<u{bits // 8}").view(f"<i{bits // 8}")))
 
 
 def _places(frequent: np.ndarray, counts: np.ndarray) -> Callable:
@@ -80,7 +82,7 @@ def _places(frequent: np.ndarray, counts: np.ndarray) -> Callable:
             texts = batch.column("text").to_pylist()
             sets, prints = [shingles(t) for t in texts], np.array([simhash.fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("key"), pa.array([node_of(s) for s in sets], pa.int64()), pa.array(prints), pa.array([len(s) for s in sets], pa.int64()), _lists([prefix_of(s, frequent, counts) for s in sets])],
+                [batch.column("doc_id"), batch.column("key"), pa.array([node_of(s) for s in sets], pa.int64()), pa.array(prints), pa.array([len(s) for s in sets], pa.int64()), _lists([prefix_of(s, frequent, counts) for s in sets], 64)],
                 ["doc_id", "key", "node", "fp", "n", "prefix"],
             )
 
@@ -115,10 +117,10 @@ def frequent_shingles(own: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     every = max(1, own.count() // SAMPLE)
     sampled = own.where(F.pmod(F.xxhash64("key", F.lit(SEED)), F.lit(every)) == 0).select("text")
     held = sampled.mapInArrow(_sets, "node bigint, n bigint, hashes array<int>, profile binary").select(F.explode("hashes").alias("shingle"))
-    most = held.groupBy("shingle").count().where("count > 2").orderBy(F.desc("count"), "shingle").limit(MOST_FREQUENT).collect()
-    found = np.array([r["shingle"] for r in most], dtype="<i4").view("<u4")
+    most = held.groupBy("shingle").count().where("count > 1").orderBy(F.desc("count"), "shingle").limit(MOST_FREQUENT).toArrow()
+    found = most.column("shingle").to_numpy().astype("<i4").view("<u4")
     order = np.argsort(found)
-    return found[order], np.array([r["count"] for r in most], dtype=np.int64)[order]
+    return found[order], most.column("count").to_numpy().astype(np.int32)[order]
 
 
 def _could_be_near(a: str, b: str) -> Column:
@@ -148,13 +150,15 @@ def ball_pairs(nodes: DataFrame) -> DataFrame:
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, key, component_id`` of every document: ``key`` hashes the text, the component's id is its smallest known doc_id."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).withColumn("key", F.xxhash64("text"))
-    rows = cut_lineage(own.mapInArrow(_places(*frequent_shingles(own)), "doc_id bigint, key bigint, node bigint, fp bigint, n bigint, prefix array<int>"))
+    rows = cut_lineage(own.mapInArrow(_places(*frequent_shingles(own)), "doc_id bigint, key bigint, node bigint, fp bigint, n bigint, prefix array<bigint>"))
     nodes = cut_lineage(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("key").alias("key"), F.min("fp").alias("fp")))
     by_shingle = Window.partitionBy("shingle")
     several = F.min("root").over(by_shingle) != F.max("root").over(by_shingle)
     once = rows.groupBy("node").agg(F.any_value(F.struct("n", "prefix")).alias("p"))
     placed = once.select("node", F.col("p.n").alias("n"), F.posexplode("p.prefix").alias("at", "shingle"))
-    met = cut_lineage(placed.withColumn("root", F.col("node")).withColumn("several", several).where("several").drop("several"))
+    holders = F.bit_xor(F.xxhash64("node")).over(by_shingle)
+    shared = placed.withColumn("root", F.col("node")).select("node", "n", "at", several.alias("several"), holders.alias("shingle")).where("several")
+    met = cut_lineage(shared.groupBy("shingle", "node").agg(F.any_value("n").alias("n"), F.min("at").alias("at")).withColumn("root", F.col("node")))
     wanted = cut_lineage(nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", "fp", "key"))
     sets = store_bucketed(own.join(wanted.select("key"), "key", "left_semi").select("text").mapInArrow(_sets, "node bigint, n bigint, hashes array<int>, profile binary").dropDuplicates(["node"]), ["node"], spread=False)
     links, roots = [], None
@@ -165,7 +169,8 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pairs = ball_pairs(wanted.select("node", "fp"))
         else:
             if star < STARS:
-                centre = F.min(F.struct(F.xxhash64("node", "shingle", F.lit(star)).alias("h"), "node", "n", "at", "root")).over(by_shingle)
+                foremost = F.col("at") if star == 0 else F.lit(0)
+                centre = F.min(F.struct(foremost.alias("place"), F.xxhash64("node", "shingle", F.lit(star)).alias("h"), "node", "n", "at", "root")).over(by_shingle)
                 pairs = met.select(F.struct("node", "n", "at", "root").alias("x"), centre.alias("y"))
             else:
                 side = lambda name: met.select("shingle", F.struct("node", "n", "at", "root").alias(name))
