@@ -180,3 +180,12 @@ def test_sketches_and_counts_work_on_narrow_numbers():
     counts, last = np.zeros(packing.VOCABULARY, dtype="<i8"), np.zeros(packing.VOCABULARY, dtype=np.int32)
     packing._count_terms(counts, last, ids)
     assert np.array_equal(np.flatnonzero(counts), np.unique(ids)) and counts.max() == 1
+
+
+def test_words_are_not_encoded_again_on_half_a_million():
+    made = []
+    memo = common.WordMemo(lambda word: made.append(word) or b"", packing.MEMO_WORDS)
+    for _ in range(2):
+        for i in range(500_000):
+            assert memo[str(i)] == b""
+    assert len(made) == 500_000 and len(memo) + len(memo.before) <= packing.MEMO_WORDS
