@@ -184,6 +184,26 @@ def test_bucket_edges_between_neighbouring_doubles(spark, plan):
     assert got == {str(i): max(1, sum(e < v for e in edges)) for i, v in enumerate(values)} and got["3"] == 4
 
 
+@pytest.mark.parametrize("plan", ["window", "split"])
+def test_bucket_edges_are_the_bits_of_quantile_cont(spark, plan):
+    """Groups of neighbouring doubles: an edge that rounds to its upper neighbour in another form stays below it, as in SQL."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for g in range(60):
+        x = [float(rng.random() * 2)]
+        for step in rng.integers(0, 3, int(rng.integers(3, 40))):
+            x.append(x[-1] if step == 0 else float(np.nextafter(x[-1], np.inf)))
+        rows += [(f"d{g:02d}", f"{i:03d}", v) for i, v in enumerate(x)]
+    rows = [*rows, *[("e", f"{i:03d}", v) for i, v in enumerate([0.1, 0.7589285714285714, 0.7589285714285715, 1.0, 1.2])]]
+    df = spark.createDataFrame(rows, "trade_date string, ts_code string, x double")
+    got = {(r.trade_date, r.ts_code): r.b for r in xs.add_bucket(df, "x", ["trade_date"], 5, "b", plan=plan).collect()}
+    edges = {}
+    for d in {r[0] for r in rows}:
+        sql = "SELECT list_distinct(quantile_cont(x, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0])) FROM (SELECT unnest(?) AS x)"
+        edges[d] = duckdb.execute(sql, [[x for e, _, x in rows if e == d]]).fetchone()[0]
+    assert got == {(d, c): max(1, sum(e < x for e in edges[d])) for d, c, x in rows}
+
+
 def test_results_are_rounded_as_sql_rounds(spark):
     values = [s * k / n for n in (640, 128, 3000) for k in range(1, 641) for s in (1, -1)]
     got = [r.x for r in rounded(spark.createDataFrame([(v,) for v in values], "x double").coalesce(1)).collect()]
