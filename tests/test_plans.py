@@ -142,3 +142,24 @@ def test_split_policies_scan_all_columns_together(spark, monkeypatch):
     columns = {"p": "pe_ttm_rank_ind", "q": "ret_cc_1d", "r": "gap_open"}
     got = [sorted(map(str, registry.apply_policies(df, columns, plan=plan).collect())) for plan in ("window", "split")]
     assert got[0] == got[1] and len(got[0]) == len(rows) and len(scans) == 2
+
+
+def _shuffles(df):
+    """Shuffles of a plan, joins by broadcast and adaptive help left out."""
+    spark, names = df.sparkSession, ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
+    old = [spark.conf.get(n) for n in names]
+    try:
+        for n, value in zip(names, ("false", "-1")):
+            spark.conf.set(n, value)
+        plan = df.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for n, value in zip(names, old):
+            spark.conf.set(n, value)
+    return plan.count("Exchange hashpartitioning")
+
+
+def test_views_shuffle_line_items_once_a_key(spark, sf_dir):
+    """Reports: lines and orders by order, then once by entity. Basics: cells, sold parts and their prices, what was sold by cell, entity, shares."""
+    v = StarViews(spark, sf_dir)
+    assert _shuffles(v.fina_indicator()) == 3
+    assert _shuffles(v.daily_basic()) == 6
