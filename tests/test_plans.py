@@ -144,8 +144,8 @@ def test_split_policies_scan_all_columns_together(spark, monkeypatch):
     assert got[0] == got[1] and len(got[0]) == len(rows) and len(scans) == 2
 
 
-def _shuffles(df):
-    """Shuffles of a plan, joins by broadcast and adaptive help left out."""
+def _shuffles(df, by=""):
+    """Shuffles of a plan (by keys that begin with ``by``), joins by broadcast and adaptive help left out."""
     spark, names = df.sparkSession, ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
     old = [spark.conf.get(n) for n in names]
     try:
@@ -155,7 +155,7 @@ def _shuffles(df):
     finally:
         for n, value in zip(names, old):
             spark.conf.set(n, value)
-    return plan.count("Exchange hashpartitioning")
+    return plan.count(f"Exchange hashpartitioning({by}")
 
 
 def test_views_shuffle_line_items_once_a_key(spark, sf_dir):
@@ -163,3 +163,10 @@ def test_views_shuffle_line_items_once_a_key(spark, sf_dir):
     v = StarViews(spark, sf_dir)
     assert _shuffles(v.fina_indicator()) == 3
     assert _shuffles(v.daily_basic()) == 6
+
+
+def test_ranks_of_several_levels_read_one_shuffle(spark, sf_dir):
+    v = StarViews(spark, sf_dir)
+    panel = factors.point_in_time_panel(v.daily_basic(), v.industry_pit(), None)
+    for how in ({"plan": "auto", "width": v.width}, {"plan": "window"}):
+        assert _shuffles(factors.daily_factors(panel, **how).select("div_ttm_rank_ind_l1", "value_recovery"), "trade_date") == 1
