@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidepanel.operators import universe as un
-from tidepanel.operators.neutralize import apply_by_date
+from tidepanel.operators.neutralize import apply_by_date, neutralize
 from tidepanel.plans import domains, factors, registry
 from tidepanel.sources.star_views import FINANCIAL_COLUMNS, StarViews
 
@@ -170,3 +170,31 @@ def test_ranks_of_several_levels_read_one_shuffle(spark, sf_dir):
     panel = factors.point_in_time_panel(v.daily_basic(), v.industry_pit(), None)
     for how in ({"plan": "auto", "width": v.width}, {"plan": "window"}):
         assert _shuffles(factors.daily_factors(panel, **how).select("div_ttm_rank_ind_l1", "value_recovery"), "trade_date") == 1
+
+
+def _counted(df, read):
+    def run(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(run, df.schema)
+
+
+def test_split_plans_read_their_input_once(spark):
+    rows = [(f"s{i:02d}", D + dt.timedelta(j), "xy"[i % 2], float(i * 7 % 11 + 1), float(i * i % 13 + j + 1)) for i in range(32) for j in range(2)]
+    df = spark.createDataFrame(rows, "ts_code string, trade_date date, l1_name string, p double, q double")
+    read = spark.sparkContext.accumulator(0)
+    got, want = (neutralize(x, "p", "r", sizes=["q"], plan=plan) for x, plan in ((_counted(df, read), "split"), (df, "window")))
+    assert [round(r.r, 9) for r in got.orderBy("trade_date", "ts_code").collect()] == [round(r.r, 9) for r in want.orderBy("trade_date", "ts_code").collect()]
+    assert read.value == len(rows)
+    basic = df.select("ts_code", "trade_date", *[F.col("p").alias(c) for c in ("pe_ttm", "pb", "ps_ttm", "dv_ttm")], *[F.col("q").alias(c) for c in ("total_share", "free_share", "total_mv", "circ_mv")])
+    read = spark.sparkContext.accumulator(0)
+    got, want = (domains.fundamental(df, x, plan=plan) for x, plan in ((_counted(basic, read), "split"), (basic, "window")))
+    assert sorted(map(str, got.select(sorted(got.columns)).collect())) == sorted(map(str, want.select(sorted(got.columns)).collect())) and read.value == len(rows)
+
+
+def test_split_policies_fill_gaps_before_they_store(spark):
+    df = spark.createDataFrame([("a", D, "x", 1.0), ("a", D + dt.timedelta(1), "x", None)], "ts_code string, trade_date date, l1_name string, c double")
+    filled = registry.apply_policies(df, {"c": "close_vs_cost50"}, plan="split")
+    assert [r.c for r in filled.collect()] == [1.0, 1.0] and _shuffles(filled, "ts_code") == 0
